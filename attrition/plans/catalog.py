@@ -101,3 +101,127 @@ def q_top10_risk(spark, sf_dir):
     """Flagship: the ten customers most at risk."""
     top = scoring.top_k(decided(spark, sf_dir), "churn_probability", 10)
     return top.select(ID, r6("churn_probability").alias("churn_probability"), "churn_predicted", "rfm_score")
+
+
+# -- profile (A1-A10) ---------------------------------------------------------
+
+from attrition.operators import profile as pr  # noqa: E402
+from attrition.operators import scaling as sc  # noqa: E402
+from attrition.operators import split as sp  # noqa: E402
+from attrition.schema import BASE_FEATURES, LABEL, preset  # noqa: E402
+from attrition.sources.testdata import all_customers  # noqa: E402
+
+NULL_COLS = ["recency_days", "frequency", "monetary_value", "total_orders", "support_tickets"]
+
+
+@query("shape")
+def q_shape(spark, sf_dir):
+    return pr.shape(customer_base(spark, sf_dir))
+
+
+@query("column_info")
+def q_column_info(spark, sf_dir):
+    return pr.column_info(customer_base(spark, sf_dir))
+
+
+@query("describe")
+def q_describe(spark, sf_dir):
+    base = customer_base(spark, sf_dir)
+    return pr.describe(base, base.columns)
+
+
+@query("churn_counts")
+def q_churn_counts(spark, sf_dir):
+    return pr.value_counts(customer_base(spark, sf_dir), LABEL)
+
+
+@query("churn_share")
+def q_churn_share(spark, sf_dir):
+    return pr.value_counts(customer_base(spark, sf_dir), LABEL, normalize=True)
+
+
+@query("null_counts")
+def q_null_counts(spark, sf_dir):
+    return pr.null_counts(all_customers(spark, sf_dir))
+
+
+@query("histogram_30")
+def q_histogram_30(spark, sf_dir):
+    return pr.histogram(customer_base(spark, sf_dir), BASE_FEATURES, 30)
+
+
+@query("boxplot_by_churn")
+def q_boxplot_by_churn(spark, sf_dir):
+    return pr.boxplot_stats(customer_base(spark, sf_dir), BASE_FEATURES, LABEL)
+
+
+@query("corr_matrix")
+def q_corr_matrix(spark, sf_dir):
+    base = customer_base(spark, sf_dir)
+    return pr.corr_long(base, [c for c in base.columns if c != ID])
+
+
+@query("churn_rate")
+def q_churn_rate(spark, sf_dir):
+    return pr.churn_rate(customer_base(spark, sf_dir))
+
+
+# -- nulls (P10, P11) ---------------------------------------------------------
+
+
+@query("null_fill")
+def q_null_fill(spark, sf_dir):
+    return fe.fill_zero(all_customers(spark, sf_dir).select(ID, *NULL_COLS), NULL_COLS)
+
+
+@query("drop_nulls")
+def q_drop_nulls(spark, sf_dir):
+    return fe.drop_nulls(all_customers(spark, sf_dir).select(ID, *NULL_COLS))
+
+
+# -- normalisation (N1-N3) ----------------------------------------------------
+
+
+@query("zscore_features")
+def q_zscore_features(spark, sf_dir):
+    cols = preset("F4")
+    z = sc.zscore(customer_base(spark, sf_dir), cols)
+    return z.select(ID, *[r6(c).alias(c) for c in cols])
+
+
+@query("zscore_all_numeric")
+def q_zscore_all_numeric(spark, sf_dir):
+    z = sc.zscore_all_numeric(customer_base(spark, sf_dir))
+    return z.select(*[r6(c).alias(c) if c.endswith("_normalized") else F.col(c) for c in z.columns])
+
+
+@query("standard_scale_train")
+def q_standard_scale_train(spark, sf_dir):
+    split = sp.split_hash(customer_base(spark, sf_dir))
+    train, test = split.where("split = 'train'"), split.where("split = 'test'")
+    scaled = sc.standard_scale(test, BASE_FEATURES, fit_on=train)
+    return scaled.select(ID, *[r6(c).alias(c) for c in BASE_FEATURES])
+
+
+# -- splits (T1-T4) -------------------------------------------------------------
+
+
+@query("split_hash")
+def q_split_hash(spark, sf_dir):
+    return sp.split_hash(customer_base(spark, sf_dir)).select(ID, "split")
+
+
+@query("split_stratified")
+def q_split_stratified(spark, sf_dir):
+    return sp.split_stratified(customer_base(spark, sf_dir)).select(ID, LABEL, "split")
+
+
+@query("fold_sizes")
+def q_fold_sizes(spark, sf_dir):
+    folds = sp.add_fold(customer_base(spark, sf_dir), 5, label=LABEL)
+    return folds.groupBy("fold", LABEL).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("first_100")
+def q_first_100(spark, sf_dir):
+    return scoring.first_n(customer_base(spark, sf_dir), 100)

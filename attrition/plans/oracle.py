@@ -120,3 +120,110 @@ SELECT customer_id, {r6('churn_probability')} AS churn_probability, churn_predic
 SQL["top10_risk"] = FULL + f"""
 SELECT customer_id, {r6('churn_probability')} AS churn_probability, churn_predicted, rfm_score
 FROM decided ORDER BY churn_probability DESC, customer_id LIMIT 10"""
+
+
+# -- profile ---------------------------------------------------------------------
+
+COLS = ["customer_id", "recency_days", "frequency", "monetary_value", "avg_order_value", "days_since_signup",
+        "total_orders", "support_tickets", "age", "churned"]
+TYPES = {c: ("double" if c in ("monetary_value", "avg_order_value") else "bigint") for c in COLS}
+FEATS = COLS[1:9]
+NULL_COLS = ["recency_days", "frequency", "monetary_value", "total_orders", "support_tickets"]
+ALLC = "allc AS (SELECT CAST(c.c_custkey AS BIGINT) AS customer_id, b.* EXCLUDE (customer_id) " \
+       "FROM customer c LEFT JOIN base b ON b.customer_id = c.c_custkey)"
+
+SQL["shape"] = with_ctes(BASE) + f"SELECT count(*) AS n_rows, CAST({len(COLS)} AS BIGINT) AS n_cols FROM base"
+
+SQL["column_info"] = with_ctes(BASE) + "\nUNION ALL\n".join(
+    f"SELECT CAST({i} AS BIGINT) AS position, '{c}' AS column, '{TYPES[c]}' AS dtype, count({c}) AS non_null FROM base"
+    for i, c in enumerate(COLS)
+)
+
+SQL["describe"] = with_ctes(BASE) + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column, count({c}) AS count, {r6(f'avg({c})')} AS mean, {r6(f'stddev_samp({c})')} AS std,
+  CAST(min({c}) AS DOUBLE) AS min, {r6(f'quantile_cont({c}, 0.25)')} AS p25, {r6(f'quantile_cont({c}, 0.5)')} AS p50,
+  {r6(f'quantile_cont({c}, 0.75)')} AS p75, CAST(max({c}) AS DOUBLE) AS max FROM base"""
+    for c in COLS
+)
+
+SQL["churn_counts"] = with_ctes(BASE) + "SELECT churned, count(*) AS count FROM base GROUP BY churned"
+SQL["churn_share"] = with_ctes(BASE) + """
+SELECT churned, count(*) AS count, count(*) / (SELECT count(*) FROM base) AS share FROM base GROUP BY churned"""
+
+SQL["null_counts"] = with_ctes(BASE, ALLC) + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM allc" for c in COLS
+)
+
+
+def _hist(c: str) -> str:
+    return f"""SELECT '{c}' AS column, CAST(g.bin AS BIGINT) AS bin,
+  {r6('m.lo + g.bin * ((m.hi - m.lo) / 30)')} AS bin_lo, {r6('m.lo + (g.bin + 1) * ((m.hi - m.lo) / 30)')} AS bin_hi,
+  (SELECT count(*) FROM base
+    WHERE least(floor((CAST({c} AS DOUBLE) - m.lo) / (m.hi - m.lo) * 30), 29) = g.bin) AS count
+FROM (SELECT CASE WHEN min({c}) = max({c}) THEN min({c}) - 0.5 ELSE CAST(min({c}) AS DOUBLE) END AS lo,
+             CASE WHEN min({c}) = max({c}) THEN max({c}) + 0.5 ELSE CAST(max({c}) AS DOUBLE) END AS hi FROM base) m,
+     (SELECT range AS bin FROM range(30)) g"""
+
+
+SQL["histogram_30"] = with_ctes(BASE) + "\nUNION ALL\n".join(_hist(c) for c in FEATS)
+
+
+def _box(c: str) -> str:
+    return f"""SELECT b.churned, '{c}' AS column, {r6('q.q1')} AS q1, {r6('q.q2')} AS median, {r6('q.q3')} AS q3,
+  CAST(min({c}) FILTER (WHERE {c} >= q.q1 - 1.5 * (q.q3 - q.q1)) AS DOUBLE) AS whisker_lo,
+  CAST(max({c}) FILTER (WHERE {c} <= q.q3 + 1.5 * (q.q3 - q.q1)) AS DOUBLE) AS whisker_hi,
+  count(*) FILTER (WHERE {c} < q.q1 - 1.5 * (q.q3 - q.q1) OR {c} > q.q3 + 1.5 * (q.q3 - q.q1)) AS n_outliers
+FROM base b JOIN (SELECT churned, quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS q2,
+                         quantile_cont({c}, 0.75) AS q3 FROM base GROUP BY churned) q ON q.churned = b.churned
+GROUP BY b.churned, q.q1, q.q2, q.q3"""
+
+
+SQL["boxplot_by_churn"] = with_ctes(BASE) + "\nUNION ALL\n".join(_box(c) for c in FEATS)
+
+_CORR_COLS = COLS[1:]
+SQL["corr_matrix"] = with_ctes(BASE) + "\nUNION ALL\n".join(
+    [f"SELECT '{a}' AS col_a, '{b}' AS col_b, {r6(f'corr({a}, {b})')} AS corr FROM base"
+     for a in _CORR_COLS for b in _CORR_COLS if a != b]
+    + [f"SELECT '{a}' AS col_a, '{a}' AS col_b, 1.0::DOUBLE AS corr" for a in _CORR_COLS]
+)
+
+SQL["churn_rate"] = with_ctes(BASE) + "SELECT avg(churned) AS churn_rate FROM base"
+
+SQL["null_fill"] = with_ctes(BASE, ALLC) + "SELECT customer_id, " + ", ".join(
+    f"coalesce({c}, 0) AS {c}" for c in NULL_COLS) + " FROM allc"
+SQL["drop_nulls"] = with_ctes(BASE, ALLC) + "SELECT customer_id, " + ", ".join(NULL_COLS) + \
+    " FROM allc WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in ["customer_id"] + NULL_COLS)
+
+F4 = ["recency_days", "frequency", "monetary_value", "age"]
+SQL["zscore_features"] = with_ctes(BASE) + "SELECT customer_id, " + ", ".join(
+    f"{r6(f'({c} - (SELECT avg({c}) FROM base)) / ((SELECT stddev_samp({c}) FROM base) + 1e-8)')} AS {c}" for c in F4
+) + " FROM base"
+SQL["zscore_all_numeric"] = with_ctes(BASE) + "SELECT *, " + ", ".join(
+    f"{r6(f'({c} - (SELECT avg({c}) FROM base)) / ((SELECT stddev_samp({c}) FROM base) + 1e-8)')} AS {c}_normalized"
+    for c in COLS
+) + " FROM base"
+
+HASH = "substr(md5('42-' || CAST(customer_id AS VARCHAR)), 1, 8)"
+SPLIT = f"""sp AS (SELECT *, CASE WHEN {HASH} < '33333333' THEN 'test' ELSE 'train' END AS split FROM base)"""
+
+
+def _scaled(c: str) -> str:
+    s = f"(SELECT stddev_pop({c}) FROM sp WHERE split = 'train')"
+    m = f"(SELECT avg({c}) FROM sp WHERE split = 'train')"
+    return f"{r6(f'({c} - {m}) / (CASE WHEN {s} = 0 THEN 1.0 ELSE {s} END)')} AS {c}"
+
+
+SQL["standard_scale_train"] = with_ctes(BASE, SPLIT) + "SELECT customer_id, " + ", ".join(
+    _scaled(c) for c in FEATS) + " FROM sp WHERE split = 'test'"
+
+SQL["split_hash"] = with_ctes(BASE, SPLIT) + "SELECT customer_id, split FROM sp"
+SQL["split_stratified"] = with_ctes(BASE) + f"""
+SELECT customer_id, churned,
+  CASE WHEN row_number() OVER (PARTITION BY churned ORDER BY {HASH}, customer_id)
+            <= floor(0.2 * count(*) OVER (PARTITION BY churned) + 0.5) THEN 'test' ELSE 'train' END AS split
+FROM base"""
+SQL["fold_sizes"] = with_ctes(BASE) + f"""
+SELECT fold, churned, count(*) AS n FROM (
+  SELECT churned, CAST((row_number() OVER (PARTITION BY churned ORDER BY {HASH}, customer_id) - 1) % 5 AS BIGINT) AS fold
+  FROM base) GROUP BY fold, churned"""
+SQL["first_100"] = with_ctes(BASE) + "SELECT * FROM base ORDER BY customer_id LIMIT 100"

@@ -100,3 +100,10 @@ def customer_base(spark: SparkSession, sf_dir: str, cutoff: dt.date = CUTOFF) ->
             (F.col("next_orders") == 0).cast("long").alias("churned"),
         )
     )
+
+
+def all_customers(spark: SparkSession, sf_dir: str, cutoff: dt.date = CUTOFF) -> DataFrame:
+    """Every row of ``customer`` left-joined to its base row (nulls when it
+    has no order before the cut-off): the input of the null-handling queries."""
+    custs = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("long").alias("customer_id"))
+    return custs.join(customer_base(spark, sf_dir, cutoff), "customer_id", "left")
