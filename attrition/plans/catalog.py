@@ -225,3 +225,142 @@ def q_fold_sizes(spark, sf_dir):
 @query("first_100")
 def q_first_100(spark, sf_dir):
     return scoring.first_n(customer_base(spark, sf_dir), 100)
+
+
+# -- scoring tables (P12-P17, R1-R5) --------------------------------------------
+
+from attrition.operators import metrics as me  # noqa: E402
+
+MODEL_VERSION = "rule-v1"
+P = "churn_probability"
+
+
+def scored_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decided rule scores + the fixed logistic score + the hash split."""
+    return sp.split_hash(scoring.logistic_score(decided(spark, sf_dir), out="p_logistic"))
+
+
+# Model comparison without MLlib: runs that the SQL oracle can rebuild.
+RUNS = [
+    ("rule_t30", lambda: F.col(P) > 0.3),
+    ("rule_t50", lambda: F.col(P) > 0.5),
+    ("rule_t70", lambda: F.col(P) > 0.7),
+    ("rfm_low", lambda: F.col("rfm_score") <= 7),
+    ("logistic_fixed", lambda: F.col("p_logistic") > 0.5),
+    ("never", lambda: F.lit(False)),
+]
+RUN_PARAMS = {
+    "rule_t30": {"model": "rule", "threshold": "0.3"},
+    "rule_t50": {"model": "rule", "threshold": "0.5"},
+    "rule_t70": {"model": "rule", "threshold": "0.7"},
+    "rfm_low": {"model": "rfm", "max_score": "7"},
+    "logistic_fixed": {"model": "logistic", "threshold": "0.5"},
+    "never": {"model": "constant", "value": "0"},
+}
+
+
+def per_split_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    long = me.long_predictions(scored_runs(spark, sf_dir), [(n, f()) for n, f in RUNS], LABEL, ["split"])
+    return me.metrics_by_run(long, by=["split"])
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return me.runs_table(per_split_metrics(spark, sf_dir), RUN_PARAMS)
+
+
+def test_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    test = sp.split_hash(decided(spark, sf_dir)).where(F.col("split") == "test")
+    return scoring.eval_table(test)
+
+
+@query("logistic_fixed")
+def q_logistic_fixed(spark, sf_dir):
+    s = scoring.decide(scoring.logistic_score(customer_base(spark, sf_dir)))
+    return s.select(ID, r6(P).alias(P), "churn_predicted")
+
+
+@query("high_risk")
+def q_high_risk(spark, sf_dir):
+    return scoring.high_risk(decided(spark, sf_dir)).select(ID, r6(P).alias(P))
+
+
+@query("high_risk_receipt")
+def q_high_risk_receipt(spark, sf_dir):
+    return decided(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("record_count"), F.count_if(F.col(P) > 0.7).alias("high_risk_count"))
+
+
+@query("score_with_actual")
+def q_score_with_actual(spark, sf_dir):
+    s = scoring.score(decided(spark, sf_dir), keep_actual=True)
+    return s.withColumn(P, r6(P))
+
+
+@query("score_versioned")
+def q_score_versioned(spark, sf_dir):
+    return scoring.score(decided(spark, sf_dir), version=MODEL_VERSION).withColumn(P, r6(P))
+
+
+@query("score_minimal")
+def q_score_minimal(spark, sf_dir):
+    return scoring.minimal_predictions(decided(spark, sf_dir))
+
+
+@query("status_labels")
+def q_status_labels(spark, sf_dir):
+    return scoring.status_label(decided(spark, sf_dir)).select(ID, "status")
+
+
+@query("eval_table")
+def q_eval_table(spark, sf_dir):
+    return test_eval(spark, sf_dir).withColumn("probability", r6("probability"))
+
+
+# -- metrics (A11-A15) and runs (K2-K6, M9) ---------------------------------------
+
+
+@query("class_metrics")
+def q_class_metrics(spark, sf_dir):
+    return me.class_metrics(test_eval(spark, sf_dir))
+
+
+@query("confusion")
+def q_confusion(spark, sf_dir):
+    return me.confusion(test_eval(spark, sf_dir))
+
+
+@query("class_report")
+def q_class_report(spark, sf_dir):
+    return me.class_report(test_eval(spark, sf_dir))
+
+
+@query("score_summary")
+def q_score_summary(spark, sf_dir):
+    return me.score_summary(scoring.score(decided(spark, sf_dir), keep_actual=True))
+
+
+@query("metrics_by_run")
+def q_metrics_by_run(spark, sf_dir):
+    return per_split_metrics(spark, sf_dir)
+
+
+@query("leaderboard")
+def q_leaderboard(spark, sf_dir):
+    return me.leaderboard(runs(spark, sf_dir))
+
+
+@query("runs_query")
+def q_runs_query(spark, sf_dir):
+    r = me.runs_query(runs(spark, sf_dir), F.col("accuracy") > 0.5,
+                      [F.col("f1").desc(), F.col("run_name").asc()], 5)
+    return r.select("run_name", "accuracy", "f1")
+
+
+@query("best_run")
+def q_best_run(spark, sf_dir):
+    return me.best_run(me.leaderboard(runs(spark, sf_dir)))
+
+
+@query("quality_gate")
+def q_quality_gate(spark, sf_dir):
+    return me.quality_gate(runs(spark, sf_dir), "f1", 0.3).select("run_name", "f1", "passed")

@@ -227,3 +227,120 @@ SELECT fold, churned, count(*) AS n FROM (
   SELECT churned, CAST((row_number() OVER (PARTITION BY churned ORDER BY {HASH}, customer_id) - 1) % 5 AS BIGINT) AS fold
   FROM base) GROUP BY fold, churned"""
 SQL["first_100"] = with_ctes(BASE) + "SELECT * FROM base ORDER BY customer_id LIMIT 100"
+
+
+# -- scoring tables and metrics --------------------------------------------------
+
+SCORED = f"""sc AS (
+  SELECT d.*,
+    1.0 / (1.0 + exp(-(-2.0::DOUBLE + 0.02::DOUBLE * recency_days + -0.1::DOUBLE * frequency
+                       + -0.001::DOUBLE * monetary_value + 0.2::DOUBLE * support_tickets))) AS p_logistic,
+    CASE WHEN {HASH} < '33333333' THEN 'test' ELSE 'train' END AS split
+  FROM decided d
+)"""
+SCORED_FULL = with_ctes(BASE, RATIOS, RFM, RULE, SCORED)
+P = r6("churn_probability")
+
+
+def ratio(a: str, b: str) -> str:
+    return f"(CASE WHEN ({b}) = 0 THEN 0.0 ELSE CAST({a} AS DOUBLE) / ({b}) END)"
+
+
+CELLS = """count(*) FILTER (WHERE actual = 1 AND predicted = 1) AS tp,
+  count(*) FILTER (WHERE actual = 0 AND predicted = 1) AS fp,
+  count(*) FILTER (WHERE actual = 1 AND predicted = 0) AS fn,
+  count(*) FILTER (WHERE actual = 0 AND predicted = 0) AS tn"""
+RATIO_COLS = f"""tp + fp + fn + tn AS n,
+  {ratio('tp + tn', 'tp + fp + fn + tn')} AS accuracy, {ratio('tp', 'tp + fp')} AS precision,
+  {ratio('tp', 'tp + fn')} AS recall, {ratio('2 * tp', '2 * tp + fp + fn')} AS f1"""
+
+EVAL = """ev AS (
+  SELECT customer_id, churned AS actual, churn_predicted AS predicted, churn_probability AS probability,
+         CAST(churned = churn_predicted AS BIGINT) AS correct
+  FROM sc WHERE split = 'test'
+)"""
+EVAL_FULL = with_ctes(BASE, RATIOS, RFM, RULE, SCORED, EVAL)
+
+RUN_PREDS = {
+    "rule_t30": "churn_probability > 0.3::DOUBLE",
+    "rule_t50": "churn_probability > 0.5::DOUBLE",
+    "rule_t70": "churn_probability > 0.7::DOUBLE",
+    "rfm_low": "rfm_score <= 7",
+    "logistic_fixed": "p_logistic > 0.5::DOUBLE",
+    "never": "false",
+}
+LONG = "lng AS (" + "\n  UNION ALL ".join(
+    f"SELECT split, churned AS actual, '{n}' AS run_name, CAST({e} AS BIGINT) AS predicted FROM sc"
+    for n, e in RUN_PREDS.items()
+) + ")"
+PER_SPLIT = f"""ps AS (
+  SELECT *, {RATIO_COLS} FROM (SELECT run_name, split, {CELLS} FROM lng GROUP BY run_name, split)
+)"""
+RUNS_T = """rt AS (
+  SELECT coalesce(t.run_name, r.run_name) AS run_name, substr(md5(coalesce(t.run_name, r.run_name)), 1, 8) AS run_id,
+    t.accuracy, t.precision, t.recall, t.f1,
+    r.accuracy AS training_accuracy_score, r.precision AS training_precision_score,
+    r.recall AS training_recall_score, r.f1 AS training_f1_score
+  FROM (SELECT * FROM ps WHERE split = 'test') t FULL JOIN (SELECT * FROM ps WHERE split = 'train') r
+    ON t.run_name = r.run_name
+)"""
+LB = """lb AS (
+  SELECT run_name, run_id,
+    CASE WHEN coalesce(f1, 0) = 0 AND training_f1_score IS NOT NULL THEN 'TRAIN (non comparable !)' ELSE 'test' END
+      AS metric_type,
+    CASE WHEN coalesce(f1, 0) = 0 AND training_f1_score IS NOT NULL THEN training_accuracy_score
+         ELSE coalesce(accuracy, 0.0) END AS accuracy,
+    CASE WHEN coalesce(f1, 0) = 0 AND training_f1_score IS NOT NULL THEN training_precision_score
+         ELSE coalesce(precision, 0.0) END AS precision,
+    CASE WHEN coalesce(f1, 0) = 0 AND training_f1_score IS NOT NULL THEN training_recall_score
+         ELSE coalesce(recall, 0.0) END AS recall,
+    CASE WHEN coalesce(f1, 0) = 0 AND training_f1_score IS NOT NULL THEN training_f1_score
+         ELSE coalesce(f1, 0.0) END AS f1
+  FROM rt
+)"""
+RUNS_FULL = with_ctes(BASE, RATIOS, RFM, RULE, SCORED, LONG, PER_SPLIT, RUNS_T, LB)
+
+SQL["logistic_fixed"] = with_ctes(BASE) + f"""
+SELECT customer_id, {r6('p')} AS churn_probability, CAST(p > 0.5::DOUBLE AS BIGINT) AS churn_predicted FROM (
+  SELECT customer_id, 1.0 / (1.0 + exp(-(-2.0::DOUBLE + 0.02::DOUBLE * recency_days + -0.1::DOUBLE * frequency
+                       + -0.001::DOUBLE * monetary_value + 0.2::DOUBLE * support_tickets))) AS p FROM base)"""
+SQL["high_risk"] = FULL + f"SELECT customer_id, {P} AS churn_probability FROM decided WHERE churn_probability > 0.7::DOUBLE"
+SQL["high_risk_receipt"] = FULL + """
+SELECT count(*) AS record_count, count(*) FILTER (WHERE churn_probability > 0.7::DOUBLE) AS high_risk_count FROM decided"""
+SQL["score_with_actual"] = FULL + f"""
+SELECT customer_id, {P} AS churn_probability, churn_predicted, churned AS churn_actual FROM decided"""
+SQL["score_versioned"] = FULL + f"""
+SELECT customer_id, {P} AS churn_probability, churn_predicted, 'rule-v1' AS model_version FROM decided"""
+SQL["score_minimal"] = FULL + "SELECT customer_id, churn_predicted AS predicted_churn FROM decided"
+SQL["status_labels"] = FULL + """
+SELECT customer_id, CASE WHEN churn_predicted = 1 THEN 'Churn' ELSE 'Retain' END AS status FROM decided"""
+SQL["eval_table"] = EVAL_FULL + f"SELECT customer_id, actual, predicted, {r6('probability')} AS probability, correct FROM ev"
+SQL["class_metrics"] = EVAL_FULL + f"SELECT *, {RATIO_COLS} FROM (SELECT {CELLS} FROM ev)"
+SQL["confusion"] = EVAL_FULL + """
+SELECT a.actual, p.predicted, (SELECT count(*) FROM ev WHERE ev.actual = a.actual AND ev.predicted = p.predicted) AS count
+FROM (SELECT CAST(range AS BIGINT) AS actual FROM range(2)) a, (SELECT CAST(range AS BIGINT) AS predicted FROM range(2)) p"""
+SQL["class_report"] = EVAL_FULL + f"""
+, c AS (SELECT {CELLS} FROM ev)
+, k AS (SELECT tp, fp, fn, tn, tp + fp + fn + tn AS n, tp + fn AS s1, tn + fp AS s0,
+    {ratio('tp', 'tp + fp')} AS p1, {ratio('tp', 'tp + fn')} AS r1, {ratio('2 * tp', '2 * tp + fp + fn')} AS f1,
+    {ratio('tn', 'tn + fn')} AS p0, {ratio('tn', 'tn + fp')} AS r0, {ratio('2 * tn', '2 * tn + fn + fp')} AS f0,
+    {ratio('tp + tn', 'tp + fp + fn + tn')} AS acc FROM c)
+SELECT '0' AS label, p0 AS precision, r0 AS recall, f0 AS f1, s0 AS support FROM k
+UNION ALL SELECT '1', p1, r1, f1, s1 FROM k
+UNION ALL SELECT 'accuracy', NULL, NULL, acc, n FROM k
+UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n FROM k
+UNION ALL SELECT 'weighted avg', {ratio('p0 * s0 + p1 * s1', 'n')}, {ratio('r0 * s0 + r1 * s1', 'n')},
+  {ratio('f0 * s0 + f1 * s1', 'n')}, n FROM k"""
+SQL["class_report"] = SQL["class_report"].replace("FROM ev)\n, c AS", "FROM ev), c AS")
+SQL["score_summary"] = FULL + f"""
+SELECT n, pc AS n_predicted_churn, ac AS n_actual_churn, {ratio('pc', 'n')} AS predicted_share,
+  {ratio('ac', 'n')} AS actual_share, {ratio('ok', 'n')} AS accuracy
+FROM (SELECT count(*) AS n, count(*) FILTER (WHERE churn_predicted = 1) AS pc,
+             count(*) FILTER (WHERE churned = 1) AS ac, count(*) FILTER (WHERE churn_predicted = churned) AS ok
+      FROM decided)"""
+SQL["metrics_by_run"] = RUNS_FULL + "SELECT * FROM ps"
+SQL["leaderboard"] = RUNS_FULL + "SELECT * FROM lb"
+SQL["runs_query"] = RUNS_FULL + """
+SELECT run_name, accuracy, f1 FROM rt WHERE accuracy > 0.5 ORDER BY f1 DESC, run_name LIMIT 5"""
+SQL["best_run"] = RUNS_FULL + "SELECT * FROM lb ORDER BY f1 DESC, run_name LIMIT 1"
+SQL["quality_gate"] = RUNS_FULL + "SELECT run_name, f1, CAST(coalesce(f1, 0.0) >= 0.3 AS BIGINT) AS passed FROM rt"
