@@ -147,25 +147,28 @@ def cut_ranks(n: int, q: int) -> list[int]:
     return [1 + ((n - 1) * k) // q for k in range(1, q)]
 
 
-def keys_at_ranks(df: DataFrame, col: str, id_col: str, ranks: list[int], n: int | None = None) -> dict[int, tuple]:
-    """Exact (value, id) at the given 1-based ranks of the order (col, id).
+def _range_parts(df: DataFrame) -> int:
+    spark = df.sparkSession
+    base = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    by_size = estimated_bytes(df) // (128 << 20)
+    return int(max(1, min(100_000, max(base, by_size))))
+
+
+def keys_at_ranks(df: DataFrame, col: str, id_col: str, ranks) -> tuple[int, dict[int, tuple]]:
+    """Exact (value, id) at given 1-based ranks of the order (col, id).
 
+    ``ranks`` is a list, or a function of the row count n giving the list.
     One range shuffle of the two key columns (sorted inside each partition),
     numbered with ``monotonically_increasing_id`` (partition index in the high
-    bits, position in the low 33 bits) and checkpointed so both follow-up
-    actions see the same numbering.  Only per-partition counts (one row per
-    partition) and the wanted rows reach the driver.
+    bits, position in the low 33 bits) and checkpointed to the reliable
+    checkpoint folder so both follow-up jobs see the same numbering even if an
+    executor is lost.  Only per-partition counts (one row per partition) and
+    the wanted rows reach the driver.  Returns (n, {rank: (value, id)}).
     """
     keys = df.select(F.col(col), F.col(id_col)).where(F.col(col).isNotNull())
-    if n is None:
-        n = keys.count()
-    if n == 0:
-        return {}
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    parts = max(1, min(100_000, math.ceil(n / ROWS_PER_RANGE_PART)))
+    ensure_checkpoint_dir(df.sparkSession)
     numbered = (
-        keys.repartitionByRange(parts, F.col(col).asc(), F.col(id_col).asc())
+        keys.repartitionByRange(_range_parts(df), F.col(col).asc(), F.col(id_col).asc())
         .sortWithinPartitions(F.col(col).asc(), F.col(id_col).asc())
         .withColumn("_pos", F.monotonically_increasing_id())
         .checkpoint(eager=True)
@@ -176,27 +179,27 @@ def keys_at_ranks(df: DataFrame, col: str, id_col: str, ranks: list[int], n: int
         .agg(F.count(F.lit(1)).alias("cnt"))
         .collect()
     )
+    n = sum(c for _, c in counts)
+    wanted_ranks = ranks(n) if callable(ranks) else ranks
     wanted: dict[int, int] = {}
-    for r in sorted(set(ranks)):
+    for r in sorted(set(wanted_ranks)):
+        if not 1 <= r <= n:
+            continue
         seen = 0
         for pid, cnt in counts:
             if r <= seen + cnt:
                 wanted[(pid << 33) + (r - seen - 1)] = r
                 break
             seen += cnt
-    rows = numbered.where(F.col("_pos").isin(list(wanted))).collect()
-    return {wanted[row["_pos"]]: (row[col], row[id_col]) for row in rows}
+    rows = numbered.where(F.col("_pos").isin(list(wanted))).collect() if wanted else []
+    return n, {wanted[row["_pos"]]: (row[col], row[id_col]) for row in rows}
 
 
 def fit_rank_cuts(df: DataFrame, col: str, id_col: str = ID, q: int = 5) -> RankCuts:
-    n = df.where(F.col(col).isNotNull()).count()
+    n, at = keys_at_ranks(df, col, id_col, lambda n: cut_ranks(n, q))
     if n == 1:
         raise DuplicateEdgesError(f"duplicate quantile edges for {col}")
-    if n == 0:
-        return RankCuts(col, id_col, q, 0, [])
-    ranks = cut_ranks(n, q)
-    at = keys_at_ranks(df, col, id_col, ranks, n)
-    return RankCuts(col, id_col, q, n, [at[r] for r in ranks])
+    return RankCuts(col, id_col, q, n, [at[r] for r in cut_ranks(n, q)] if n else [])
 
 
 def qcut_by_rank(
@@ -217,22 +220,21 @@ def qcut_by_rank(
 # --------------------------------------------------------------------------
 
 
-def exact_quantiles(df: DataFrame, col: str, levels: list[float], id_col: str = ID) -> list[float]:
+def exact_quantiles(df: DataFrame, col: str, levels: list[float], id_col: str = ID) -> list[float | None]:
     """Linearly interpolated quantiles without a value -> count map.
 
     Uses the same interpolation as Spark's ``percentile``:
     ``(hi_pos - h) * lo + (h - lo_pos) * hi`` with ``h = (n-1) p``.
     """
-    n = df.where(F.col(col).isNotNull()).count()
+
+    def positions(n: int) -> list[tuple[float, int, int]]:
+        return [((n - 1) * p, math.floor((n - 1) * p), math.ceil((n - 1) * p)) for p in levels]
+
+    n, at = keys_at_ranks(df, col, id_col, lambda n: [r + 1 for _, lo, hi in positions(n) for r in (lo, hi)])
     if n == 0:
         return [None] * len(levels)
-    pos = []
-    for p in levels:
-        h = (n - 1) * p
-        pos.append((h, math.floor(h), math.ceil(h)))
-    at = keys_at_ranks(df, col, id_col, sorted({r + 1 for _, lo, hi in pos for r in (lo, hi)}), n)
     out = []
-    for h, lo, hi in pos:
+    for h, lo, hi in positions(n):
         a, b = float(at[lo + 1][0]), float(at[hi + 1][0])
         out.append(a if lo == hi else (hi - h) * a + (h - lo) * b)
     return out

@@ -60,7 +60,8 @@ def split_stratified(
         if k <= 0:
             continue
         part = keyed.where(F.col(label) == row[label]) if row[label] is not None else keyed.where(F.col(label).isNull())
-        hk, ik = keys_at_ranks(part, "_h", id_col, [k], row["n"])[k]
+        _, at = keys_at_ranks(part, "_h", id_col, [k])
+        hk, ik = at[k]
         in_label = (F.col(label) == F.lit(row[label])) if row[label] is not None else F.col(label).isNull()
         cond = cond | (in_label & ((F.col("_h") < F.lit(hk)) | ((F.col("_h") == F.lit(hk)) & (F.col(id_col) <= F.lit(ik)))))
     return keyed.withColumn("split", F.when(cond, "test").otherwise("train")).drop("_h")

@@ -364,3 +364,34 @@ def q_best_run(spark, sf_dir):
 @query("quality_gate")
 def q_quality_gate(spark, sf_dir):
     return me.quality_gate(runs(spark, sf_dir), "f1", 0.3).select("run_name", "f1", "passed")
+
+
+# -- RFM on the distributed paths (W4, W5) ----------------------------------------
+
+
+@query("rfm_cutkeys")
+def q_rfm_cutkeys(spark, sf_dir):
+    """Same scores as rfm_features, through the range-shuffle cut-key path."""
+    return rfm.rfm_features(fe.ratio_features(customer_base(spark, sf_dir)), method="cuts")
+
+
+@query("rfm_frozen")
+def q_rfm_frozen(spark, sf_dir):
+    """Edges fitted on the training split, applied to the test split."""
+    split = sp.split_hash(customer_base(spark, sf_dir))
+    model = rfm.fit_rfm(split.where(F.col("split") == "train"))
+    test = split.where(F.col("split") == "test")
+    return rfm.apply_rfm(test, model).select(ID, "r_score", "f_score", "m_score", "rfm_score")
+
+
+@query("split_stratified_cuts")
+def q_split_stratified_cuts(spark, sf_dir):
+    """Stratified split through per-label cut keys (no per-label window)."""
+    return sp.split_stratified(customer_base(spark, sf_dir), method="cuts").select(ID, LABEL, "split")
+
+
+@query("describe_cuts")
+def q_describe_cuts(spark, sf_dir):
+    """describe() with exact quartiles from the range-shuffle path."""
+    base = customer_base(spark, sf_dir)
+    return pr.describe(base, base.columns, method="cuts")

@@ -344,3 +344,36 @@ SQL["runs_query"] = RUNS_FULL + """
 SELECT run_name, accuracy, f1 FROM rt WHERE accuracy > 0.5 ORDER BY f1 DESC, run_name LIMIT 5"""
 SQL["best_run"] = RUNS_FULL + "SELECT * FROM lb ORDER BY f1 DESC, run_name LIMIT 1"
 SQL["quality_gate"] = RUNS_FULL + "SELECT run_name, f1, CAST(coalesce(f1, 0.0) >= 0.3 AS BIGINT) AS passed FROM rt"
+
+
+# -- distributed RFM paths --------------------------------------------------------
+
+SQL["rfm_cutkeys"] = SQL["rfm_features"]
+SQL["split_stratified_cuts"] = SQL["split_stratified"]
+SQL["describe_cuts"] = SQL["describe"]
+
+
+def _frozen_cut(c: str) -> str:
+    return f"""{c}_cuts AS (
+  SELECT list({c} ORDER BY k) AS v FROM (
+    SELECT k.k, t.{c} FROM (SELECT *, row_number() OVER (ORDER BY {c}, customer_id) AS rn,
+                                   count(*) OVER () AS n FROM tr) t,
+           (SELECT range AS k FROM range(1, 5)) k
+    WHERE t.rn = 1 + ((t.n - 1) * k.k) // 5))"""
+
+
+SQL["rfm_frozen"] = with_ctes(
+    BASE, SPLIT,
+    "tr AS (SELECT * FROM sp WHERE split = 'train')",
+    "te AS (SELECT * FROM sp WHERE split = 'test')",
+    "re AS (SELECT quantile_cont(recency_days, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]) AS e FROM tr)",
+    _frozen_cut("frequency"), _frozen_cut("monetary_value"),
+    """sco AS (SELECT te.customer_id,
+      CAST(5 - CAST(recency_days > re.e[2] AS BIGINT) - CAST(recency_days > re.e[3] AS BIGINT)
+             - CAST(recency_days > re.e[4] AS BIGINT) - CAST(recency_days > re.e[5] AS BIGINT) AS BIGINT) AS r_score,
+      CAST(1 + CAST(frequency > fc.v[1] AS BIGINT) + CAST(frequency > fc.v[2] AS BIGINT)
+             + CAST(frequency > fc.v[3] AS BIGINT) + CAST(frequency > fc.v[4] AS BIGINT) AS BIGINT) AS f_score,
+      CAST(1 + CAST(monetary_value > mc.v[1] AS BIGINT) + CAST(monetary_value > mc.v[2] AS BIGINT)
+             + CAST(monetary_value > mc.v[3] AS BIGINT) + CAST(monetary_value > mc.v[4] AS BIGINT) AS BIGINT) AS m_score
+    FROM te, re, frequency_cuts fc, monetary_value_cuts mc)""",
+) + "SELECT *, CAST(r_score + f_score + m_score AS BIGINT) AS rfm_score FROM sco"
