@@ -129,3 +129,20 @@ def top_k(df: DataFrame, col: str = "churn_probability", k: int = 10, tie: str =
 def first_n(df: DataFrame, n: int, order: str = ID) -> DataFrame:
     """First n rows in id order (the reference's ``head(n)``)."""
     return df.orderBy(F.col(order).asc()).limit(n)
+
+
+def fit_rule_stats(df: DataFrame, weights: dict[str, float] | None = None) -> dict[str, tuple[float, float]]:
+    """Freeze the rule's statistics: {column: (mean, sample std)} from one aggregate row."""
+    weights = weights or RULE_WEIGHTS
+    row = df.select(*[F.avg(c).alias(f"{c}__m") for c in weights],
+                    *[F.stddev_samp(c).alias(f"{c}__s") for c in weights]).first()
+    return {c: (float(row[f"{c}__m"]), float(row[f"{c}__s"])) for c in weights}
+
+
+def rule_score_frozen(df: DataFrame, stats: dict[str, tuple[float, float]],
+                      weights: dict[str, float] | None = None, out: str = "churn_probability") -> DataFrame:
+    """The churn rule with frozen statistics (literals only: works on streams)."""
+    weights = weights or RULE_WEIGHTS
+    score = sum((F.lit(w) * ((F.col(c) - F.lit(stats[c][0])) / F.lit(stats[c][1])) for c, w in weights.items()),
+                F.lit(0.0))
+    return df.withColumn(out, sigmoid(score).cast("double"))

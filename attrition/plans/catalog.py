@@ -395,3 +395,105 @@ def q_describe_cuts(spark, sf_dir):
     """describe() with exact quartiles from the range-shuffle path."""
     base = customer_base(spark, sf_dir)
     return pr.describe(base, base.columns, method="cuts")
+
+
+# -- generated data, MLlib models and the stream (rows-only checks) -----------------
+
+import uuid  # noqa: E402
+
+from attrition.operators import models as ml  # noqa: E402
+from attrition.session import ensure_checkpoint_dir  # noqa: E402
+from attrition.sources import synth  # noqa: E402
+from attrition.sources.testdata import table  # noqa: E402
+from attrition.streaming.scoring_stream import score_stream  # noqa: E402
+
+F13 = preset("F13")
+RF_DEFAULT = {"n_estimators": 100, "max_depth": 10}
+GRID = {"n_estimators": [100, 200], "max_depth": [5, 10, None], "min_samples_split": [2, 10, 20]}
+
+
+def model_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    s = sp.split_stratified(features(spark, sf_dir))
+    return s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
+
+
+@query("synth_customers")
+def q_synth_customers(spark, sf_dir):
+    """Correlated synthetic twin of the customer table: one generated row per
+    row of ``customer`` (the count is read from the table)."""
+    n = table(spark, sf_dir, "customer").count()
+    return synth.correlated_customers(spark, n, seed=42)
+
+
+def _scores(spark, sf_dir, kind, params):
+    train, test = model_split(spark, sf_dir)
+    return ml.score_frame(ml.fit(train, kind, params, F13), test)
+
+
+@query("lr_scores")
+def q_lr_scores(spark, sf_dir):
+    return _scores(spark, sf_dir, "lr", {"C": 1.0, "max_iter": 1000})
+
+
+@query("rf_scores")
+def q_rf_scores(spark, sf_dir):
+    return _scores(spark, sf_dir, "rf", RF_DEFAULT)
+
+
+@query("gbt_scores")
+def q_gbt_scores(spark, sf_dir):
+    return _scores(spark, sf_dir, "gbt", {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3})
+
+
+@query("candidate_compare")
+def q_candidate_compare(spark, sf_dir):
+    """Candidates trained concurrently, compared on the same test rows (best = first row)."""
+    train, test = model_split(spark, sf_dir)
+    specs = [ml.Spec("lr", {}, "logistic_regression"), ml.Spec("rf", {"n_estimators": 50}, "random_forest"),
+             ml.Spec("gbt", {"n_estimators": 50}, "gradient_boosting")]
+    table_ = ml.compare(train, test, specs, F13, parallelism=3)
+    return table_.orderBy(F.col("accuracy").desc(), F.col("order").asc())
+
+
+@query("cv_accuracy")
+def q_cv_accuracy(spark, sf_dir):
+    return ml.cv_score(features(spark, sf_dir), "rf", RF_DEFAULT, F13, k=5)
+
+
+@query("grid_search")
+def q_grid_search(spark, sf_dir):
+    _, table_ = ml.grid_search(features(spark, sf_dir), "rf", GRID, F13, k=5, parallelism=8)
+    return table_
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    train, _ = model_split(spark, sf_dir)
+    return ml.importance_frame(spark, ml.fit(train, "rf", RF_DEFAULT, F13), F13)
+
+
+@query("top8_retrain")
+def q_top8_retrain(spark, sf_dir):
+    """Retrain on the 8 most important features and compare with all features."""
+    train, test = model_split(spark, sf_dir)
+    full = ml.fit(train, "rf", RF_DEFAULT, F13)
+    top8 = [f for f, _ in ml.feature_importance(full, F13)[:8]]
+    small = ml.fit(train, "rf", RF_DEFAULT, top8)
+    a = ml.evaluate(full, test).withColumn("run_name", F.lit("all_features"))
+    b = ml.evaluate(small, test).withColumn("run_name", F.lit("top8:" + ",".join(top8)))
+    return a.unionByName(b)
+
+
+@query("stream_scores")
+def q_stream_scores(spark, sf_dir):
+    """The customer base written as files, scored by an available-now stream
+    with RFM edges and rule statistics frozen beforehand."""
+    base = customer_base(spark, sf_dir)
+    root = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    base.repartition(4).write.parquet(f"{root}/in")
+    frozen = spark.read.parquet(f"{root}/in")
+    model = rfm.fit_rfm(frozen)
+    stats = scoring.fit_rule_stats(frozen)
+    score_stream(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", rfm_model=model, rule_stats=stats,
+                 version=MODEL_VERSION, max_files_per_trigger=1)
+    return spark.read.parquet(f"{root}/out")
