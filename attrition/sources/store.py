@@ -65,20 +65,27 @@ def fingerprint(df: DataFrame, params: dict | None = None) -> str:
 
 def materialize(df: DataFrame, base: str, params: dict | None = None, ttl_s: float = 3600.0,
                 source: DataFrame | None = None) -> tuple[DataFrame, bool]:
-    """Write ``df`` once under ``base/fp=<fingerprint of source + params>`` and
-    reuse it while it is younger than ``ttl_s``.  Returns (table, hit).
+    """Write ``df`` once under ``base/fp=<fingerprint>/t=<epoch ms>`` and reuse the
+    newest complete copy while it is younger than ``ttl_s``.  Returns (table, hit).
 
     The fingerprint is taken over ``source`` (default: ``df``), the input the
-    derived table depends on; a hit skips recomputing ``df`` entirely.
+    derived table depends on, plus ``params``; a hit skips recomputing ``df``.
+    A refresh writes a new ``t=`` folder instead of overwriting, so tables
+    handed out earlier stay readable.
     """
     spark = df.sparkSession
     fp = fingerprint(source if source is not None else df, params)
-    path = f"{base}/fp={fp}"
-    marker = f"{path}/_SUCCESS"
-    if path_exists(spark, marker):
-        fs, p = _jvm_fs(spark, marker)
-        age = time.time() - fs.getFileStatus(p).getModificationTime() / 1000.0
-        if age <= ttl_s:
-            return spark.read.parquet(path), True
-    df.write.mode("overwrite").parquet(path)
+    folder = f"{base}/fp={fp}"
+    fs, p = _jvm_fs(spark, folder)
+    now_ms = int(time.time() * 1000)
+    if fs.exists(p):
+        stamps = []
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith("t=") and path_exists(spark, f"{folder}/{name}/_SUCCESS"):
+                stamps.append(int(name[2:]))
+        if stamps and (now_ms - max(stamps)) / 1000.0 <= ttl_s:
+            return spark.read.parquet(f"{folder}/t={max(stamps)}"), True
+    path = f"{folder}/t={now_ms}"
+    df.write.mode("error").parquet(path)
     return spark.read.parquet(path), False
