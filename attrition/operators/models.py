@@ -68,11 +68,12 @@ def classifier(kind: str, params: dict | None = None, n_rows: int | None = None)
             numTrees=int(p.pop("n_estimators", 100)),
             maxDepth=MAX_DEPTH_NONE if depth is None else int(depth),
             minInstancesPerNode=max(1, int(p.pop("min_samples_split", 2)) // 2),
-            featureSubsetStrategy="sqrt", seed=SEED, featuresCol="features", labelCol="label")
+            featureSubsetStrategy="sqrt", seed=SEED, featuresCol="features", labelCol="label",
+            cacheNodeIds=True, maxMemoryInMB=512)
     if kind == "gbt":
         return GBTClassifier(maxIter=int(p.pop("n_estimators", 100)), stepSize=float(p.pop("learning_rate", 0.1)),
                              maxDepth=int(p.pop("max_depth", 3)), seed=SEED, featuresCol="features",
-                             labelCol="label")
+                             labelCol="label", cacheNodeIds=True, maxMemoryInMB=512)
     raise ValueError(f"unknown model kind {kind!r}")
 
 

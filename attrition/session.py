@@ -26,6 +26,8 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: st
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for k, v in DEFAULTS.items():
         builder = builder.config(k, v)

@@ -48,7 +48,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def customer_base(spark: SparkSession, sf_dir: str, cutoff: dt.date = CUTOFF) -> DataFrame:
+def customer_base(spark: SparkSession, sf_dir: str, cutoff: dt.date = CUTOFF, materialize: bool = False) -> DataFrame:
+    """The customer base (see the module docstring).
+
+    ``materialize=True`` writes it once to the reliable checkpoint folder
+    (``spark.checkpoint.dir``) and returns the checkpointed table: the
+    statistics that follow (quantile edges, z-score moments, ranks) then read
+    one row per customer instead of re-aggregating ``orders`` for each of them,
+    and the lineage is cut so a lost executor does not replay the orders scan.
+    """
+    if materialize:
+        from attrition.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(spark)
+        return customer_base(spark, sf_dir, cutoff).checkpoint(eager=True)
     start = cutoff - dt.timedelta(days=HORIZON_DAYS)
     end = cutoff + dt.timedelta(days=HORIZON_DAYS)
     c_lit, s_lit, e_lit = F.lit(cutoff), F.lit(start), F.lit(end)
