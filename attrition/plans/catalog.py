@@ -420,7 +420,9 @@ GRID = {"n_estimators": [100, 200], "max_depth": [5, 10, 15], "min_samples_split
 
 
 def model_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    s = sp.split_stratified(features(spark, sf_dir))
+    """Stratified train/test split of the features; kept (memory, then disk)
+    because every fit makes several passes over it."""
+    s = sp.split_stratified(features(spark, sf_dir)).persist()
     return s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
 
 
