@@ -67,7 +67,8 @@ def customer_base(spark: SparkSession, sf_dir: str, cutoff: dt.date = CUTOFF, ma
     c_lit, s_lit, e_lit = F.lit(cutoff), F.lit(start), F.lit(end)
 
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
-    orders = orders.where(F.col("o_orderdate") < F.lit(dt.datetime.combine(end, dt.time())))
+    # date literal: compared with the timestamp_ntz column without any time-zone shift
+    orders = orders.where(F.col("o_orderdate") < e_lit)
     d = F.to_date("o_orderdate")
     past = d < c_lit
     per_cust = (
