@@ -20,6 +20,16 @@ def r6(c: str | Column) -> Column:
     return (F.floor(col(c) * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)).cast("double")
 
 
+def r6_sql(x: str) -> str:
+    """SQL text of :func:`r6`, for expressions assembled as one string."""
+    return f"CAST(floor(({x}) * 1e6 + 0.5) / 1e6 AS DOUBLE)"
+
+
+def q(name: str) -> str:
+    """Back-quoted column name for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def cents(c: str | Column) -> Column:
     """Money as an exact integer number of cents (sums are then order-free)."""
     return F.round(col(c) * F.lit(100)).cast("long")

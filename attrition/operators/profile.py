@@ -13,7 +13,8 @@ import itertools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attrition.functions.exprs import r6
+from attrition.functions.exprs import q as qn
+from attrition.functions.exprs import r6, r6_sql
 from attrition.operators.rfm import choose_method, exact_quantiles
 from attrition.schema import ID, LABEL
 
@@ -47,29 +48,52 @@ def null_counts(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(*structs)))
 
 
+# A column whose (approximate) distinct count is below this keeps the exact
+# value -> count buffer of ``percentile``; above it, exact quantiles come from
+# the range-shuffle cut-key path instead.
+MAP_MAX_DISTINCT = 200_000
+
+
+def quantile_methods(df: DataFrame, cols: list[str], method: str = "auto") -> dict[str, str]:
+    """Exact-quantile strategy per column: 'percentile' or 'cuts' (or 'approx').
+
+    ``auto``: small inputs (optimizer estimate) use ``percentile`` throughout;
+    larger ones pay one aggregate of ``approx_count_distinct`` for all columns
+    and use the cut-key path only where the value map would be large.
+    """
+    if method in ("percentile", "cuts", "approx"):
+        return {c: method for c in cols}
+    if method not in ("auto", "window"):
+        raise ValueError(method)
+    if method == "window" or choose_method(df, "auto") == "window":
+        return {c: "percentile" for c in cols}
+    row = df.select(*[F.approx_count_distinct(F.col(c), 0.05).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+    return {c: "percentile" if row[f"d{i}"] <= MAP_MAX_DISTINCT else "cuts" for i, c in enumerate(cols)}
+
+
+def _quartiles(x, how: str, exact: list[float] | None = None):
+    if how == "percentile":
+        return F.percentile(x, F.array(*[F.lit(p) for p in QUARTILES]))
+    if how == "approx":
+        return F.percentile_approx(x, F.array(*[F.lit(p) for p in QUARTILES]), 100_000)
+    return F.array(*[F.lit(v) for v in exact]).cast("array<double>")
+
+
 def describe(df: DataFrame, cols: list[str], method: str = "auto", id_col: str = ID) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (linear interpolation), max.
 
-    ``method``: ``percentile`` (exact; buffer = distinct values of the column),
-    ``cuts`` (exact, one range shuffle per column, for high-cardinality columns
-    at scale), ``approx`` (``percentile_approx``, inexact), ``auto`` (by the
-    optimizer's size estimate).  Not ``df.summary()``: its quartiles are
-    approximate.
+    Quartiles per column (see :func:`quantile_methods`): ``percentile`` (exact;
+    buffer = distinct values), ``cuts`` (exact, one range shuffle of the column
+    and the id), ``approx`` (``percentile_approx``, inexact, opt-in only).
+    Everything else is one aggregate pass.  Not ``df.summary()``: its
+    quartiles are approximate.
     """
-    method = choose_method(df, method)
-    if method == "window":
-        method = "percentile"
+    how = quantile_methods(df, cols, method)
     structs = []
     for c in cols:
         x = F.col(c).cast("double")
-        if method == "percentile":
-            qs = F.percentile(x, F.array(*[F.lit(p) for p in QUARTILES]))
-        elif method == "approx":
-            qs = F.percentile_approx(x, F.array(*[F.lit(p) for p in QUARTILES]), 100_000)
-        elif method == "cuts":
-            qs = F.array(*[F.lit(v) for v in exact_quantiles(df, c, QUARTILES, id_col)]).cast("array<double>")
-        else:
-            raise ValueError(method)
+        exact = exact_quantiles(df, c, QUARTILES, id_col) if how[c] == "cuts" else None
+        qs = _quartiles(x, how[c], exact)
         structs.append(
             F.struct(
                 F.lit(c).alias("column"),
@@ -111,56 +135,70 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:
     is closed.  When hi == lo the range is widened to [lo-0.5, lo+0.5] (as
     NumPy does).  min/max come from one scalar subquery; the counts of all
     bins of all columns come from one more aggregate of conditional counts,
-    so empty bins are kept without a join.
+    so empty bins are kept without a join.  The wide aggregate is handed to
+    Spark as one SQL expression string (one driver call instead of hundreds).
     """
     mm = df.select(
-        F.struct(*[F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(c)
-                   for c in cols]).alias("s")
+        F.struct(*[F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(f"c{i}")
+                   for i, c in enumerate(cols)]).alias("s")
     ).scalar()
     tmp = df.withColumn("_mm", mm)
-    structs = []
-    bin_cols = {}
-    for c in cols:
-        lo0, hi0 = F.col(f"_mm.{c}.lo"), F.col(f"_mm.{c}.hi")
-        lo = F.when(lo0 == hi0, lo0 - 0.5).otherwise(lo0)
-        hi = F.when(lo0 == hi0, hi0 + 0.5).otherwise(hi0)
-        b = F.least(F.floor((F.col(c).cast("double") - lo) / (hi - lo) * F.lit(bins)), F.lit(bins - 1))
-        bin_cols[f"_b_{c}"] = b
-        bin_cols[f"_lo_{c}"] = lo
-        bin_cols[f"_hi_{c}"] = hi
-    tmp = tmp.withColumns(bin_cols)
-    for c in cols:
-        counts = F.array(*[F.count_if(F.col(f"_b_{c}") == i) for i in range(bins)])
-        structs.append(F.struct(F.lit(c).alias("column"), F.first(f"_lo_{c}").alias("lo"),
-                                F.first(f"_hi_{c}").alias("hi"), counts.alias("counts")))
-    wide = tmp.select(F.inline(F.array(*structs)))
-    per_bin = wide.select("column", "lo", "hi", F.posexplode("counts").alias("bin", "count"))
-    w = (F.col("hi") - F.col("lo")) / F.lit(bins)
-    return per_bin.select(
+    bin_exprs, structs = [], []
+    for i, c in enumerate(cols):
+        lo0, hi0 = f"_mm.c{i}.lo", f"_mm.c{i}.hi"
+        lo = f"CASE WHEN {lo0} = {hi0} THEN {lo0} - 0.5 ELSE {lo0} END"
+        hi = f"CASE WHEN {lo0} = {hi0} THEN {hi0} + 0.5 ELSE {hi0} END"
+        b = f"least(floor((CAST({qn(c)} AS DOUBLE) - ({lo})) / (({hi}) - ({lo})) * {bins}), {bins - 1})"
+        bin_exprs += [f"{b} AS _b{i}", f"{lo} AS _lo{i}", f"{hi} AS _hi{i}"]
+        counts = ", ".join(f"count_if(_b{i} = {k})" for k in range(bins))
+        structs.append(f"struct('{c}' AS column, first(_lo{i}) AS lo, first(_hi{i}) AS hi, array({counts}) AS counts)")
+    wide = tmp.selectExpr(*bin_exprs).selectExpr(f"inline(array({', '.join(structs)}))")
+    per_bin = wide.selectExpr("column", "lo", "hi", "posexplode(counts) AS (bin, count)")
+    w = f"((hi - lo) / {bins})"
+    return per_bin.selectExpr(
         "column",
-        F.col("bin").cast("long").alias("bin"),
-        r6(F.col("lo") + F.col("bin") * w).alias("bin_lo"),
-        r6(F.col("lo") + (F.col("bin") + 1) * w).alias("bin_hi"),
-        F.col("count").cast("long").alias("count"),
+        "CAST(bin AS BIGINT) AS bin",
+        f"{r6_sql(f'lo + bin * {w}')} AS bin_lo",
+        f"{r6_sql(f'lo + (bin + 1) * {w}')} AS bin_hi",
+        "CAST(count AS BIGINT) AS count",
     )
 
 
-def boxplot_stats(df: DataFrame, cols: list[str], by: str = LABEL, method: str = "percentile") -> DataFrame:
+# Most groups for which per-group exact quartiles are found one group at a time.
+MAX_CUT_GROUPS = 64
+
+
+def boxplot_stats(df: DataFrame, cols: list[str], by: str = LABEL, method: str = "auto",
+                  id_col: str = ID) -> DataFrame:
     """Per column and group: q1, median, q3, whiskers, outlier count.
 
-    Whiskers are the farthest values within 1.5 IQR of the quartiles.  The
-    quartiles are one grouped aggregate (a row per group of ``by``); joining
-    them back is left to adaptive execution, which broadcasts that side only
-    when its measured size is under the threshold.  ``method='approx'`` uses
-    ``percentile_approx`` for high-cardinality columns at scale.
+    Whiskers are the farthest values within 1.5 IQR of the quartiles.
+    Quartiles (see :func:`quantile_methods`): with ``percentile`` they are one
+    grouped aggregate (a row per group of ``by``) joined back on ``by``;
+    adaptive execution broadcasts that side only when its measured size is
+    under the threshold.  Columns on the ``cuts`` path get exact per-group
+    quartiles from the range-shuffle path, inlined as literals (no join).
+    The whisker and outlier pass is one more grouped aggregate with partial
+    aggregation, so a group holding most rows is pre-summed map-side.
     """
-    qfun = (
-        (lambda x: F.percentile(x, F.array(*[F.lit(p) for p in QUARTILES])))
-        if method == "percentile"
-        else (lambda x: F.percentile_approx(x, F.array(*[F.lit(p) for p in QUARTILES]), 100_000))
-    )
-    quart = df.groupBy(by).agg(*[qfun(F.col(c).cast("double")).alias(f"_q_{c}") for c in cols])
-    joined = df.select(by, *cols).join(quart, by)
+    how = quantile_methods(df, cols, method)
+    mapped = [c for c in cols if how[c] != "cuts"]
+    cut_cols = [c for c in cols if how[c] == "cuts"]
+    joined = df.select(by, *cols)
+    if mapped:
+        quart = df.groupBy(by).agg(*[_quartiles(F.col(c).cast("double"), how[c]).alias(f"_q_{c}") for c in mapped])
+        joined = joined.join(quart, by)
+    if cut_cols:
+        groups = [r[by] for r in df.select(by).distinct().limit(MAX_CUT_GROUPS + 1).collect()]
+        if len(groups) > MAX_CUT_GROUPS:
+            raise ValueError(f"{by} has more than {MAX_CUT_GROUPS} groups; use method='approx'")
+        for c in cut_cols:
+            expr = F.lit(None).cast("array<double>")
+            for g in groups:
+                sub = df.where(F.col(by).isNull() if g is None else F.col(by) == g)
+                qv = F.array(*[F.lit(v) for v in exact_quantiles(sub, c, QUARTILES, id_col)]).cast("array<double>")
+                expr = F.when(F.col(by).isNull() if g is None else F.col(by) == g, qv).otherwise(expr)
+            joined = joined.withColumn(f"_q_{c}", expr)
     structs = []
     for c in cols:
         x = F.col(c).cast("double")
@@ -184,17 +222,17 @@ def boxplot_stats(df: DataFrame, cols: list[str], by: str = LABEL, method: str =
 def corr_long(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlation of every pair, long form (col_a, col_b, corr).
 
-    One aggregate with ``corr`` for each unordered pair; the diagonal is 1.
+    One aggregate with ``corr`` for each unordered pair (both orientations
+    reuse the same aggregate); the diagonal is 1.
     """
-    pairs = list(itertools.combinations(cols, 2))
     structs = []
-    for a, b in pairs:
-        v = r6(F.corr(F.col(a).cast("double"), F.col(b).cast("double")))
-        structs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), v.alias("corr")))
-        structs.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), v.alias("corr")))
+    for a, b in itertools.combinations(cols, 2):
+        v = r6_sql(f"corr(CAST({qn(a)} AS DOUBLE), CAST({qn(b)} AS DOUBLE))")
+        structs.append(f"struct('{a}' AS col_a, '{b}' AS col_b, {v} AS corr)")
+        structs.append(f"struct('{b}' AS col_a, '{a}' AS col_b, {v} AS corr)")
     for a in cols:
-        structs.append(F.struct(F.lit(a).alias("col_a"), F.lit(a).alias("col_b"), F.lit(1.0).alias("corr")))
-    return df.select(F.inline(F.array(*structs)))
+        structs.append(f"struct('{a}' AS col_a, '{a}' AS col_b, CAST(1.0 AS DOUBLE) AS corr)")
+    return df.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 def profile(df: DataFrame, label: str = LABEL) -> dict[str, DataFrame]:

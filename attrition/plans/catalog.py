@@ -505,5 +505,11 @@ def q_stream_scores(spark, sf_dir):
     model = rfm.fit_rfm(frozen)
     stats = scoring.fit_rule_stats(frozen)
     score_stream(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", rfm_model=model, rule_stats=stats,
-                 version=MODEL_VERSION, max_files_per_trigger=1)
+                 version=MODEL_VERSION, max_files_per_trigger=2)
     return spark.read.parquet(f"{root}/out")
+
+
+@query("boxplot_by_churn_cuts")
+def q_boxplot_by_churn_cuts(spark, sf_dir):
+    """Box-plot statistics with exact per-group quartiles from the cut-key path."""
+    return pr.boxplot_stats(customer_base(spark, sf_dir), BASE_FEATURES, LABEL, method="cuts")

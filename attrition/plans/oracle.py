@@ -377,3 +377,5 @@ SQL["rfm_frozen"] = with_ctes(
              + CAST(monetary_value > mc.v[3] AS BIGINT) + CAST(monetary_value > mc.v[4] AS BIGINT) AS BIGINT) AS m_score
     FROM te, re, frequency_cuts fc, monetary_value_cuts mc)""",
 ) + "SELECT *, CAST(r_score + f_score + m_score AS BIGINT) AS rfm_score FROM sco"
+
+SQL["boxplot_by_churn_cuts"] = SQL["boxplot_by_churn"]

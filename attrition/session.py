@@ -28,6 +28,8 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: st
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        # no Python call-site capture per Column call (a debugging aid; costs ms per expression)
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for k, v in DEFAULTS.items():
         builder = builder.config(k, v)
