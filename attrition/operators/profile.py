@@ -164,8 +164,12 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:
     )
 
 
-# Most groups for which per-group exact quartiles are found one group at a time.
-MAX_CUT_GROUPS = 64
+# Most groups whose quartiles are fetched and inlined as literals (no join).
+MAX_LITERAL_GROUPS = 64
+
+
+def _group_pred(by: str, g):
+    return F.col(by).isNull() if g is None else F.col(by) == F.lit(g)
 
 
 def boxplot_stats(df: DataFrame, cols: list[str], by: str = LABEL, method: str = "auto",
@@ -173,32 +177,47 @@ def boxplot_stats(df: DataFrame, cols: list[str], by: str = LABEL, method: str =
     """Per column and group: q1, median, q3, whiskers, outlier count.
 
     Whiskers are the farthest values within 1.5 IQR of the quartiles.
-    Quartiles (see :func:`quantile_methods`): with ``percentile`` they are one
-    grouped aggregate (a row per group of ``by``) joined back on ``by``;
-    adaptive execution broadcasts that side only when its measured size is
-    under the threshold.  Columns on the ``cuts`` path get exact per-group
-    quartiles from the range-shuffle path, inlined as literals (no join).
-    The whisker and outlier pass is one more grouped aggregate with partial
-    aggregation, so a group holding most rows is pre-summed map-side.
+    The groups of ``by`` are counted first (stopping past a bound).  With at
+    most ``MAX_LITERAL_GROUPS`` groups, the quartiles (one row per group, from
+    ``percentile`` or, for high-cardinality columns, the cut-key path; see
+    :func:`quantile_methods`) are fetched and inlined as literals, so the rows
+    are never joined or shuffled by a key that may hold most of them.  With
+    more groups the quartile table is joined back on ``by`` (adaptive
+    execution broadcasts it when its measured size allows).  The whisker and
+    outlier pass is one grouped aggregate with partial aggregation, so a group
+    holding most rows is pre-summed map-side.
     """
     how = quantile_methods(df, cols, method)
+    groups = [r[by] for r in df.select(by).distinct().limit(MAX_LITERAL_GROUPS + 1).collect()]
+    rows = df.select(by, *cols)
     mapped = [c for c in cols if how[c] != "cuts"]
     cut_cols = [c for c in cols if how[c] == "cuts"]
-    joined = df.select(by, *cols)
-    if mapped:
+    if len(groups) > MAX_LITERAL_GROUPS:
+        if cut_cols:
+            raise ValueError(f"{by} has more than {MAX_LITERAL_GROUPS} groups; use method='approx' or 'percentile'")
         quart = df.groupBy(by).agg(*[_quartiles(F.col(c).cast("double"), how[c]).alias(f"_q_{c}") for c in mapped])
-        joined = joined.join(quart, by)
-    if cut_cols:
-        groups = [r[by] for r in df.select(by).distinct().limit(MAX_CUT_GROUPS + 1).collect()]
-        if len(groups) > MAX_CUT_GROUPS:
-            raise ValueError(f"{by} has more than {MAX_CUT_GROUPS} groups; use method='approx'")
+        rows = rows.join(quart, by)
+    else:
+        values: dict = {g: {} for g in groups}
+        if mapped:
+            qrows = df.groupBy(by).agg(
+                *[_quartiles(F.col(c).cast("double"), how[c]).alias(f"_q_{c}") for c in mapped]).collect()
+            for r in qrows:
+                for c in mapped:
+                    values[r[by]][c] = r[f"_q_{c}"]
         for c in cut_cols:
+            for g in groups:
+                values[g][c] = exact_quantiles(df.where(_group_pred(by, g)), c, QUARTILES, id_col)
+        lit_cols = {}
+        for c in cols:
             expr = F.lit(None).cast("array<double>")
             for g in groups:
-                sub = df.where(F.col(by).isNull() if g is None else F.col(by) == g)
-                qv = F.array(*[F.lit(v) for v in exact_quantiles(sub, c, QUARTILES, id_col)]).cast("array<double>")
-                expr = F.when(F.col(by).isNull() if g is None else F.col(by) == g, qv).otherwise(expr)
-            joined = joined.withColumn(f"_q_{c}", expr)
+                qv = values[g].get(c)
+                arr = F.lit(None).cast("array<double>") if qv is None else \
+                    F.array(*[F.lit(float(v)) for v in qv]).cast("array<double>")
+                expr = F.when(_group_pred(by, g), arr).otherwise(expr)
+            lit_cols[f"_q_{c}"] = expr
+        rows = rows.withColumns(lit_cols)
     structs = []
     for c in cols:
         x = F.col(c).cast("double")
@@ -216,7 +235,7 @@ def boxplot_stats(df: DataFrame, cols: list[str], by: str = LABEL, method: str =
                 F.count_if((x < lo_f) | (x > hi_f)).alias("n_outliers"),
             )
         )
-    return joined.groupBy(by).agg(F.array(*structs).alias("_s")).select(by, F.inline("_s"))
+    return rows.groupBy(by).agg(F.array(*structs).alias("_s")).select(by, F.inline("_s"))
 
 
 def corr_long(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -69,9 +69,28 @@ def _bin_from_edges(x: Column, edges: Column, q: int) -> Column:
     return F.when(x.isNull(), F.lit(None)).otherwise((F.lit(1) + below).cast("long"))
 
 
-def qcut_by_value(df: DataFrame, col: str, q: int = 5, out: str | None = None, reverse: bool = False) -> DataFrame:
-    """Bin ``col`` into q quantile bins by value; ``reverse`` labels them q..1."""
-    b = _bin_from_edges(F.col(col).cast("double"), value_edges_expr(df, col, q), q)
+def qcut_by_value(df: DataFrame, col: str, q: int = 5, out: str | None = None, reverse: bool = False,
+                  method: str = "percentile", id_col: str = ID) -> DataFrame:
+    """Bin ``col`` into q quantile bins by value; ``reverse`` labels them q..1.
+
+    ``percentile`` (default): edges from one exact ``percentile`` aggregate
+    (buffer = distinct values: right for bounded columns such as day counts).
+    ``cuts``: exact edges from the range-shuffle cut-key path, for
+    high-cardinality columns at scale (edges become literals).
+    """
+    x = F.col(col).cast("double")
+    if method == "percentile":
+        edges = value_edges_expr(df, col, q)
+    elif method == "cuts":
+        e = exact_quantiles(df, col, _levels(q), id_col)
+        if any(v is None for v in e):
+            return df.withColumn(out or f"{col}_bin", F.lit(None).cast("long"))
+        if len(set(e)) < len(e):
+            raise DuplicateEdgesError(f"duplicate quantile edges for {col}: {e}")
+        edges = F.array(*[F.lit(float(v)) for v in e])
+    else:
+        raise ValueError(f"unknown method {method!r}")
+    b = _bin_from_edges(x, edges, q)
     if reverse:
         b = F.lit(q + 1) - b
     return df.withColumn(out or f"{col}_bin", b.cast("long"))

@@ -106,3 +106,12 @@ def test_frozen_rfm_on_same_batch(spark):
     b = rfm.rfm_features(df, method="window").select("customer_id", "r_score").orderBy("customer_id").toPandas()
     assert a["r_score"].tolist() == b["r_score"].tolist()
     assert set(model.to_dict()) == {"q", "recency_edges", "frequency_keys", "monetary_keys"}
+
+
+@pytest.mark.parametrize("n", [7, 120])
+def test_value_qcut_cuts_path(spark, n):
+    rng = np.random.default_rng(11 + n)
+    vals = rng.normal(100, 30, n).round(2).tolist()
+    a = rfm.qcut_by_value(frame(spark, vals), "x", 5, out="b", method="percentile")
+    b = rfm.qcut_by_value(frame(spark, vals), "x", 5, out="b", method="cuts")
+    assert a.orderBy("customer_id").collect() == b.orderBy("customer_id").collect()
