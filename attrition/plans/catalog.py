@@ -513,3 +513,10 @@ def q_stream_scores(spark, sf_dir):
 def q_boxplot_by_churn_cuts(spark, sf_dir):
     """Box-plot statistics with exact per-group quartiles from the cut-key path."""
     return pr.boxplot_stats(customer_base(spark, sf_dir), BASE_FEATURES, LABEL, method="cuts")
+
+
+@query("r_score_cuts")
+def q_r_score_cuts(spark, sf_dir):
+    """r_score with edges from the range-shuffle path (for high-cardinality columns)."""
+    return rfm.qcut_by_value(customer_base(spark, sf_dir), "recency_days", 5, out="r_score", reverse=True,
+                             method="cuts").select(ID, "recency_days", "r_score")

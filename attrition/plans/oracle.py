@@ -379,3 +379,4 @@ SQL["rfm_frozen"] = with_ctes(
 ) + "SELECT *, CAST(r_score + f_score + m_score AS BIGINT) AS rfm_score FROM sco"
 
 SQL["boxplot_by_churn_cuts"] = SQL["boxplot_by_churn"]
+SQL["r_score_cuts"] = SQL["r_score"]
