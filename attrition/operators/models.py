@@ -153,6 +153,12 @@ def cv_score(df: DataFrame, kind: str, params: dict | None, cols: list[str], k:
     return spark.createDataFrame(rows, f"fold long, {metric} double")
 
 
+def cv_summary(folds: DataFrame, metric: str = "accuracy") -> DataFrame:
+    """mean, population std and the mean +- 2 std band of a per-fold metric."""
+    m, sd = F.avg(metric), F.stddev_pop(metric)
+    return folds.agg(m.alias("mean"), sd.alias("std"), (m - 2 * sd).alias("low"), (m + 2 * sd).alias("high"))
+
+
 def grid_search(df: DataFrame, kind: str, grid: dict[str, list], cols: list[str], k: int = 5,
                 label: str = LABEL, parallelism: int = 4):
     """Exhaustive search with k-fold CV scored by the F1 of class 1, best refit.

@@ -50,3 +50,23 @@ def test_compare_runs_flow(spark):
     rows = {r["run_name"]: r for r in board.collect()}
     assert rows["never"]["metric_type"] == me.TRAIN_FLAG
     assert best.first()["run_name"] == "recency_gt_60"
+
+
+def test_cv_summary_band(spark):
+    folds = spark.createDataFrame([(0, 0.7), (1, 0.8), (2, 0.9)], "fold long, accuracy double")
+    r = ml.cv_summary(folds).first()
+    assert abs(r["mean"] - 0.8) < 1e-12
+    sd = (((0.1 ** 2) * 2) / 3) ** 0.5
+    assert abs(r["std"] - sd) < 1e-12 and abs(r["high"] - (0.8 + 2 * sd)) < 1e-12
+
+
+def test_predicted_at_is_one_stamp_per_batch(spark):
+    import datetime as dt
+
+    from attrition.operators import scoring
+    df = synth.correlated_customers(spark, 300)
+    stamp = dt.datetime(2024, 1, 2, 3, 4, 5)
+    out = scoring.score(scoring.rule_score(df), version="v7", predicted_at=stamp)
+    assert out.columns == ["customer_id", "churn_probability", "churn_predicted", "model_version", "predicted_at"]
+    assert out.select("predicted_at").distinct().count() == 1
+    assert out.select("model_version").distinct().first()[0] == "v7"
