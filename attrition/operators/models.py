@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrition.operators import metrics as me
+from attrition.operators.rfm import WINDOW_MAX_BYTES, estimated_bytes
 from attrition.operators.split import add_fold
 from attrition.schema import ID, LABEL
 
@@ -53,8 +54,12 @@ def with_label(df: DataFrame, label: str = LABEL) -> DataFrame:
     return df.withColumn("label", F.col(label).cast("double"))
 
 
-def classifier(kind: str, params: dict | None = None, n_rows: int | None = None):
+def classifier(kind: str, params: dict | None = None, n_rows: int | None = None, small: bool = False):
+    """An MLlib estimator for ``kind``.  Trees cache node ids; on large inputs
+    that cache is checkpointed every 10 levels (lineage cut, survives a lost
+    executor), on small ones (``small``) the checkpoint writes are skipped."""
     p = dict(params or {})
+    ckpt = -1 if small else 10
     if kind == "lr":
         c = float(p.pop("C", 1.0))
         reg = 1.0 / (c * n_rows) if n_rows else 0.0
@@ -69,11 +74,11 @@ def classifier(kind: str, params: dict | None = None, n_rows: int | None = None)
             maxDepth=MAX_DEPTH_NONE if depth is None else int(depth),
             minInstancesPerNode=max(1, int(p.pop("min_samples_split", 2)) // 2),
             featureSubsetStrategy="sqrt", seed=SEED, featuresCol="features", labelCol="label",
-            cacheNodeIds=True, maxMemoryInMB=512)
+            cacheNodeIds=True, checkpointInterval=ckpt, maxMemoryInMB=512)
     if kind == "gbt":
         return GBTClassifier(maxIter=int(p.pop("n_estimators", 100)), stepSize=float(p.pop("learning_rate", 0.1)),
                              maxDepth=int(p.pop("max_depth", 3)), seed=SEED, featuresCol="features",
-                             labelCol="label", cacheNodeIds=True, maxMemoryInMB=512)
+                             labelCol="label", cacheNodeIds=True, checkpointInterval=ckpt, maxMemoryInMB=512)
     raise ValueError(f"unknown model kind {kind!r}")
 
 
@@ -91,7 +96,8 @@ def fit(df: DataFrame, kind: str, params: dict | None, cols: list[str], label: s
     train = with_label(df, label)
     n = train.count() if kind == "lr" else None
     scale = (kind == "lr") if scale is None else scale
-    return make_pipeline(classifier(kind, params, n), cols, scale).fit(train)
+    small = estimated_bytes(train) <= WINDOW_MAX_BYTES
+    return make_pipeline(classifier(kind, params, n, small), cols, scale).fit(train)
 
 
 def predict(pm: PipelineModel, df: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -146,7 +152,9 @@ def cv_score(df: DataFrame, kind: str, params: dict | None, cols: list[str], k:
     rows = []
     for f in range(k):
         tr, te = data.where(F.col("fold") != f), data.where(F.col("fold") == f)
-        pipe = make_pipeline(classifier(kind, params, n - te.count() if kind == "lr" else None), cols, kind == "lr")
+        small = estimated_bytes(tr) <= WINDOW_MAX_BYTES
+        pipe = make_pipeline(classifier(kind, params, n - te.count() if kind == "lr" else None, small), cols,
+                             kind == "lr")
         rows.append((f, float(ev.evaluate(pipe.fit(tr).transform(te)))))
     data.unpersist()
     spark = df.sparkSession
@@ -166,7 +174,7 @@ def grid_search(df: DataFrame, kind: str, grid: dict[str, list], cols: list[str]
     Returns (best PipelineModel, DataFrame of settings with mean/std metric).
     """
     data = with_label(add_fold(df, k, label=label), label).persist()
-    clf = classifier(kind, {}, data.count())
+    clf = classifier(kind, {}, data.count(), estimated_bytes(data) <= WINDOW_MAX_BYTES)
     names = {"n_estimators": "numTrees" if kind == "rf" else "maxIter", "max_depth": "maxDepth",
              "min_samples_split": "minInstancesPerNode", "learning_rate": "stepSize"}
     builder = ParamGridBuilder()
