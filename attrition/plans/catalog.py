@@ -6,24 +6,33 @@ and runs over all of their rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attrition.functions.exprs import r6
 from attrition.operators import features as fe
+from attrition.operators import metrics as me
+from attrition.operators import models as ml
+from attrition.operators import profile as pr
 from attrition.operators import rfm, scoring
-from attrition.schema import ID
+from attrition.operators import scaling as sc
+from attrition.operators import split as sp
+from attrition.schema import BASE_FEATURES, ID, LABEL, preset
+from attrition.session import ensure_checkpoint_dir
+from attrition.sources import synth
+from attrition.sources.testdata import all_customers, table
 from attrition.sources.testdata import customer_base as _customer_base
-
+from attrition.streaming.scoring_stream import score_stream
 
 
 def customer_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base, built once per query and checkpointed (see ``materialize``)."""
     return _customer_base(spark, sf_dir, materialize=True)
 
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -111,11 +120,6 @@ def q_top10_risk(spark, sf_dir):
 
 # -- profile (A1-A10) ---------------------------------------------------------
 
-from attrition.operators import profile as pr  # noqa: E402
-from attrition.operators import scaling as sc  # noqa: E402
-from attrition.operators import split as sp  # noqa: E402
-from attrition.schema import BASE_FEATURES, LABEL, preset  # noqa: E402
-from attrition.sources.testdata import all_customers  # noqa: E402
 
 NULL_COLS = ["recency_days", "frequency", "monetary_value", "total_orders", "support_tickets"]
 
@@ -235,7 +239,6 @@ def q_first_100(spark, sf_dir):
 
 # -- scoring tables (P12-P17, R1-R5) --------------------------------------------
 
-from attrition.operators import metrics as me  # noqa: E402
 
 MODEL_VERSION = "rule-v1"
 P = "churn_probability"
@@ -405,13 +408,6 @@ def q_describe_cuts(spark, sf_dir):
 
 # -- generated data, MLlib models and the stream (rows-only checks) -----------------
 
-import uuid  # noqa: E402
-
-from attrition.operators import models as ml  # noqa: E402
-from attrition.session import ensure_checkpoint_dir  # noqa: E402
-from attrition.sources import synth  # noqa: E402
-from attrition.sources.testdata import table  # noqa: E402
-from attrition.streaming.scoring_stream import score_stream  # noqa: E402
 
 F13 = preset("F13")
 RF_DEFAULT = {"n_estimators": 100, "max_depth": 10}
