@@ -246,6 +246,12 @@ def exact_quantiles(df: DataFrame, col: str, levels: list[float], id_col: str =
     ``(hi_pos - h) * lo + (h - lo_pos) * hi`` with ``h = (n-1) p``.
     """
 
+    if id_col not in df.columns:
+        # the tie-break does not change a value quantile; a row hash keeps a hot
+        # value spread over range partitions and is the same on recomputation
+        df = df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+        id_col = "_tie"
+
     def positions(n: int) -> list[tuple[float, int, int]]:
         return [((n - 1) * p, math.floor((n - 1) * p), math.ceil((n - 1) * p)) for p in levels]
 

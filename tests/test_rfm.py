@@ -115,3 +115,11 @@ def test_value_qcut_cuts_path(spark, n):
     a = rfm.qcut_by_value(frame(spark, vals), "x", 5, out="b", method="percentile")
     b = rfm.qcut_by_value(frame(spark, vals), "x", 5, out="b", method="cuts")
     assert a.orderBy("customer_id").collect() == b.orderBy("customer_id").collect()
+
+
+def test_exact_quantiles_without_id(spark):
+    df = spark.range(1, 1001).select(((F.col("id") * 13) % 50).cast("double").alias("x"))
+    levels = [0.1, 0.5, 0.9]
+    exact = rfm.exact_quantiles(df, "x", levels)
+    ref = df.select(F.percentile("x", F.array(*[F.lit(p) for p in levels]))).first()[0]
+    assert exact == pytest.approx(ref, abs=1e-12)
