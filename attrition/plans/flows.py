@@ -18,9 +18,23 @@ from attrition.schema import LABEL, preset
 from attrition.sources import store
 
 
-def prepare(df: DataFrame, method: str = "auto") -> DataFrame:
-    """L1: ratio features + batch-relative RFM scores (shared by train and infer)."""
-    return rfm.rfm_features(fe.ratio_features(df), method=method)
+def prepare(df: DataFrame, method: str = "auto", rfm_model: rfm.RfmModel | None = None,
+            store_base: str | None = None, ttl_s: float = 3600.0) -> DataFrame:
+    """L1: ratio features + RFM scores (shared by train and infer).
+
+    RFM is batch-relative by default (as in the reference) or uses frozen
+    edges (``rfm_model``).  With ``store_base`` the result is materialised once
+    under a fingerprint of the input and the parameters, and reused while
+    younger than ``ttl_s`` (S12).
+    """
+    feats = fe.ratio_features(df)
+    feats = rfm.apply_rfm(feats, rfm_model) if rfm_model is not None else rfm.rfm_features(feats, method=method)
+    if store_base is None:
+        return feats
+    params = {"step": "prepare", "method": method,
+              "rfm": None if rfm_model is None else rfm_model.to_dict()}
+    table, _ = store.materialize(feats, store_base, params, ttl_s, source=df)
+    return table
 
 
 @dataclass
@@ -47,9 +61,12 @@ def train(df: DataFrame, kind: str = "rf", params: dict | None = None, feature_p
     return TrainResult(pm, metrics, passed, version)
 
 
-def infer(df: DataFrame, pm: PipelineModel, version: str | None = None, threshold: float = 0.5) -> DataFrame:
-    """L3: prepare -> score with a saved model; customer_id, probability, decision[, version]."""
-    out = models.score_frame(pm, prepare(df), threshold)
+def infer(df: DataFrame, pm: PipelineModel, version: str | None = None, threshold: float = 0.5,
+          rfm_model: rfm.RfmModel | None = None) -> DataFrame:
+    """L3: prepare -> score with a saved model; customer_id, probability, decision[, version].
+
+    Quantiles are re-fitted on the batch unless frozen edges are given."""
+    out = models.score_frame(pm, prepare(df, rfm_model=rfm_model), threshold)
     return out.withColumn("model_version", F.lit(version)) if version is not None else out
 
 

@@ -70,3 +70,14 @@ def test_predicted_at_is_one_stamp_per_batch(spark):
     assert out.columns == ["customer_id", "churn_probability", "churn_predicted", "model_version", "predicted_at"]
     assert out.select("predicted_at").distinct().count() == 1
     assert out.select("model_version").distinct().first()[0] == "v7"
+
+
+def test_prepare_materialised_and_frozen(spark, scratch):
+    from attrition.operators import rfm
+    df = synth.correlated_customers(spark, 400)
+    a = flows.prepare(df, store_base=scratch)
+    b = flows.prepare(df, store_base=scratch)
+    assert a.count() == 400 and sorted(a.collect()) == sorted(b.collect())
+    model = rfm.fit_rfm(df)
+    frozen = flows.prepare(synth.correlated_customers(spark, 200, seed=7), rfm_model=model)
+    assert frozen.where("rfm_score < 3 OR rfm_score > 15").count() == 0
