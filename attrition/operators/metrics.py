@@ -114,18 +114,23 @@ def metrics_by_run(long_df: DataFrame, by: list[str] | None = None) -> DataFrame
 
 def runs_table(per_split: DataFrame, params: dict[str, dict[str, str]] | None = None) -> DataFrame:
     """One row per run: test metrics, training metrics (``training_*_score``),
-    a deterministic run_id and a params map.  Input: metrics_by_run(by=['split'])."""
-    test = per_split.where(F.col("split") == "test").select(
-        "run_name", "accuracy", "precision", "recall", "f1")
-    train = per_split.where(F.col("split") == "train").select(
-        "run_name",
-        F.col("accuracy").alias("training_accuracy_score"),
-        F.col("precision").alias("training_precision_score"),
-        F.col("recall").alias("training_recall_score"),
-        F.col("f1").alias("training_f1_score"),
-    )
-    out = test.join(train, "run_name", "full").withColumn(
-        "run_id", F.substring(F.md5(F.col("run_name")), 1, 8))
+    a deterministic run_id and a params map.  Input: metrics_by_run(by=['split']).
+
+    A conditional aggregate per run (no self-join of the metrics table)."""
+
+    def pick(split: str, col: str):
+        return F.max(F.when(F.col("split") == split, F.col(col)))
+
+    out = per_split.groupBy("run_name").agg(
+        pick("test", "accuracy").alias("accuracy"),
+        pick("test", "precision").alias("precision"),
+        pick("test", "recall").alias("recall"),
+        pick("test", "f1").alias("f1"),
+        pick("train", "accuracy").alias("training_accuracy_score"),
+        pick("train", "precision").alias("training_precision_score"),
+        pick("train", "recall").alias("training_recall_score"),
+        pick("train", "f1").alias("training_f1_score"),
+    ).withColumn("run_id", F.substring(F.md5(F.col("run_name")), 1, 8))
     if params:
         entries = []
         for name, p in params.items():
