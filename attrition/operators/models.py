@@ -115,24 +115,38 @@ def evaluate(pm: PipelineModel, test: DataFrame, label: str = LABEL) -> DataFram
     return me.class_metrics(pred.select(F.col(label).alias("actual"), F.col("churn_predicted").alias("predicted")))
 
 
+PIPELINE_OUTPUTS = ("raw_features", "features", "rawPrediction", "probability", "prediction")
+
+
+def score_many(models_: list[tuple[str, PipelineModel]], df: DataFrame) -> DataFrame:
+    """Apply several fitted pipelines to one frame: each adds ``p_<name>`` and
+    drops its scratch columns, so all candidates are scored in a single scan."""
+    out = df
+    for name, pm in models_:
+        out = pm.transform(out).withColumn(f"p_{name}", vector_to_array(F.col("probability"))[1])
+        out = out.drop(*[c for c in PIPELINE_OUTPUTS if c in out.columns])
+    return out
+
+
 def compare(train: DataFrame, test: DataFrame, specs: list[Spec], cols: list[str], label: str = LABEL,
-            parallelism: int = 4) -> DataFrame:
+            parallelism: int = 4, threshold: float = 0.5) -> DataFrame:
     """Train the candidates concurrently (one Spark job stream per driver
-    thread, sharing the cached training rows) and score all of them on the
-    test rows in one aggregate: run_name, order, metrics."""
+    thread, sharing the cached training rows), score all of them on the test
+    rows in one scan, and compute every candidate's metrics in one aggregate:
+    run_name, order, metrics."""
     train = with_label(train, label).persist()
     try:
         with cf.ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            models = list(pool.map(lambda s: fit(train, s.kind, s.params, cols, "label"), specs))
+            fitted = list(pool.map(lambda s: fit(train, s.kind, s.params, cols, "label"), specs))
     finally:
         train.unpersist()
-    preds = None
-    for i, (s, pm) in enumerate(zip(specs, models, strict=True)):
-        pr = predict(pm, test).select(
-            F.lit(s.run_name()).alias("run_name"), F.lit(i).alias("order"),
-            F.col(label).cast("long").alias("actual"), F.col("churn_predicted").alias("predicted"))
-        preds = pr if preds is None else preds.unionByName(pr)
-    return me.class_metrics(preds, by=["run_name", "order"])
+    names = [f"m{i}" for i in range(len(specs))]
+    scored = score_many(list(zip(names, fitted, strict=True)), test.select(ID, label, *cols))
+    runs = [(f"{i:04d}|{s.run_name()}", F.col(f"p_{n}") > F.lit(threshold))
+            for i, (n, s) in enumerate(zip(names, specs, strict=True))]
+    out = me.class_metrics(me.long_predictions(scored, runs, label, []), by=["run_name"])
+    key = F.split(F.col("run_name"), r"\|", 2)
+    return out.withColumn("order", key[0].cast("int")).withColumn("run_name", key[1])
 
 
 def best_by(table: DataFrame, metric: str = "accuracy") -> DataFrame:
@@ -141,24 +155,26 @@ def best_by(table: DataFrame, metric: str = "accuracy") -> DataFrame:
 
 
 def cv_score(df: DataFrame, kind: str, params: dict | None, cols: list[str], k: int = 5,
-             label: str = LABEL, metric: str = "accuracy") -> DataFrame:
-    """k-fold cross-validated metric per fold (stratified hash folds).
-
-    Returns fold, metric value; mean and 2*std (population) by aggregating it.
-    """
+             label: str = LABEL, metric: str = "accuracy", parallelism: int = 4) -> DataFrame:
+    """k-fold cross-validated metric per fold (stratified hash folds); the
+    folds are fitted concurrently.  ``cv_summary`` gives mean +- 2 std."""
     data = with_label(add_fold(df, k, label=label), label).persist()
     n = data.count()
     ev = MulticlassClassificationEvaluator(metricName=metric, labelCol="label", predictionCol="prediction")
-    rows = []
-    for f in range(k):
+
+    def one(f: int) -> tuple[int, float]:
         tr, te = data.where(F.col("fold") != f), data.where(F.col("fold") == f)
         small = estimated_bytes(tr) <= WINDOW_MAX_BYTES
-        pipe = make_pipeline(classifier(kind, params, n - te.count() if kind == "lr" else None, small), cols,
-                             kind == "lr")
-        rows.append((f, float(ev.evaluate(pipe.fit(tr).transform(te)))))
-    data.unpersist()
-    spark = df.sparkSession
-    return spark.createDataFrame(rows, f"fold long, {metric} double")
+        n_tr = n - te.count() if kind == "lr" else None
+        pipe = make_pipeline(classifier(kind, params, n_tr, small), cols, kind == "lr")
+        return f, float(ev.evaluate(pipe.fit(tr).transform(te)))
+
+    try:
+        with cf.ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            rows = sorted(pool.map(one, range(k)))
+    finally:
+        data.unpersist()
+    return df.sparkSession.createDataFrame(rows, f"fold long, {metric} double")
 
 
 def cv_summary(folds: DataFrame, metric: str = "accuracy") -> DataFrame:
