@@ -114,10 +114,12 @@ def rank_bin(rn: Column, n: Column, q: int) -> Column:
 def _rank_bin_window(df: DataFrame, col: str, id_col: str, q: int, out: str, n: Column | None = None) -> DataFrame:
     if n is None:
         n = df.where(F.col(col).isNotNull()).select(F.count(F.lit(1))).scalar()
-    n_checked = F.when(n == 1, F.raise_error(F.lit(f"duplicate quantile edges for {col}"))).otherwise(n)
+    checked = F.when(n == 1, F.raise_error(F.lit(f"duplicate quantile edges for {col}"))).otherwise(n)
     w = Window.orderBy(F.col(col).asc(), F.col(id_col).asc())
     rn = F.when(F.col(col).isNotNull(), F.row_number().over(w))
-    return df.withColumn(out, F.when(F.col(col).isNotNull(), rank_bin(rn, n_checked, q)).cast("long"))
+    out_df = df.withColumn("_n", checked.cast("long"))
+    out_df = out_df.withColumn(out, F.when(F.col(col).isNotNull(), rank_bin(rn, F.col("_n"), q)).cast("long"))
+    return out_df.drop("_n")
 
 
 def estimated_bytes(df: DataFrame) -> int:

@@ -15,6 +15,7 @@ from attrition.operators.rfm import choose_method, keys_at_ranks
 from attrition.schema import ID, LABEL
 
 SEED = 42
+MAX_CLASSES = 64  # class counts fetched to the driver by the cut-key stratified split
 
 
 def hash_key(seed: int = SEED, id_col: str = ID) -> Column:
@@ -52,7 +53,9 @@ def split_stratified(
         return keyed.withColumn("split", F.when(rn <= n_test, "test").otherwise("train")).drop("_h")
     if method != "cuts":
         raise ValueError(method)
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per label value
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(counts) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes; stratify on a class label")
     keyed = df.withColumn("_h", h)
     cond = F.lit(False)
     for row in counts:
