@@ -130,8 +130,9 @@ def estimated_bytes(df: DataFrame) -> int:
         return 1 << 62
 
 
-# Inputs estimated below this size take the single-partition window path.
-WINDOW_MAX_BYTES = 256 << 20
+# Inputs estimated below this size take the single-partition window path
+# (the estimate is compressed file size, so one task may hold several times it).
+WINDOW_MAX_BYTES = 64 << 20
 
 
 def choose_method(df: DataFrame, method: str) -> str:
