@@ -137,34 +137,45 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:
 
     Bin i covers [lo + i*w, lo + (i+1)*w) with w = (hi-lo)/bins; the last bin
     is closed.  When hi == lo the range is widened to [lo-0.5, lo+0.5] (as
-    NumPy does).  min/max come from one scalar subquery; the counts of all
-    bins of all columns come from one more aggregate of conditional counts,
-    so empty bins are kept without a join.  The wide aggregate is handed to
-    Spark as one SQL expression string (one driver call instead of hundreds).
+    NumPy does).  min/max come from one scalar subquery.  Each row then gives
+    one (column, bin) cell per column, counted by a grouped aggregate with
+    partial aggregation (at most ``len(cols) * bins`` groups, whatever the
+    data size or skew).  Those few cells are folded into one map, from which
+    the full grid of cells is expanded, so empty bins are kept without a join.
+    The expressions are handed to Spark as SQL text (one driver call each).
     """
     mm = df.select(
         F.struct(*[F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(f"c{i}")
                    for i, c in enumerate(cols)]).alias("s")
     ).scalar()
-    tmp = df.withColumn("_mm", mm)
-    bin_exprs, structs = [], []
+    cells, ranges = [], []
     for i, c in enumerate(cols):
         lo0, hi0 = f"_mm.c{i}.lo", f"_mm.c{i}.hi"
         lo = f"CASE WHEN {lo0} = {hi0} THEN {lo0} - 0.5 ELSE {lo0} END"
         hi = f"CASE WHEN {lo0} = {hi0} THEN {hi0} + 0.5 ELSE {hi0} END"
         b = f"least(floor((CAST({qn(c)} AS DOUBLE) - ({lo})) / (({hi}) - ({lo})) * {bins}), {bins - 1})"
-        bin_exprs += [f"{b} AS _b{i}", f"{lo} AS _lo{i}", f"{hi} AS _hi{i}"]
-        counts = ", ".join(f"count_if(_b{i} = {k})" for k in range(bins))
-        structs.append(f"struct('{c}' AS column, first(_lo{i}) AS lo, first(_hi{i}) AS hi, array({counts}) AS counts)")
-    wide = tmp.selectExpr(*bin_exprs).selectExpr(f"inline(array({', '.join(structs)}))")
-    per_bin = wide.selectExpr("column", "lo", "hi", "posexplode(counts) AS (bin, count)")
+        cells.append(f"{i} * {bins} + {b}")
+        ranges.append(f"struct('{c}' AS column, {i} AS ci, {lo} AS lo, {hi} AS hi)")
+    counted = (
+        df.withColumn("_mm", mm)
+        .selectExpr(f"explode(array({', '.join(cells)})) AS cell")
+        .where("cell IS NOT NULL")
+        .groupBy("cell")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    grid = (
+        counted.agg(F.map_from_entries(F.collect_list(F.struct("cell", "n"))).alias("m"))
+        .withColumn("_mm", mm)
+        .selectExpr("m", f"inline(array({', '.join(ranges)}))")
+        .selectExpr("*", f"explode(sequence(0, {bins - 1})) AS bin")
+    )
     w = f"((hi - lo) / {bins})"
-    return per_bin.selectExpr(
+    return grid.selectExpr(
         "column",
         "CAST(bin AS BIGINT) AS bin",
         f"{r6_sql(f'lo + bin * {w}')} AS bin_lo",
         f"{r6_sql(f'lo + (bin + 1) * {w}')} AS bin_hi",
-        "CAST(count AS BIGINT) AS count",
+        f"CAST(coalesce(m[ci * {bins} + bin], 0) AS BIGINT) AS count",
     )
 
 
