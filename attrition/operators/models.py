@@ -50,6 +50,30 @@ class Spec:
         return self.name or self.kind + "".join(f"_{k}{v}" for k, v in sorted(self.params.items()))
 
 
+# Rows per partition when a small training frame is spread over the cores.
+TRAIN_ROWS_PER_PART = 5_000
+
+
+def spread(df: DataFrame, id_col: str = ID, rows_per_part: int = TRAIN_ROWS_PER_PART) -> DataFrame:
+    """Rows to train one model on, over enough partitions to use the cores.
+
+    MLlib fits run over the partitions of their input, one task each, with a
+    fixed cost per task and iteration.  A small frame that came out of a
+    single-partition window (the ``window`` path of ranks and splits) would
+    train in one task; it is spread by a hash of the id (the same rows on a
+    retry) over ``ceil(rows / rows_per_part)`` partitions, at most the default
+    parallelism.  Frames above the window-path threshold took the cut-key
+    path, keep their partitioning and are not shuffled (no count is run).
+    """
+    if estimated_bytes(df) > WINDOW_MAX_BYTES:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(cores, -(-df.count() // rows_per_part)))
+    if parts == 1:
+        return df
+    return df.repartition(parts, F.col(id_col)) if id_col in df.columns else df.repartition(parts)
+
+
 def with_label(df: DataFrame, label: str = LABEL) -> DataFrame:
     return df.withColumn("label", F.col(label).cast("double"))
 
@@ -91,9 +115,15 @@ def make_pipeline(clf, cols: list[str], scale: bool = True) -> Pipeline:
 
 
 def fit(df: DataFrame, kind: str, params: dict | None, cols: list[str], label: str = LABEL,
-        scale: bool | None = None) -> PipelineModel:
-    """Fit one candidate.  Linear models are scaled; trees are not (scale-free)."""
+        scale: bool | None = None, spread_rows: bool = True) -> PipelineModel:
+    """Fit one candidate.  Linear models are scaled; trees are not (scale-free).
+
+    ``spread_rows`` spreads a small input over the cores (:func:`spread`);
+    concurrent fits turn it off, since they already keep the cores busy.
+    """
     train = with_label(df, label)
+    if spread_rows:
+        train = spread(train)
     n = train.count() if kind == "lr" else None
     scale = (kind == "lr") if scale is None else scale
     small = estimated_bytes(train) <= WINDOW_MAX_BYTES
@@ -137,7 +167,8 @@ def compare(train: DataFrame, test: DataFrame, specs: list[Spec], cols: list[str
     train = with_label(train, label).persist()
     try:
         with cf.ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            fitted = list(pool.map(lambda s: fit(train, s.kind, s.params, cols, "label"), specs))
+            fitted = list(pool.map(lambda s: fit(train, s.kind, s.params, cols, "label", spread_rows=False),
+                                  specs))
     finally:
         train.unpersist()
     names = [f"m{i}" for i in range(len(specs))]

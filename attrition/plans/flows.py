@@ -51,11 +51,13 @@ def train(df: DataFrame, kind: str = "rf", params: dict | None = None, feature_p
     """L2: prepare -> split -> fit -> evaluate -> quality gate -> save."""
     feats = prepare(df)
     split = sp.split_stratified(feats) if stratified else sp.split_hash(feats)
+    split = split.persist()  # fitted and evaluated from the same rows
     train_rows, test_rows = split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
     cols = preset(feature_preset)
     pm = models.fit(train_rows, kind, params, cols)
     metrics = models.evaluate(pm, test_rows).cache()
     value = metrics.first()[gate_metric]
+    split.unpersist()
     passed = value >= gate_min
     version = store.save_model(pm, model_base, name) if (passed and model_base) else None
     return TrainResult(pm, metrics, passed, version)
