@@ -56,3 +56,27 @@ def test_split_is_row_local(spark):
     from attrition.operators import split as sp
     p = plan(sp.split_hash(customer_base(spark, SF, materialize=True)))
     assert "Exchange" not in p
+
+
+def test_histogram_is_one_grouped_count_without_join(spark):
+    from attrition.operators import profile as pr
+    from attrition.schema import BASE_FEATURES
+
+    p = plan(pr.histogram(customer_base(spark, SF, materialize=True), BASE_FEATURES, 30))
+    assert "Join" not in p
+    assert "count_if" not in p  # no per-bin conditional counts
+    assert "partial_count(1)" in p and "SortAggregate" not in p
+
+
+def test_spread_keeps_rows_and_large_inputs(spark):
+    from pyspark.sql import functions as F
+
+    from attrition.operators import models as ml
+
+    small = spark.range(12_000).withColumnRenamed("id", "customer_id").coalesce(1)
+    out = ml.spread(small, rows_per_part=5_000)
+    assert out.rdd.getNumPartitions() == 3
+    assert sorted(r[0] for r in out.collect()) == list(range(12_000))
+    # a frame above the window-path threshold is returned as it is (no shuffle)
+    big = spark.range(10**9).withColumnRenamed("id", "customer_id").where(F.col("customer_id") >= 0)
+    assert ml.spread(big) is big
