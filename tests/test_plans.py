@@ -58,14 +58,14 @@ def test_split_is_row_local(spark):
     assert "Exchange" not in p
 
 
-def test_histogram_is_one_grouped_count_without_join(spark):
+def test_histogram_is_one_pass_without_join(spark):
     from attrition.operators import profile as pr
     from attrition.schema import BASE_FEATURES
 
     p = plan(pr.histogram(customer_base(spark, SF, materialize=True), BASE_FEATURES, 30))
     assert "Join" not in p
-    assert "count_if" not in p  # no per-bin conditional counts
-    assert "partial_count(1)" in p and "SortAggregate" not in p
+    # one pass of conditional counts: no shuffle on a bin key
+    assert "hashpartitioning" not in p
 
 
 def test_spread_keeps_rows_and_large_inputs(spark):
