@@ -217,8 +217,23 @@ def keys_at_ranks(df: DataFrame, col: str, id_col: str, ranks) -> tuple[int, dic
     return n, {wanted[row["_pos"]]: (row[col], row[id_col]) for row in rows}
 
 
-def fit_rank_cuts(df: DataFrame, col: str, id_col: str = ID, q: int = 5) -> RankCuts:
-    n, at = keys_at_ranks(df, col, id_col, lambda n: cut_ranks(n, q))
+def _keys_at_ranks_window(df: DataFrame, col: str, id_col: str, ranks) -> tuple[int, dict[int, tuple]]:
+    """Small-input form of :func:`keys_at_ranks`: a count, then the wanted
+    rows of a single-partition ``row_number`` (no range shuffle, no checkpoint)."""
+    keys = df.select(F.col(col), F.col(id_col)).where(F.col(col).isNotNull())
+    n = keys.count()
+    wanted = sorted({r for r in (ranks(n) if callable(ranks) else ranks) if 1 <= r <= n})
+    if not wanted:
+        return n, {}
+    rn = F.row_number().over(Window.orderBy(F.col(col).asc(), F.col(id_col).asc()))
+    rows = keys.withColumn("_rn", rn).where(F.col("_rn").isin(wanted)).collect()
+    return n, {row["_rn"]: (row[col], row[id_col]) for row in rows}
+
+
+def fit_rank_cuts(df: DataFrame, col: str, id_col: str = ID, q: int = 5, method: str = "cuts") -> RankCuts:
+    """Keys at the cut ranks; ``auto`` finds them with a window on small inputs."""
+    find = _keys_at_ranks_window if choose_method(df, method) == "window" else keys_at_ranks
+    n, at = find(df, col, id_col, lambda n: cut_ranks(n, q))
     if n == 1:
         raise DuplicateEdgesError(f"duplicate quantile edges for {col}")
     return RankCuts(col, id_col, q, n, [at[r] for r in cut_ranks(n, q)] if n else [])
@@ -328,8 +343,9 @@ class RfmModel:
         }
 
 
-def fit_rfm(df: DataFrame, q: int = 5, id_col: str = ID) -> RfmModel:
-    """Fit the RFM edges once (one aggregate row for recency, cut keys for f/m)."""
+def fit_rfm(df: DataFrame, q: int = 5, id_col: str = ID, method: str = "auto") -> RfmModel:
+    """Fit the RFM edges once (one aggregate row for recency, cut keys for f/m;
+    ``method`` picks how the cut keys are found, see :func:`fit_rank_cuts`)."""
     e = df.select(F.percentile("recency_days", F.array(*[F.lit(p) for p in _levels(q)])).alias("e")).first()["e"]
     if e is None:
         raise ValueError("cannot fit RFM edges on an empty table")
@@ -338,8 +354,8 @@ def fit_rfm(df: DataFrame, q: int = 5, id_col: str = ID) -> RfmModel:
     return RfmModel(
         q,
         [float(v) for v in e],
-        fit_rank_cuts(df, "frequency", id_col, q),
-        fit_rank_cuts(df, "monetary_value", id_col, q),
+        fit_rank_cuts(df, "frequency", id_col, q, method),
+        fit_rank_cuts(df, "monetary_value", id_col, q, method),
     )
 
 

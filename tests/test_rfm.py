@@ -123,3 +123,13 @@ def test_exact_quantiles_without_id(spark):
     exact = rfm.exact_quantiles(df, "x", levels)
     ref = df.select(F.percentile("x", F.array(*[F.lit(p) for p in levels]))).first()[0]
     assert exact == pytest.approx(ref, abs=1e-12)
+
+
+@pytest.mark.parametrize("n", [2, 7, 1000])
+def test_fit_rank_cuts_window_equals_cuts(spark, n):
+    # a third of the rows share one value, the rest have few distinct values
+    df = spark.range(n).select(F.col("id").alias("customer_id"),
+                               F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 11).alias("frequency"))
+    w = rfm.fit_rank_cuts(df, "frequency", method="window")
+    c = rfm.fit_rank_cuts(df, "frequency", method="cuts")
+    assert (w.n, w.keys) == (c.n, c.keys)
