@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from attrition.llm import quality_rules
 from attrition.llm.common import read_table
 from attrition.llm.token_counts import count_tokens
 
 TOKEN_LIMIT = 1024  # op8: texts above it are over the limit
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality_rules.score(docs, quality_rules.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -21,6 +27,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
     "op8_token_counts": op8_token_counts,
 }
 

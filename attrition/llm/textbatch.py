@@ -121,15 +121,22 @@ def words(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ws, we, bounds
 
 
-def span_hashes(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """64-bit hash of ``data[s:e]`` for every span (polynomial over the bytes, then mixed)."""
+def hash_prefix(data: np.ndarray) -> np.ndarray:
+    """Running polynomial of the bytes (length + 1), from which any span's hash follows."""
     n = len(data)
-    p, inv = _power_tables(n + 1)
+    p, _ = _power_tables(n + 1)
+    acc = np.empty(n + 1, dtype=np.uint64)
+    acc[0] = 0
     with np.errstate(over="ignore"):
-        acc = np.empty(n + 1, dtype=np.uint64)
-        acc[0] = 0
         np.cumsum(_BYTE_CODE[data] * p[:n], out=acc[1:])
-        return mix64((acc[e] - acc[s]) * inv[s] + (e - s).astype(np.uint64) * _STEP)
+    return acc
+
+
+def span_hashes(prefix: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes ``s..e`` of every span (polynomial over the bytes, then mixed)."""
+    _, inv = _power_tables(len(prefix))
+    with np.errstate(over="ignore"):
+        return mix64((prefix[e] - prefix[s]) * inv[s] + (e - s).astype(np.uint64) * _STEP)
 
 
 def doc_of(bounds: np.ndarray) -> np.ndarray:
@@ -174,3 +181,30 @@ def crc_mod(ids: pa.Array, m: int) -> np.ndarray:
     import zlib
 
     return np.array([-1 if v is None else zlib.crc32(str(v).encode()) % m for v in ids.to_pylist()], dtype=np.int64)
+
+
+def per_doc(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sum of ``flags`` over each range ``starts..ends`` (empty ranges: 0)."""
+    total = np.zeros(len(flags) + 1, dtype=np.float64 if flags.dtype.kind == "f" else np.int64)
+    np.cumsum(flags, out=total[1:])
+    return total[np.maximum(ends, starts)] - total[starts]
+
+
+def seen_before(key: np.ndarray) -> np.ndarray:
+    """True where an equal key stands earlier in the array."""
+    order = np.argsort(key, kind="stable")
+    k = key[order]
+    out = np.zeros(len(key), dtype=bool)
+    out[order[1:]] = k[1:] == k[:-1]
+    return out
+
+
+def repeated(key: np.ndarray) -> np.ndarray:
+    """True where an equal key stands anywhere else in the array."""
+    order = np.argsort(key, kind="stable")
+    k = key[order]
+    same = k[1:] == k[:-1]
+    out = np.zeros(len(key), dtype=bool)
+    out[order[1:]] = same
+    out[order[:-1]] |= same
+    return out
