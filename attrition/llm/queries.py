@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import quality_rules
-from attrition.llm.common import read_table
+from attrition.llm import quality_rules, quality_trees
+from attrition.llm.common import crc_mod, read_table
 from attrition.llm.token_counts import count_tokens
 
 TOKEN_LIMIT = 1024  # op8: texts above it are over the limit
@@ -26,9 +26,24 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+GOOD_AT = 0.3  # op9: scores from here on predict label 1
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    trees = quality_trees.fit(docs, read_table(spark, sf_dir, "labels"), where=crc_mod("doc_id", 5) != 0)
+    return quality_trees.score(docs, trees).select(
+        "doc_id",
+        (crc_mod("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= GOOD_AT).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op8_token_counts": op8_token_counts,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 
 SQL: dict[str, str] = {}
