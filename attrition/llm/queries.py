@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import quality_rules, quality_trees
+from attrition.llm import crf_language, quality_rules, quality_trees
 from attrition.llm.common import crc_mod, read_table
 from attrition.llm.token_counts import count_tokens
 
@@ -40,10 +40,17 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = crf_language.fit(docs, where=crc_mod("doc_id", 4) != 2)
+    return crf_language.predict(docs, model).select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op8_token_counts": op8_token_counts,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_language_id": op10_language_id,
 }
 
 SQL: dict[str, str] = {}
