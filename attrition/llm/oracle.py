@@ -33,4 +33,15 @@ SQL = {
         GROUP BY doc_id, item_id
         HAVING 10 * count(*) >= 8 * any_value(n_shingles)
     """,
+    "op4_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages
+        ), g AS (
+            SELECT html, max(page_id) AS keep FROM p WHERE n >= 1000 GROUP BY html
+        )
+        SELECT p.page_id, p.n AS payload_bytes, sha1(p.html) AS payload_digest,
+               CASE WHEN g.keep <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN g.keep <> p.page_id THEN g.keep END AS refers_to
+        FROM p LEFT JOIN g ON g.html = p.html
+    """,
 }

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import crf_language, decontaminate, oracle, quality_rules, quality_trees
-from attrition.llm.common import crc_mod, read_table
+from attrition.llm import crf_language, decontaminate, oracle, quality_rules, quality_trees, warc
+from attrition.llm.common import crc_mod, read_table, shared_path
 from attrition.llm.token_counts import count_tokens
 
 TOKEN_LIMIT = 1024  # op8: texts above it are over the limit
@@ -23,6 +23,20 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    warc.write_archive(read_table(spark, sf_dir, "pages"), path)
+    pages = warc.read_archive(spark, path)
+    response = F.col("record_type") == "response"
+    return pages.select(
+        warc.page_id_of("record_id").alias("page_id"),
+        "payload_bytes",
+        F.when(response, F.sha1("payload")).otherwise(F.col("digest")).alias("payload_digest"),
+        "record_type",
+        warc.page_id_of("refers_to").alias("refers_to"),
+    )
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -53,6 +67,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_decontamination": op3_decontamination,
+    "op4_warc": op4_warc,
     "op8_token_counts": op8_token_counts,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_language_id": op10_language_id,
