@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import crf_language, decontaminate, oracle, quality_rules, quality_trees, warc
+from attrition.llm import crf_language, decontaminate, oracle, quality_rules, quality_trees, shared_prefix, warc
 from attrition.llm.common import crc_mod, read_table, shared_path
 from attrition.llm.token_counts import count_tokens
 
 TOKEN_LIMIT = 1024  # op8: texts above it are over the limit
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return shared_prefix.encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return quality_rules.score(docs, quality_rules.fit(docs, read_table(spark, sf_dir, "labels")))
@@ -65,6 +71,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_rules": op2_quality_rules,
     "op3_decontamination": op3_decontamination,
     "op4_warc": op4_warc,
