@@ -44,4 +44,27 @@ SQL = {
                CASE WHEN g.keep <> p.page_id THEN g.keep END AS refers_to
         FROM p LEFT JOIN g ON g.html = p.html
     """,
+    "op6_near_duplicates": f"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, {words("text")} AS w FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, hash(array_to_string(list_slice(w, i, i + least(4, len(w)) - 1), ' ')) AS s
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(4, len(w)) + 2)) AS i FROM w WHERE len(w) > 0)
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM s AS a JOIN s AS b ON a.s = b.s AND a.doc_id <> b.doc_id
+            JOIN n AS na ON na.doc_id = a.doc_id JOIN n AS nb ON nb.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id
+            HAVING 100 * count(*) >= 80 * (any_value(na.n) + any_value(nb.n) - count(*))
+        ), reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION
+            SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+        )
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.component_id, d.doc_id = r.component_id AS kept
+        FROM documents AS d LEFT JOIN n ON n.doc_id = d.doc_id
+        JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) AS r ON r.a = d.doc_id
+    """,
 }
