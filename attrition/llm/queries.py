@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import crf_language, decontaminate, near_duplicates, oracle, quality_rules, quality_trees, shared_prefix, warc
+from attrition.llm import crf_language, decontaminate, lm_scoring, near_duplicates, oracle, quality_rules, quality_trees, shared_prefix, warc
 from attrition.llm.common import crc_mod, read_table, shared_path
 from attrition.llm.token_counts import count_tokens
 
@@ -47,6 +47,11 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.components(read_table(spark, sf_dir, "documents"), n=4)
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_scoring.score(read_table(spark, sf_dir, "documents"), training=crc_mod("doc_id", 5) != 1)
+    return scored.withColumn("held_out", crc_mod("doc_id", 5) == 1)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op4_warc": op4_warc,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_token_counts": op8_token_counts,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_language_id": op10_language_id,
