@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import crf_language, decontaminate, lm_scoring, near_duplicates, oracle, quality_rules, quality_trees, shared_prefix, warc
+from attrition.llm import crf_language, decontaminate, lm_scoring, near_duplicates, oracle, quality_rules, quality_trees, shared_prefix, suffix_dedup, warc
 from attrition.llm.common import crc_mod, read_table, shared_path
 from attrition.llm.token_counts import count_tokens
 
@@ -43,6 +43,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.components(read_table(spark, sf_dir, "documents"), n=4)
 
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_decontamination": op3_decontamination,
     "op4_warc": op4_warc,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_lm_scoring": op7_lm_scoring,
     "op8_token_counts": op8_token_counts,
