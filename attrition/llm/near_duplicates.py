@@ -241,3 +241,14 @@ def components(docs: DataFrame, n: int = 5, id_col: str = "doc_id", text_col: st
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
     )
+
+
+def keep_one(docs: DataFrame, n: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component of ``docs``, that of the smallest id, with all its columns.
+
+    Rows without an id cannot be told apart and stay; of rows that share an id one stays.
+    """
+    found = components(docs.where(F.col(id_col).isNotNull()), n, id_col, text_col)
+    kept = found.where("kept").select(F.col("doc_id").alias(id_col)).distinct()
+    one = docs.join(kept, id_col, "left_semi").dropDuplicates([id_col])
+    return one.unionByName(docs.where(F.col(id_col).isNull())).select(docs.columns)

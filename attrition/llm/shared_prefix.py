@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
 from attrition.llm.token_counts import text_groups
 
@@ -346,12 +347,15 @@ def decode(pieces: DataFrame, path: str, id_col: str = "doc_id", pieces_col: str
     return named.mapInArrow(run, "doc_id long, text string")
 
 
-def with_pieces(docs: DataFrame, path: str, text_col: str = "text", to: str = "pieces") -> DataFrame:
-    """``docs`` with the piece ids of each text in a new column ``to`` (replaced if it exists)."""
+def with_pieces(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with the piece ids of each text (``pieces``) and whether decoding restores it (``restored``).
+
+    Columns of these names are replaced.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(load(path))
-    docs = docs.drop(to)
+    docs = docs.drop("pieces", "restored")
     at = docs.columns.index(text_col)
-    schema = docs.limit(0).withColumn(to, F.array(F.lit(0))).schema
+    schema = StructType([*docs.schema, StructField("pieces", ArrayType(IntegerType())), StructField("restored", BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(shared)
@@ -359,6 +363,7 @@ def with_pieces(docs: DataFrame, path: str, text_col: str = "text", to: str = "p
             for first, texts, flat, bounds in _encode_batch(enc, batch.column(at)):
                 part = batch.slice(first, len(texts))
                 found = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([*part.columns, found], names=[*part.schema.names, to])
+                back = [enc.decode(flat[a:b]) == (t or "") for t, a, b in zip(texts, bounds[:-1], bounds[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns, found, pa.array(back, pa.bool_())], names=[*part.schema.names, "pieces", "restored"])
 
     return docs.mapInArrow(run, schema)

@@ -78,7 +78,7 @@ def test_odd_rows(spark, odd_docs, library):
     texts = {(r.doc_id, r.text or "") for r in odd_docs.collect()}
     assert {tuple(r) for r in back} == texts
     wide = m.with_pieces(odd_docs.withColumn("pieces", F.lit("clash")), PATH)
-    assert wide.columns == [*odd_docs.columns, "pieces"]
+    assert wide.columns == [*odd_docs.columns, "pieces", "restored"]
     assert all(r.pieces == library.encode(r.text or "") for r in wide.collect())
     assert m.encode(odd_docs.limit(0), PATH).collect() == []
     assert np.array(m.with_pieces(odd_docs.limit(0), PATH).collect()).size == 0
