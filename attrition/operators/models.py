@@ -18,6 +18,8 @@ Python UDF.  Differences from the reference's library:
 from __future__ import annotations
 
 import concurrent.futures as cf
+import datetime as dt
+import warnings
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -50,28 +52,24 @@ class Spec:
         return self.name or self.kind + "".join(f"_{k}{v}" for k, v in sorted(self.params.items()))
 
 
-# Rows per partition when a small training frame is spread over the cores.
+# Rows per partition of a training frame, up to the most partitions.
 TRAIN_ROWS_PER_PART = 5_000
+TRAIN_MAX_PARTS = 2_000
 
 
 def spread(df: DataFrame, id_col: str = ID, rows_per_part: int = TRAIN_ROWS_PER_PART) -> DataFrame:
-    """Rows to train one model on, over enough partitions to use the cores.
-
-    MLlib fits run over the partitions of their input, one task each, with a
-    fixed cost per task and iteration.  A small frame that came out of a
-    single-partition window (the ``window`` path of ranks and splits) would
-    train in one task; it is spread by a hash of the id (the same rows on a
-    retry) over ``ceil(rows / rows_per_part)`` partitions, at most the default
-    parallelism.  Frames above the window-path threshold took the cut-key
-    path, keep their partitioning and are not shuffled (no count is run).
+    """Rows to train on, in a layout that depends on the rows alone.
+
+    MLlib bags rows by partition, so a forest depends on the partitions and on
+    the order of the rows in them.  The rows go by a hash of the id to
+    ``ceil(rows / rows_per_part)`` partitions (at most ``TRAIN_MAX_PARTS``) and
+    are sorted by id there: the same rows give the same model on any number of
+    cores and after a retry.  Without an id column the frame is left as it is.
     """
-    if estimated_bytes(df) > WINDOW_MAX_BYTES:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, min(cores, -(-df.count() // rows_per_part)))
-    if parts == 1:
+    if id_col not in df.columns:
         return df
-    return df.repartition(parts, F.col(id_col)) if id_col in df.columns else df.repartition(parts)
+    parts = max(1, min(TRAIN_MAX_PARTS, -(-df.count() // rows_per_part)))
+    return df.repartition(parts, F.col(id_col)).sortWithinPartitions(id_col)
 
 
 def with_label(df: DataFrame, label: str = LABEL) -> DataFrame:
@@ -93,6 +91,8 @@ def classifier(kind: str, params: dict | None = None, n_rows: int | None = None,
                                   labelCol="label")
     if kind == "rf":
         depth = p.pop("max_depth", 10)
+        if depth is None:
+            warnings.warn(f"no depth limit: MLlib's ceiling of {MAX_DEPTH_NONE} levels is used", stacklevel=2)
         return RandomForestClassifier(
             numTrees=int(p.pop("n_estimators", 100)),
             maxDepth=MAX_DEPTH_NONE if depth is None else int(depth),
@@ -118,8 +118,8 @@ def fit(df: DataFrame, kind: str, params: dict | None, cols: list[str], label: s
         scale: bool | None = None, spread_rows: bool = True) -> PipelineModel:
     """Fit one candidate.  Linear models are scaled; trees are not (scale-free).
 
-    ``spread_rows`` spreads a small input over the cores (:func:`spread`);
-    concurrent fits turn it off, since they already keep the cores busy.
+    ``spread_rows`` gives the rows the layout of :func:`spread`; callers that
+    fit several models on rows that have it already turn it off.
     """
     train = with_label(df, label)
     if spread_rows:
@@ -164,7 +164,7 @@ def compare(train: DataFrame, test: DataFrame, specs: list[Spec], cols: list[str
     thread, sharing the cached training rows), score all of them on the test
     rows in one scan, and compute every candidate's metrics in one aggregate:
     run_name, order, metrics."""
-    train = with_label(train, label).persist()
+    train = spread(with_label(train, label)).persist()
     try:
         with cf.ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             fitted = list(pool.map(lambda s: fit(train, s.kind, s.params, cols, "label", spread_rows=False),
@@ -189,7 +189,7 @@ def cv_score(df: DataFrame, kind: str, params: dict | None, cols: list[str], k:
              label: str = LABEL, metric: str = "accuracy", parallelism: int = 4) -> DataFrame:
     """k-fold cross-validated metric per fold (stratified hash folds); the
     folds are fitted concurrently.  ``cv_summary`` gives mean +- 2 std."""
-    data = with_label(add_fold(df, k, label=label), label).persist()
+    data = spread(with_label(add_fold(df, k, label=label), label)).persist()
     n = data.count()
     ev = MulticlassClassificationEvaluator(metricName=metric, labelCol="label", predictionCol="prediction")
 
@@ -220,8 +220,10 @@ def grid_search(df: DataFrame, kind: str, grid: dict[str, list], cols: list[str]
 
     Returns (best PipelineModel, DataFrame of settings with mean/std metric).
     """
-    data = with_label(add_fold(df, k, label=label), label).persist()
-    clf = classifier(kind, {}, data.count(), estimated_bytes(data) <= WINDOW_MAX_BYTES)
+    data = spread(with_label(add_fold(df, k, label=label), label)).persist()
+    rows = data.count()
+    # regParam is 1 / (C n) with the rows a fold trains on
+    clf = classifier(kind, {}, rows - rows // k, estimated_bytes(data) <= WINDOW_MAX_BYTES)
     names = {"n_estimators": "numTrees" if kind == "rf" else "maxIter", "max_depth": "maxDepth",
              "min_samples_split": "minInstancesPerNode", "learning_rate": "stepSize"}
     builder = ParamGridBuilder()
@@ -239,12 +241,14 @@ def grid_search(df: DataFrame, kind: str, grid: dict[str, list], cols: list[str]
                                           predictionCol="prediction")
     cv = CrossValidator(estimator=make_pipeline(clf, cols, kind == "lr"), estimatorParamMaps=maps, evaluator=ev,
                         foldCol="fold", numFolds=k, parallelism=parallelism, seed=SEED)
-    model = cv.fit(data)
+    try:
+        model = cv.fit(data)
+    finally:
+        data.unpersist()
     rows = []
     for i, pm in enumerate(maps):
         setting = ",".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda kv: kv[0].name))
         rows.append((i, setting, float(model.avgMetrics[i]), float(model.stdMetrics[i])))
-    data.unpersist()
     table = df.sparkSession.createDataFrame(rows, "setting_id long, setting string, mean_f1 double, std_f1 double")
     return model.bestModel, table
 
@@ -259,6 +263,27 @@ def importance_frame(spark, pm: PipelineModel, cols: list[str]) -> DataFrame:
     return spark.createDataFrame(feature_importance(pm, cols), "feature string, importance double")
 
 
-def score_frame(pm: PipelineModel, df: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """customer_id, churn_probability, churn_predicted."""
-    return predict(pm, df, threshold).select(ID, "churn_probability", "churn_predicted")
+def lr_gradient(pm: PipelineModel, df: DataFrame, cols: list[str], label: str = LABEL) -> DataFrame:
+    """``feature, gradient`` of the penalised mean log-loss at the model's coefficients (scaled features)."""
+    model = pm.stages[-1]
+    reg, coef = model.getRegParam(), model.coefficients.toArray()
+    rows = pm.transform(df)
+    error = vector_to_array(F.col("probability"))[1] - F.col(label).cast("double")
+    x = vector_to_array("features")
+    grads = [F.struct(F.lit(c).alias("feature"), (F.avg(error * x[i]) + F.lit(float(reg * coef[i]))).alias("gradient"))
+             for i, c in enumerate(cols)]
+    return rows.select(F.inline(F.array(*grads)))
+
+
+def score_frame(pm: PipelineModel, df: DataFrame, threshold: float = 0.5, version: str | None = None,
+                predicted_at: dt.datetime | None = None) -> DataFrame:
+    """customer_id, churn_probability, churn_predicted, [model_version], [predicted_at].
+
+    ``predicted_at`` is one stamp for the whole batch.
+    """
+    out = predict(pm, df, threshold).select(ID, "churn_probability", "churn_predicted")
+    if version is not None:
+        out = out.withColumn("model_version", F.lit(version))
+    if predicted_at is not None:
+        out = out.withColumn("predicted_at", F.lit(predicted_at).cast("timestamp"))
+    return out

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from attrition.functions.exprs import q as qn
 from attrition.functions.exprs import r6, r6_sql
-from attrition.operators.rfm import estimated_bytes, exact_quantiles
+from attrition.operators.rfm import estimated_bytes, exact_quantiles, quantile_table
 from attrition.schema import ID, LABEL
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -50,7 +50,7 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 # A column whose (approximate) distinct count is below this keeps the exact
 # value -> count buffer of ``percentile``; above it, exact quantiles come from
-# the range-shuffle cut-key path instead.
+# selection instead (the same values).
 MAP_MAX_DISTINCT = 200_000
 # Inputs estimated below this size cannot hold a large map: skip the distinct-count pass.
 SMALL_INPUT_BYTES = 8 << 20
@@ -61,7 +61,7 @@ def quantile_methods(df: DataFrame, cols: list[str], method: str = "auto") -> di
 
     ``auto``: tiny inputs (optimizer estimate <= 8 MB) use ``percentile``
     throughout; others pay one aggregate of ``approx_count_distinct`` for all
-    columns and use the cut-key path where the value map would be large (the
+    columns and use selection (``cuts``) where the value map would be large (the
     map's size is set by distinct values, not bytes: 10^7 ids fit in 185 MB of
     Parquet but make a 10^7-entry map merged in one task).
     """
@@ -87,16 +87,18 @@ def describe(df: DataFrame, cols: list[str], method: str = "auto", id_col: str =
     """count, mean, sample std, min, 25/50/75 % (linear interpolation), max.
 
     Quartiles per column (see :func:`quantile_methods`): ``percentile`` (exact;
-    buffer = distinct values), ``cuts`` (exact, one range shuffle of the column
-    and the id), ``approx`` (``percentile_approx``, inexact, opt-in only).
+    buffer = distinct values), ``cuts`` (exact, selection of all such columns
+    at once), ``approx`` (``percentile_approx``, inexact, opt-in only).
     Everything else is one aggregate pass.  Not ``df.summary()``: its
     quartiles are approximate.
     """
     how = quantile_methods(df, cols, method)
+    chosen = [c for c in cols if how[c] == "cuts"]
+    found = exact_quantiles(df, chosen, QUARTILES) if chosen else {}
     structs = []
     for c in cols:
         x = F.col(c).cast("double")
-        exact = exact_quantiles(df, c, QUARTILES, id_col) if how[c] == "cuts" else None
+        exact = found.get((None, c), [None] * 3)
         qs = _quartiles(x, how[c], exact)
         structs.append(
             F.struct(
@@ -172,56 +174,52 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:
 MAX_LITERAL_GROUPS = 64
 
 
-def _group_pred(by: str, g):
-    return F.col(by).isNull() if g is None else F.col(by) == F.lit(g)
+def _group_quartiles(df: DataFrame, cols: list[str], by: str, how: dict[str, str]) -> DataFrame:
+    """``_g`` and ``_q_<column>`` for each group (null is one), exact on either way."""
+    mapped = [c for c in cols if how[c] != "cuts"]
+    chosen = [c for c in cols if how[c] == "cuts"]
+    out = df.groupBy(F.col(by).alias("_g")).agg(
+        F.count(F.lit(1)).alias("_rows"), *[_quartiles(F.col(c).cast("double"), how[c]).alias(f"_q_{c}") for c in mapped])
+    out = out.drop("_rows")
+    if chosen:
+        table = quantile_table(df, chosen, QUARTILES, by)
+        wide = table.groupBy(F.col("g").alias("_h")).agg(
+            *[F.max(F.when(F.col("c") == i, F.col("q"))).alias(f"_q_{c}") for i, c in enumerate(chosen)])
+        out = out.join(wide, F.col("_g").eqNullSafe(F.col("_h")), "left").drop("_h")
+    return out
 
 
 def boxplot_stats(df: DataFrame, cols: list[str], by: str = LABEL, method: str = "auto",
                   id_col: str = ID) -> DataFrame:
     """Per column and group: q1, median, q3, whiskers, outlier count.
 
-    Whiskers are the farthest values within 1.5 IQR of the quartiles.
-    The groups of ``by`` are counted first (stopping past a bound).  With at
-    most ``MAX_LITERAL_GROUPS`` groups, the quartiles (one row per group, from
-    ``percentile`` or, for high-cardinality columns, the cut-key path; see
-    :func:`quantile_methods`) are fetched and inlined as literals, so the rows
-    are never joined or shuffled by a key that may hold most of them.  With
-    more groups the quartile table is joined back on ``by`` (adaptive
-    execution broadcasts it when its measured size allows).  The whisker and
-    outlier pass is one grouped aggregate with partial aggregation, so a group
-    holding most rows is pre-summed map-side.
+    Whiskers are the farthest values within 1.5 IQR of the quartiles.  Null is
+    a group of its own.  The quartiles (``percentile``, or selection for
+    high-cardinality columns; see :func:`quantile_methods`) come back to the
+    rows as literals for up to ``MAX_LITERAL_GROUPS`` groups, else by a
+    null-safe join on the group (adaptive execution broadcasts the quartile
+    table when its measured size allows); the answer is the same.  The whisker
+    and outlier pass is one grouped aggregate with partial aggregation, so a
+    group holding most rows is pre-summed map-side.
     """
     how = quantile_methods(df, cols, method)
-    groups = [r[by] for r in df.select(by).distinct().limit(MAX_LITERAL_GROUPS + 1).collect()]
     rows = df.select(by, *cols)
-    mapped = [c for c in cols if how[c] != "cuts"]
-    cut_cols = [c for c in cols if how[c] == "cuts"]
-    if len(groups) > MAX_LITERAL_GROUPS:
-        if cut_cols:
-            raise ValueError(f"{by} has more than {MAX_LITERAL_GROUPS} groups; use method='approx' or 'percentile'")
-        quart = df.groupBy(by).agg(*[_quartiles(F.col(c).cast("double"), how[c]).alias(f"_q_{c}") for c in mapped])
-        rows = rows.join(quart, by)
-    else:
-        values: dict = {g: {} for g in groups}
-        if mapped:
-            qrows = df.groupBy(by).agg(
-                *[_quartiles(F.col(c).cast("double"), how[c]).alias(f"_q_{c}") for c in mapped]).collect()
-            for r in qrows:
-                for c in mapped:
-                    values[r[by]][c] = r[f"_q_{c}"]
-        for c in cut_cols:
-            for g in groups:
-                values[g][c] = exact_quantiles(df.where(_group_pred(by, g)), c, QUARTILES, id_col)
+    quart = _group_quartiles(df, cols, by, how)
+    few = df.select(by).distinct().limit(MAX_LITERAL_GROUPS + 1).count() <= MAX_LITERAL_GROUPS
+    if few:
+        found = quart.collect()
+        null = F.lit(None).cast("array<double>")
         lit_cols = {}
         for c in cols:
-            expr = F.lit(None).cast("array<double>")
-            for g in groups:
-                qv = values[g].get(c)
-                arr = F.lit(None).cast("array<double>") if qv is None else \
-                    F.array(*[F.lit(float(v)) for v in qv]).cast("array<double>")
-                expr = F.when(_group_pred(by, g), arr).otherwise(expr)
+            expr = null
+            for r in found:
+                values = r[f"_q_{c}"]
+                arr = null if values is None else F.array(*[F.lit(v) for v in values]).cast("array<double>")
+                expr = F.when(F.col(by).eqNullSafe(F.lit(r["_g"])), arr).otherwise(expr)
             lit_cols[f"_q_{c}"] = expr
         rows = rows.withColumns(lit_cols)
+    else:
+        rows = rows.join(quart, F.col(by).eqNullSafe(F.col("_g")))
     structs = []
     for c in cols:
         x = F.col(c).cast("double")

@@ -15,26 +15,23 @@ Two physical paths give the same bins:
 
 * ``window``: ``row_number`` over a window ordered by (value, id).  A window
   without ``partitionBy`` runs in one partition, so it is for small inputs.
-* ``cuts``: find the q-1 rows at the cut ranks with one range shuffle of the
-  two key columns, then bin every row by comparing its key with those q-1
-  keys (a narrow projection, no further shuffle).  A hot value is spread
-  over several range partitions because the id breaks ties.
+* ``cuts``: select the q-1 rows at the cut ranks (:mod:`selection`: scans with
+  partial counts, no row is shuffled), then bin every row by comparing its key
+  with those q-1 keys (a narrow projection).
+
+Null values have no rank and no bin on either path.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from attrition.operators.selection import cut_ranks_expr, quantile_ranks_expr, select_ranks
 from attrition.schema import ID
-from attrition.session import ensure_checkpoint_dir
-
-# Target rows per range partition on the cut-key path.
-ROWS_PER_RANGE_PART = 4_000_000
 
 
 class DuplicateEdgesError(ValueError):
@@ -75,14 +72,14 @@ def qcut_by_value(df: DataFrame, col: str, q: int = 5, out: str | None = None, r
 
     ``percentile`` (default): edges from one exact ``percentile`` aggregate
     (buffer = distinct values: right for bounded columns such as day counts).
-    ``cuts``: exact edges from the range-shuffle cut-key path, for
-    high-cardinality columns at scale (edges become literals).
+    ``cuts``: exact edges by selection, for high-cardinality columns at scale
+    (edges become literals).
     """
     x = F.col(col).cast("double")
     if method == "percentile":
         edges = value_edges_expr(df, col, q)
     elif method == "cuts":
-        e = exact_quantiles(df, col, _levels(q), id_col)
+        e = exact_quantiles(df, [col], _levels(q)).get((None, col), [None])
         if any(v is None for v in e):
             return df.withColumn(out or f"{col}_bin", F.lit(None).cast("long"))
         if len(set(e)) < len(e):
@@ -115,7 +112,7 @@ def _rank_bin_window(df: DataFrame, col: str, id_col: str, q: int, out: str, n:
     if n is None:
         n = df.where(F.col(col).isNotNull()).select(F.count(F.lit(1))).scalar()
     checked = F.when(n == 1, F.raise_error(F.lit(f"duplicate quantile edges for {col}"))).otherwise(n)
-    w = Window.orderBy(F.col(col).asc(), F.col(id_col).asc())
+    w = Window.orderBy(F.col(col).asc_nulls_last(), F.col(id_col).asc())
     rn = F.when(F.col(col).isNotNull(), F.row_number().over(w))
     out_df = df.withColumn("_n", checked.cast("long"))
     out_df = out_df.withColumn(out, F.when(F.col(col).isNotNull(), rank_bin(rn, F.col("_n"), q)).cast("long"))
@@ -124,10 +121,7 @@ def _rank_bin_window(df: DataFrame, col: str, id_col: str, q: int, out: str, n:
 
 def estimated_bytes(df: DataFrame) -> int:
     """Optimizer size estimate of a plan (no job runs); an upper bound for scans."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable: assume large
-        return 1 << 62
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 # Inputs estimated below this size take the single-partition window path
@@ -143,13 +137,18 @@ def choose_method(df: DataFrame, method: str) -> str:
 
 @dataclass
 class RankCuts:
-    """Keys (value, id) at the cut ranks; bin = 1 + #(key > cut_k)."""
+    """Keys (value, id) at the cut ranks; bin = 1 + #(key > cut_k).
+
+    ``shares`` is, for each cut, the part of the rows of its value that lie at
+    or below it: the frozen form splits tied new rows in the same proportion.
+    """
 
     col: str
     id_col: str
     q: int
     n: int
     keys: list[tuple] = field(default_factory=list)  # q-1 (value, id) pairs
+    shares: list[float] = field(default_factory=list)
 
     def bin(self, x: Column | None = None, ident: Column | None = None) -> Column:
         x = F.col(self.col) if x is None else x
@@ -157,86 +156,66 @@ class RankCuts:
         terms = [((x > F.lit(v)) | ((x == F.lit(v)) & (ident > F.lit(i)))).cast("int") for v, i in self.keys]
         return F.when(x.isNull(), F.lit(None)).otherwise((F.lit(1) + sum(terms, F.lit(0))).cast("long"))
 
-    def value_bin(self, x: Column | None = None) -> Column:
-        """Frozen form for new rows: compare the value only (ties go to the lower bin)."""
+    def frozen_bin(self, x: Column | None = None, ident: Column | None = None) -> Column:
+        """Bin of new rows: by value; rows tied with a cut value are split by a hash
+        of the id in the proportion that the fitted rows were."""
         x = F.col(self.col) if x is None else x
-        terms = [(x > F.lit(v)).cast("int") for v, _ in self.keys]
+        ident = F.col(self.id_col) if ident is None else ident
+        u = tie_position(self.col, ident)
+        terms = [((x > F.lit(v)) | ((x == F.lit(v)) & (u >= F.lit(s)))).cast("int")
+                 for (v, _), s in zip(self.keys, self.shares, strict=True)]
         return F.when(x.isNull(), F.lit(None)).otherwise((F.lit(1) + sum(terms, F.lit(0))).cast("long"))
 
 
+def tie_position(col: str, ident: Column) -> Column:
+    """A number in [0, 1) from the column name and the id."""
+    key = F.substring(F.md5(F.concat(F.lit(f"{col}-"), ident.cast("string"))), 1, 8)
+    return F.conv(key, 16, 10).cast("double") / F.lit(float(2**32))
+
+
 def cut_ranks(n: int, q: int) -> list[int]:
     """1-based ranks of the last row of bins 1..q-1: floor(1 + (n-1)k/q)."""
     return [1 + ((n - 1) * k) // q for k in range(1, q)]
 
 
-def _range_parts(df: DataFrame) -> int:
-    spark = df.sparkSession
-    base = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    by_size = estimated_bytes(df) // (128 << 20)
-    return int(max(1, min(100_000, max(base, by_size))))
+def _cuts_by_window(df: DataFrame, cols: list[str], id_col: str, q: int) -> list:
+    """Small-input form of the selection: the wanted rows of a single-partition ``row_number``."""
+    out = []
+    for i, col in enumerate(cols):
+        keys = df.select(F.col(col).alias("value"), F.col(id_col).alias("id")).where("value IS NOT NULL")
+        n = keys.count()
+        ranks = cut_ranks(n, q) if n else []
+        rn = F.row_number().over(Window.orderBy("value", "id"))
+        tie = Window.partitionBy("value")
+        rows = keys.withColumn("rank", rn).withColumn("m", F.count(F.lit(1)).over(tie))
+        rows = rows.withColumn("r", F.row_number().over(tie.orderBy("id"))).where(F.col("rank").isin(ranks)).collect()
+        at = {r["rank"]: r for r in rows}
+        out += [(i, k, n, at[rank]["value"], at[rank]["id"], at[rank]["r"], at[rank]["m"]) for k, rank in enumerate(ranks)]
+    return out
 
 
-def keys_at_ranks(df: DataFrame, col: str, id_col: str, ranks) -> tuple[int, dict[int, tuple]]:
-    """Exact (value, id) at given 1-based ranks of the order (col, id).
+def fit_cuts(df: DataFrame, cols: list[str], id_col: str = ID, q: int = 5, method: str = "cuts") -> list[RankCuts]:
+    """Keys at the cut ranks of several columns; ``auto`` finds them with a window on small inputs.
 
-    ``ranks`` is a list, or a function of the row count n giving the list.
-    One range shuffle of the two key columns (sorted inside each partition),
-    numbered with ``monotonically_increasing_id`` (partition index in the high
-    bits, position in the low 33 bits) and checkpointed to the reliable
-    checkpoint folder so both follow-up jobs see the same numbering even if an
-    executor is lost.  Only per-partition counts (one row per partition) and
-    the wanted rows reach the driver.  Returns (n, {rank: (value, id)}).
+    q-1 rows of each column reach the driver.
     """
-    keys = df.select(F.col(col), F.col(id_col)).where(F.col(col).isNotNull())
-    ensure_checkpoint_dir(df.sparkSession)
-    numbered = (
-        keys.repartitionByRange(_range_parts(df), F.col(col).asc(), F.col(id_col).asc())
-        .sortWithinPartitions(F.col(col).asc(), F.col(id_col).asc())
-        .withColumn("_pos", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
-    counts = sorted(
-        (r["pid"], r["cnt"])
-        for r in numbered.groupBy(F.shiftrightunsigned("_pos", 33).alias("pid"))
-        .agg(F.count(F.lit(1)).alias("cnt"))
-        .collect()
-    )
-    n = sum(c for _, c in counts)
-    wanted_ranks = ranks(n) if callable(ranks) else ranks
-    wanted: dict[int, int] = {}
-    for r in sorted(set(wanted_ranks)):
-        if not 1 <= r <= n:
-            continue
-        seen = 0
-        for pid, cnt in counts:
-            if r <= seen + cnt:
-                wanted[(pid << 33) + (r - seen - 1)] = r
-                break
-            seen += cnt
-    rows = numbered.where(F.col("_pos").isin(list(wanted))).collect() if wanted else []
-    return n, {wanted[row["_pos"]]: (row[col], row[id_col]) for row in rows}
-
-
-def _keys_at_ranks_window(df: DataFrame, col: str, id_col: str, ranks) -> tuple[int, dict[int, tuple]]:
-    """Small-input form of :func:`keys_at_ranks`: a count, then the wanted
-    rows of a single-partition ``row_number`` (no range shuffle, no checkpoint)."""
-    keys = df.select(F.col(col), F.col(id_col)).where(F.col(col).isNotNull())
-    n = keys.count()
-    wanted = sorted({r for r in (ranks(n) if callable(ranks) else ranks) if 1 <= r <= n})
-    if not wanted:
-        return n, {}
-    rn = F.row_number().over(Window.orderBy(F.col(col).asc(), F.col(id_col).asc()))
-    rows = keys.withColumn("_rn", rn).where(F.col("_rn").isin(wanted)).collect()
-    return n, {row["_rn"]: (row[col], row[id_col]) for row in rows}
+    if choose_method(df, method) == "window":
+        rows = _cuts_by_window(df, cols, id_col, q)
+    else:
+        found = select_ranks(df, cols, lambda n: cut_ranks_expr(n, q), id_col=id_col)
+        rows = found.select("c", "k", "n", "value", "id", "r", "m").collect()
+    out = []
+    for i, col in enumerate(cols):
+        mine = sorted((tuple(r) for r in rows if r[0] == i), key=lambda r: r[1])
+        n = mine[0][2] if mine else 0
+        if n == 1:
+            raise DuplicateEdgesError(f"duplicate quantile edges for {col}")
+        out.append(RankCuts(col, id_col, q, n, [(r[3], r[4]) for r in mine], [r[5] / r[6] for r in mine]))
+    return out
 
 
 def fit_rank_cuts(df: DataFrame, col: str, id_col: str = ID, q: int = 5, method: str = "cuts") -> RankCuts:
-    """Keys at the cut ranks; ``auto`` finds them with a window on small inputs."""
-    find = _keys_at_ranks_window if choose_method(df, method) == "window" else keys_at_ranks
-    n, at = find(df, col, id_col, lambda n: cut_ranks(n, q))
-    if n == 1:
-        raise DuplicateEdgesError(f"duplicate quantile edges for {col}")
-    return RankCuts(col, id_col, q, n, [at[r] for r in cut_ranks(n, q)] if n else [])
+    return fit_cuts(df, [col], id_col, q, method)[0]
 
 
 def qcut_by_rank(
@@ -253,34 +232,33 @@ def qcut_by_rank(
 
 
 # --------------------------------------------------------------------------
-# exact value quantiles through the cut-key machinery (any cardinality)
+# exact value quantiles by selection (any cardinality, any number of columns and groups)
 # --------------------------------------------------------------------------
 
 
-def exact_quantiles(df: DataFrame, col: str, levels: list[float], id_col: str = ID) -> list[float | None]:
-    """Linearly interpolated quantiles without a value -> count map.
+def quantile_table(df: DataFrame, cols: list[str], levels: list[float], by: str | None = None) -> DataFrame:
+    """``g, c, q``: linearly interpolated quantiles of column number c in group g (one array).
 
     Uses the same interpolation as Spark's ``percentile``:
     ``(hi_pos - h) * lo + (h - lo_pos) * hi`` with ``h = (n-1) p``.
     """
+    found = select_ranks(df, cols, lambda n: quantile_ranks_expr(n, levels), by=by)
+    at = F.map_from_entries(F.collect_list(F.struct("k", F.col("value").cast("double"))))
+    per = found.groupBy("g", "c").agg(F.first("n").alias("n"), at.alias("at"))
+    out = []
+    for i, p in enumerate(levels):
+        h = (F.col("n") - 1) * F.lit(float(p))
+        lo, hi = F.element_at("at", F.lit(2 * i)), F.element_at("at", F.lit(2 * i + 1))
+        out.append(F.when(F.floor(h) == F.ceil(h), lo).otherwise((F.ceil(h) - h) * lo + (h - F.floor(h)) * hi))
+    return per.select("g", "c", F.array(*out).alias("q"))
 
-    if id_col not in df.columns:
-        # the tie-break does not change a value quantile; a row hash keeps a hot
-        # value spread over range partitions and is the same on recomputation
-        df = df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-        id_col = "_tie"
 
-    def positions(n: int) -> list[tuple[float, int, int]]:
-        return [((n - 1) * p, math.floor((n - 1) * p), math.ceil((n - 1) * p)) for p in levels]
+def exact_quantiles(df: DataFrame, cols: list[str], levels: list[float], by: str | None = None) -> dict[tuple, list[float]]:
+    """{(group, column): quantiles}; the group is None without ``by``.  A column without values is left out.
 
-    n, at = keys_at_ranks(df, col, id_col, lambda n: [r + 1 for _, lo, hi in positions(n) for r in (lo, hi)])
-    if n == 0:
-        return [None] * len(levels)
-    out = []
-    for h, lo, hi in positions(n):
-        a, b = float(at[lo + 1][0]), float(at[hi + 1][0])
-        out.append(a if lo == hi else (hi - h) * a + (h - lo) * b)
-    return out
+    One row for each group and column reaches the driver: use :func:`quantile_table` for many groups.
+    """
+    return {(r["g"] if by else None, cols[r["c"]]): r["q"] for r in quantile_table(df, cols, levels, by).collect()}
 
 
 # --------------------------------------------------------------------------
@@ -312,12 +290,8 @@ def rfm_features(df: DataFrame, q: int = 5, method: str = "auto", id_col: str =
         out = _rank_bin_window(out, "frequency", id_col, q, "f_score", F.col("_rfm.n_f"))
         out = _rank_bin_window(out, "monetary_value", id_col, q, "m_score", F.col("_rfm.n_m"))
     elif method == "cuts":
-        out = out.withColumns(
-            {
-                "f_score": fit_rank_cuts(df, "frequency", id_col, q).bin(),
-                "m_score": fit_rank_cuts(df, "monetary_value", id_col, q).bin(),
-            }
-        )
+        f, m = fit_cuts(df, ["frequency", "monetary_value"], id_col, q)
+        out = out.withColumns({"f_score": f.bin(), "m_score": m.bin()})
     else:
         raise ValueError(f"unknown method {method!r}")
     return out.drop("_rfm").withColumn(
@@ -339,7 +313,9 @@ class RfmModel:
             "q": self.q,
             "recency_edges": self.recency_edges,
             "frequency_keys": self.frequency_cuts.keys,
+            "frequency_shares": self.frequency_cuts.shares,
             "monetary_keys": self.monetary_cuts.keys,
+            "monetary_shares": self.monetary_cuts.shares,
         }
 
 
@@ -351,19 +327,13 @@ def fit_rfm(df: DataFrame, q: int = 5, id_col: str = ID, method: str = "auto") -
         raise ValueError("cannot fit RFM edges on an empty table")
     if len(set(e)) < len(e):
         raise DuplicateEdgesError(f"duplicate quantile edges for recency_days: {e}")
-    return RfmModel(
-        q,
-        [float(v) for v in e],
-        fit_rank_cuts(df, "frequency", id_col, q, method),
-        fit_rank_cuts(df, "monetary_value", id_col, q, method),
-    )
+    return RfmModel(q, [float(v) for v in e], *fit_cuts(df, ["frequency", "monetary_value"], id_col, q, method))
 
 
 def apply_rfm(df: DataFrame, model: RfmModel) -> DataFrame:
-    """Score new rows with frozen edges: r by value; f and m by the cut values.
-
-    New rows have new ids, so the frozen f/m rule compares values only: a row
-    tied with a cut value goes to the lower bin.  Works on streams (literals only).
+    """Score new rows with frozen edges: r by value; f and m by the cut values,
+    rows tied with a cut value split by a hash of the id in the fitted proportion
+    (:meth:`RankCuts.frozen_bin`).  Works on streams (literals only).
     """
     q = model.q
     x = F.col("recency_days").cast("double")
@@ -372,7 +342,7 @@ def apply_rfm(df: DataFrame, model: RfmModel) -> DataFrame:
     return df.withColumns(
         {
             "r_score": F.when(x.isNull(), F.lit(None)).otherwise(F.lit(q + 1) - r_bin).cast("long"),
-            "f_score": model.frequency_cuts.value_bin(),
-            "m_score": model.monetary_cuts.value_bin(),
+            "f_score": model.frequency_cuts.frozen_bin(),
+            "m_score": model.monetary_cuts.frozen_bin(),
         }
     ).withColumn("rfm_score", (F.col("r_score") + F.col("f_score") + F.col("m_score")).cast("long"))

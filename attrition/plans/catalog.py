@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from attrition.functions.exprs import r6
 from attrition.operators import features as fe
@@ -20,17 +21,17 @@ from attrition.operators import profile as pr
 from attrition.operators import rfm, scoring
 from attrition.operators import scaling as sc
 from attrition.operators import split as sp
+from attrition.plans import flows
 from attrition.schema import BASE_FEATURES, ID, LABEL, preset
 from attrition.session import ensure_checkpoint_dir
-from attrition.sources import synth
-from attrition.sources.testdata import all_customers, table
-from attrition.sources.testdata import customer_base as _customer_base
+from attrition.sources import files, store
+from attrition.sources.testdata import all_customers, customer_base
 from attrition.streaming.scoring_stream import score_stream
 
 
-def customer_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The base, built once per query and checkpointed (see ``materialize``)."""
-    return _customer_base(spark, sf_dir, materialize=True)
+def base_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base written once as Parquet, for queries that read it several times."""
+    return customer_base(spark, sf_dir, materialize=True)
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,22 +51,23 @@ def query(name: str):
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 prepare: base -> ratio features -> RFM scores (batch-relative)."""
-    return rfm.rfm_features(fe.ratio_features(customer_base(spark, sf_dir)))
+    return rfm.rfm_features(fe.ratio_features(base_table(spark, sf_dir)))
 
 
-def decided(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features scored by the churn rule (statistics fitted on the base) and decided."""
-    base = customer_base(spark, sf_dir)
-    feats = rfm.rfm_features(fe.ratio_features(base))
-    return scoring.decide(scoring.rule_score(feats, fit_on=base))
+def decided(spark: SparkSession, sf_dir: str, with_rfm: bool = False) -> DataFrame:
+    """The base scored by the churn rule (statistics fitted on it) and decided;
+    with ratio features and RFM scores only for queries that return them."""
+    base = base_table(spark, sf_dir)
+    rows = rfm.rfm_features(fe.ratio_features(base)) if with_rfm else base
+    return scoring.decide(scoring.rule_score(rows, fit_on=base))
 
 
 # -- queries ----------------------------------------------------------------
 
 
 @query("customer_base")
-def q_customer_base(spark, sf_dir):
-    return _customer_base(spark, sf_dir)
+def qcustomer_base(spark, sf_dir):
+    return customer_base(spark, sf_dir)
 
 
 @query("ratio_features")
@@ -82,21 +84,21 @@ def q_spend_frequency_product(spark, sf_dir):
 
 @query("r_score")
 def q_r_score(spark, sf_dir):
-    return rfm.qcut_by_value(customer_base(spark, sf_dir), "recency_days", 5, out="r_score", reverse=True).select(
+    return rfm.qcut_by_value(base_table(spark, sf_dir), "recency_days", 5, out="r_score", reverse=True).select(
         ID, "recency_days", "r_score"
     )
 
 
 @query("f_score")
 def q_f_score(spark, sf_dir):
-    return rfm.qcut_by_rank(customer_base(spark, sf_dir), "frequency", 5, out="f_score").select(
+    return rfm.qcut_by_rank(base_table(spark, sf_dir), "frequency", 5, out="f_score").select(
         ID, "frequency", "f_score"
     )
 
 
 @query("m_score")
 def q_m_score(spark, sf_dir):
-    return rfm.qcut_by_rank(customer_base(spark, sf_dir), "monetary_value", 5, out="m_score").select(
+    return rfm.qcut_by_rank(base_table(spark, sf_dir), "monetary_value", 5, out="m_score").select(
         ID, "monetary_value", "m_score"
     )
 
@@ -114,7 +116,7 @@ def q_rule_score(spark, sf_dir):
 @query("top10_risk")
 def q_top10_risk(spark, sf_dir):
     """Flagship: the ten customers most at risk."""
-    top = scoring.top_k(decided(spark, sf_dir), "churn_probability", 10)
+    top = scoring.top_k(decided(spark, sf_dir, with_rfm=True), "churn_probability", 10)
     return top.select(ID, r6("churn_probability").alias("churn_probability"), "churn_predicted", "rfm_score")
 
 
@@ -136,7 +138,7 @@ def q_column_info(spark, sf_dir):
 
 @query("describe")
 def q_describe(spark, sf_dir):
-    base = customer_base(spark, sf_dir)
+    base = base_table(spark, sf_dir)
     return pr.describe(base, base.columns)
 
 
@@ -147,7 +149,7 @@ def q_churn_counts(spark, sf_dir):
 
 @query("churn_share")
 def q_churn_share(spark, sf_dir):
-    return pr.value_counts(customer_base(spark, sf_dir), LABEL, normalize=True)
+    return pr.value_counts(base_table(spark, sf_dir), LABEL, normalize=True)
 
 
 @query("null_counts")
@@ -157,12 +159,12 @@ def q_null_counts(spark, sf_dir):
 
 @query("histogram_30")
 def q_histogram_30(spark, sf_dir):
-    return pr.histogram(customer_base(spark, sf_dir), BASE_FEATURES, 30)
+    return pr.histogram(base_table(spark, sf_dir), BASE_FEATURES, 30)
 
 
 @query("boxplot_by_churn")
 def q_boxplot_by_churn(spark, sf_dir):
-    return pr.boxplot_stats(customer_base(spark, sf_dir), BASE_FEATURES, LABEL)
+    return pr.boxplot_stats(base_table(spark, sf_dir), BASE_FEATURES, LABEL)
 
 
 @query("corr_matrix")
@@ -195,19 +197,19 @@ def q_drop_nulls(spark, sf_dir):
 @query("zscore_features")
 def q_zscore_features(spark, sf_dir):
     cols = preset("F4")
-    z = sc.zscore(customer_base(spark, sf_dir), cols)
+    z = sc.zscore(base_table(spark, sf_dir), cols)
     return z.select(ID, *[r6(c).alias(c) for c in cols])
 
 
 @query("zscore_all_numeric")
 def q_zscore_all_numeric(spark, sf_dir):
-    z = sc.zscore_all_numeric(customer_base(spark, sf_dir))
+    z = sc.zscore_all_numeric(base_table(spark, sf_dir))
     return z.select(*[r6(c).alias(c) if c.endswith("_normalized") else F.col(c) for c in z.columns])
 
 
 @query("standard_scale_train")
 def q_standard_scale_train(spark, sf_dir):
-    split = sp.split_hash(customer_base(spark, sf_dir))
+    split = sp.split_hash(base_table(spark, sf_dir))
     train, test = split.where("split = 'train'"), split.where("split = 'test'")
     scaled = sc.standard_scale(test, BASE_FEATURES, fit_on=train)
     return scaled.select(ID, *[r6(c).alias(c) for c in BASE_FEATURES])
@@ -223,12 +225,12 @@ def q_split_hash(spark, sf_dir):
 
 @query("split_stratified")
 def q_split_stratified(spark, sf_dir):
-    return sp.split_stratified(customer_base(spark, sf_dir)).select(ID, LABEL, "split")
+    return sp.split_stratified(base_table(spark, sf_dir)).select(ID, LABEL, "split")
 
 
 @query("fold_sizes")
 def q_fold_sizes(spark, sf_dir):
-    folds = sp.add_fold(customer_base(spark, sf_dir), 5, label=LABEL)
+    folds = sp.add_fold(base_table(spark, sf_dir), 5, label=LABEL)
     return folds.groupBy("fold", LABEL).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -246,7 +248,7 @@ P = "churn_probability"
 
 def scored_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decided rule scores + the fixed logistic score + the hash split."""
-    return sp.split_hash(scoring.logistic_score(decided(spark, sf_dir), out="p_logistic"))
+    return sp.split_hash(scoring.logistic_score(decided(spark, sf_dir, with_rfm=True), out="p_logistic"))
 
 
 # Model comparison without MLlib: runs that the SQL oracle can rebuild.
@@ -380,14 +382,14 @@ def q_quality_gate(spark, sf_dir):
 
 @query("rfm_cutkeys")
 def q_rfm_cutkeys(spark, sf_dir):
-    """Same scores as rfm_features, through the range-shuffle cut-key path."""
-    return rfm.rfm_features(fe.ratio_features(customer_base(spark, sf_dir)), method="cuts")
+    """Same scores as rfm_features, through selected cut keys."""
+    return rfm.rfm_features(fe.ratio_features(base_table(spark, sf_dir)), method="cuts")
 
 
 @query("rfm_frozen")
 def q_rfm_frozen(spark, sf_dir):
     """Edges fitted on the training split, applied to the test split."""
-    split = sp.split_hash(customer_base(spark, sf_dir))
+    split = sp.split_hash(base_table(spark, sf_dir))
     model = rfm.fit_rfm(split.where(F.col("split") == "train"))
     test = split.where(F.col("split") == "test")
     return rfm.apply_rfm(test, model).select(ID, "r_score", "f_score", "m_score", "rfm_score")
@@ -396,13 +398,13 @@ def q_rfm_frozen(spark, sf_dir):
 @query("split_stratified_cuts")
 def q_split_stratified_cuts(spark, sf_dir):
     """Stratified split through per-label cut keys (no per-label window)."""
-    return sp.split_stratified(customer_base(spark, sf_dir), method="cuts").select(ID, LABEL, "split")
+    return sp.split_stratified(base_table(spark, sf_dir), method="cuts").select(ID, LABEL, "split")
 
 
 @query("describe_cuts")
 def q_describe_cuts(spark, sf_dir):
-    """describe() with exact quartiles from the range-shuffle path."""
-    base = customer_base(spark, sf_dir)
+    """describe() with exact quartiles by selection."""
+    base = base_table(spark, sf_dir)
     return pr.describe(base, base.columns, method="cuts")
 
 
@@ -410,26 +412,21 @@ def q_describe_cuts(spark, sf_dir):
 
 
 F13 = preset("F13")
+# fixed values: model settings and the number of features kept
 RF_DEFAULT = {"n_estimators": 100, "max_depth": 10}
+GBT_DEFAULT = {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3}
+TOP_FEATURES = 8
 # fixed values: the reference's search grid (2 x 3 x 3 settings, 5 folds, F1 of class 1)
 GRID = {"n_estimators": [100, 200], "max_depth": [5, 10, 15], "min_samples_split": [2, 10, 20]}
 
 
 def model_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Stratified train/test split of the features; kept (memory, then disk)
-    because every fit makes several passes over it."""
-    s = sp.split_stratified(features(spark, sf_dir)).persist()
+    """Stratified train/test split of the features, checkpointed because every
+    fit makes several passes over it."""
+    s = sp.split_stratified(features(spark, sf_dir)).checkpoint(eager=True)
     return s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
 
 
-@query("synth_customers")
-def q_synth_customers(spark, sf_dir):
-    """Correlated synthetic twin of the customer table: one generated row per
-    row of ``customer`` (the count is read from the table)."""
-    n = table(spark, sf_dir, "customer").count()
-    return synth.correlated_customers(spark, n, seed=42)
-
-
 def _scores(spark, sf_dir, kind, params):
     train, test = model_split(spark, sf_dir)
     return ml.score_frame(ml.fit(train, kind, params, F13), test)
@@ -447,7 +444,7 @@ def q_rf_scores(spark, sf_dir):
 
 @query("gbt_scores")
 def q_gbt_scores(spark, sf_dir):
-    return _scores(spark, sf_dir, "gbt", {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3})
+    return _scores(spark, sf_dir, "gbt", GBT_DEFAULT)
 
 
 @query("candidate_compare")
@@ -483,7 +480,7 @@ def q_top8_retrain(spark, sf_dir):
     """Retrain on the 8 most important features and compare with all features."""
     train, test = model_split(spark, sf_dir)
     full = ml.fit(train, "rf", RF_DEFAULT, F13)
-    top8 = [f for f, _ in ml.feature_importance(full, F13)[:8]]
+    top8 = [f for f, _ in ml.feature_importance(full, F13)[:TOP_FEATURES]]
     small = ml.fit(train, "rf", RF_DEFAULT, top8)
     a = ml.evaluate(full, test).withColumn("run_name", F.lit("all_features"))
     b = ml.evaluate(small, test).withColumn("run_name", F.lit("top8:" + ",".join(top8)))
@@ -492,27 +489,153 @@ def q_top8_retrain(spark, sf_dir):
 
 @query("stream_scores")
 def q_stream_scores(spark, sf_dir):
-    """The customer base written as files, scored by an available-now stream
-    with RFM edges and rule statistics frozen beforehand."""
-    base = customer_base(spark, sf_dir)
+    """The customer base as a folder of files, scored by an available-now stream
+    with RFM edges and rule statistics frozen beforehand (without the time stamp)."""
     root = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
-    base.repartition(4).write.parquet(f"{root}/in")
+    customer_base(spark, sf_dir).write.parquet(f"{root}/in")
     frozen = spark.read.parquet(f"{root}/in")
     model = rfm.fit_rfm(frozen)
     stats = scoring.fit_rule_stats(frozen)
     score_stream(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", rfm_model=model, rule_stats=stats,
-                 version=MODEL_VERSION, max_files_per_trigger=2)
-    return spark.read.parquet(f"{root}/out")
+                 version=MODEL_VERSION)
+    return spark.read.parquet(f"{root}/out").drop("predicted_at").withColumn(P, r6(P))
 
 
 @query("boxplot_by_churn_cuts")
 def q_boxplot_by_churn_cuts(spark, sf_dir):
     """Box-plot statistics with exact per-group quartiles from the cut-key path."""
-    return pr.boxplot_stats(customer_base(spark, sf_dir), BASE_FEATURES, LABEL, method="cuts")
+    return pr.boxplot_stats(base_table(spark, sf_dir), BASE_FEATURES, LABEL, method="cuts")
 
 
 @query("r_score_cuts")
 def q_r_score_cuts(spark, sf_dir):
-    """r_score with edges from the range-shuffle path (for high-cardinality columns)."""
-    return rfm.qcut_by_value(customer_base(spark, sf_dir), "recency_days", 5, out="r_score", reverse=True,
+    """r_score with edges by selection (for high-cardinality columns)."""
+    return rfm.qcut_by_value(base_table(spark, sf_dir), "recency_days", 5, out="r_score", reverse=True,
                              method="cuts").select(ID, "recency_days", "r_score")
+
+
+# -- one answer at every size: nulls, many groups ----------------------------------
+
+
+@query("rfm_ranks_nulls")
+def q_rfm_ranks_nulls(spark, sf_dir):
+    """f and m bins over all customers: those without orders have null values and no bin."""
+    rows = all_customers(spark, sf_dir).select(ID, "frequency", "monetary_value")
+    f = rfm.qcut_by_rank(rows, "frequency", 5, out="f_score")
+    return rfm.qcut_by_rank(f, "monetary_value", 5, out="m_score").select(ID, "f_score", "m_score")
+
+
+MANY_GROUPS = 97
+
+
+@query("boxplot_many_groups")
+def q_boxplot_many_groups(spark, sf_dir):
+    """Box-plot statistics of spend by more groups than are inlined, one of them null."""
+    g = F.col(ID) % MANY_GROUPS
+    rows = base_table(spark, sf_dir).withColumn("grp", F.when(g > 0, g))
+    return pr.boxplot_stats(rows, ["monetary_value", "total_orders"], "grp")
+
+
+# -- flows and files ----------------------------------------------------------------
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    """The scored base with a text column, written as CSV and read back with its types."""
+    path = _scratch(spark, "csv")
+    rows = scoring.score(decided(spark, sf_dir), version=MODEL_VERSION, keep_actual=True)
+    files.write_table(rows, path, "csv")
+    kinds = {"churn_probability": T.DoubleType(), "churn_predicted": T.LongType(), "churn_actual": T.LongType()}
+    return files.read_customers(spark, path, "csv", kinds).withColumn(P, r6(P))
+
+
+@query("materialize_reuse")
+def q_materialize_reuse(spark, sf_dir):
+    """Ratio features kept under a fingerprint of their input; the second call reads the first's table."""
+    store_dir, base = _scratch(spark, "store"), base_table(spark, sf_dir)
+    feats = fe.ratio_features(base)
+    _, first = store.materialize(feats, store_dir, {"step": "ratios"}, source=base)
+    again, second = store.materialize(feats, store_dir, {"step": "ratios"}, source=base)
+    return again.select(ID, "monetary_per_order", F.lit(first).alias("first_hit"), F.lit(second).alias("second_hit"))
+
+
+@query("flow_infer")
+def q_flow_infer(spark, sf_dir):
+    """Train, save, load the latest version, score, write with stamp and version, read back and check."""
+    models_dir, out = _scratch(spark, "models"), _scratch(spark, "predictions")
+    base = base_table(spark, sf_dir)
+    flows.train(base, "lr", {}, model_base=models_dir, name="churn")
+    receipt = flows.infer_saved(base, models_dir, "churn", out)
+    rows = spark.read.parquet(out)
+    stamps = rows.select(F.count_distinct("predicted_at")).scalar()
+    return rows.select(
+        ID,
+        "model_version",
+        (F.col(P).between(0, 1) & (F.col("churn_predicted") == (F.col(P) > 0.5).cast("long"))).alias("decision_ok"),
+        stamps.alias("stamps"),
+        F.lit(receipt["record_count"]).cast("long").alias("record_count"),
+    )
+
+
+@query("flow_train_gate")
+def q_flow_train_gate(spark, sf_dir):
+    """A gate that no model passes saves nothing; one that all pass saves version 1, then 2."""
+    models_dir, base = _scratch(spark, "models"), base_table(spark, sf_dir)
+    closed = flows.train(base, "lr", {}, model_base=models_dir, name="m", gate_min=1.1)
+    opened = [flows.train(base, "lr", {}, model_base=models_dir, name="m", gate_min=0.0) for _ in range(2)]
+    rows = [("closed", closed.passed, closed.version), *((f"open{i}", r.passed, r.version) for i, r in enumerate(opened))]
+    return spark.createDataFrame(rows, "gate string, passed boolean, version long")
+
+
+def _checked(scores: DataFrame, rows: DataFrame) -> DataFrame:
+    """Scores against the rows they were made for: id, label, and whether probability and decision agree."""
+    ok = F.col(P).between(0, 1) & (F.col("churn_predicted") == (F.col(P) > 0.5).cast("long"))
+    return scores.select(ID, ok.alias("decision_ok")).join(rows.select(ID, LABEL), ID).select(ID, LABEL, "decision_ok")
+
+
+@query("model_scores_checked")
+def q_model_scores_checked(spark, sf_dir):
+    """Each kind of model scores exactly the stratified test rows, and decides by its probability."""
+    train, test = model_split(spark, sf_dir)
+    out = None
+    for kind, params in (("lr", {}), ("rf", {"n_estimators": 10, "max_depth": 5}), ("gbt", {"n_estimators": 5})):
+        part = _checked(ml.score_frame(ml.fit(train, kind, params, F13), test), test).withColumn("kind", F.lit(kind))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("lr_gradient_checked")
+def q_lr_gradient_checked(spark, sf_dir):
+    """At the fitted coefficients the gradient of the penalised log-loss vanishes (one row for each feature)."""
+    train, _ = model_split(spark, sf_dir)
+    pm = ml.fit(train, "lr", {"tol": 1e-9}, F13)
+    return ml.lr_gradient(pm, train, F13).select("feature", (F.abs("gradient") < 1e-4).alias("vanishes"))
+
+
+@query("importance_checked")
+def q_importance_checked(spark, sf_dir):
+    """Importances: one for each feature, none negative, summing to one."""
+    train, _ = model_split(spark, sf_dir)
+    imp = ml.importance_frame(spark, ml.fit(train, "rf", {"n_estimators": 10, "max_depth": 5}, F13), F13)
+    total = imp.select(F.sum("importance")).scalar()
+    return imp.select("feature", (F.col("importance") >= 0).alias("not_negative"), (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
+
+
+@query("cv_checked")
+def q_cv_checked(spark, sf_dir):
+    """One metric in [0, 1] for each fold."""
+    folds = ml.cv_score(features(spark, sf_dir), "lr", {"max_iter": 50}, F13, k=5)
+    return folds.select("fold", F.col("accuracy").between(0, 1).alias("in_range"))
+
+
+@query("grid_checked")
+def q_grid_checked(spark, sf_dir):
+    """Every setting of a small grid is scored once."""
+    train, _ = model_split(spark, sf_dir)
+    grid = {"n_estimators": [3, 5], "max_depth": [2, 3]}
+    _, rows = ml.grid_search(train, "rf", grid, F13, k=3, parallelism=4)
+    return rows.select("setting", F.col("mean_f1").between(0, 1).alias("in_range"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -15,7 +16,8 @@ from attrition.operators import profile as pr
 from attrition.operators import rfm
 from attrition.operators import split as sp
 from attrition.schema import LABEL, preset
-from attrition.sources import store
+from attrition.session import ensure_checkpoint_dir
+from attrition.sources import files, store
 
 
 def prepare(df: DataFrame, method: str = "auto", rfm_model: rfm.RfmModel | None = None,
@@ -49,27 +51,36 @@ def train(df: DataFrame, kind: str = "rf", params: dict | None = None, feature_p
           stratified: bool = True, model_base: str | None = None, name: str = "churn_model",
           gate_metric: str = "f1", gate_min: float = 0.0) -> TrainResult:
     """L2: prepare -> split -> fit -> evaluate -> quality gate -> save."""
+    ensure_checkpoint_dir(df.sparkSession)
     feats = prepare(df)
     split = sp.split_stratified(feats) if stratified else sp.split_hash(feats)
-    split = split.persist()  # fitted and evaluated from the same rows
+    split = split.checkpoint(eager=True)  # fitted and evaluated from the same rows
     train_rows, test_rows = split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
     cols = preset(feature_preset)
     pm = models.fit(train_rows, kind, params, cols)
-    metrics = models.evaluate(pm, test_rows).cache()
+    metrics = models.evaluate(pm, test_rows)
     value = metrics.first()[gate_metric]
-    split.unpersist()
     passed = value >= gate_min
     version = store.save_model(pm, model_base, name) if (passed and model_base) else None
     return TrainResult(pm, metrics, passed, version)
 
 
 def infer(df: DataFrame, pm: PipelineModel, version: str | None = None, threshold: float = 0.5,
-          rfm_model: rfm.RfmModel | None = None) -> DataFrame:
-    """L3: prepare -> score with a saved model; customer_id, probability, decision[, version].
+          rfm_model: rfm.RfmModel | None = None, predicted_at: dt.datetime | None = None) -> DataFrame:
+    """Prepare and score with a model; customer_id, probability, decision[, version][, stamp].
 
     Quantiles are re-fitted on the batch unless frozen edges are given."""
-    out = models.score_frame(pm, prepare(df, rfm_model=rfm_model), threshold)
-    return out.withColumn("model_version", F.lit(version)) if version is not None else out
+    return models.score_frame(pm, prepare(df, rfm_model=rfm_model), threshold, version, predicted_at)
+
+
+def infer_saved(df: DataFrame, model_base: str, name: str, out_path: str, version: int | str = "latest",
+                threshold: float = 0.5, rfm_model: rfm.RfmModel | None = None, fmt: str = "parquet") -> dict:
+    """L3: load a saved model by name and version, score the batch with one stamp and the
+    model's version, write the predictions, and return the write's receipt."""
+    pm, number = store.load_model(model_base, name, version, with_version=True)
+    stamp = dt.datetime.now(dt.UTC).replace(tzinfo=None)
+    scored = infer(df, pm, f"{name}-v{number}", threshold, rfm_model, stamp)
+    return files.write_predictions(scored, out_path, fmt=fmt) | {"model_version": f"{name}-v{number}"}
 
 
 def profile(df: DataFrame, label: str = LABEL) -> dict[str, DataFrame]:

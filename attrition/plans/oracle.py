@@ -224,8 +224,11 @@ SELECT customer_id, churned,
 FROM base"""
 SQL["fold_sizes"] = with_ctes(BASE) + f"""
 SELECT fold, churned, count(*) AS n FROM (
-  SELECT churned, CAST((row_number() OVER (PARTITION BY churned ORDER BY {HASH}, customer_id) - 1) % 5 AS BIGINT) AS fold
-  FROM base) GROUP BY fold, churned"""
+  SELECT churned, CAST(CAST(rn > n // 5 AS BIGINT) + CAST(rn > n * 2 // 5 AS BIGINT) + CAST(rn > n * 3 // 5 AS BIGINT)
+                       + CAST(rn > n * 4 // 5 AS BIGINT) AS BIGINT) AS fold
+  FROM (SELECT churned, count(*) OVER (PARTITION BY churned) AS n,
+               row_number() OVER (PARTITION BY churned ORDER BY {HASH}, customer_id) AS rn FROM base)
+  ) GROUP BY fold, churned"""
 SQL["first_100"] = with_ctes(BASE) + "SELECT * FROM base ORDER BY customer_id LIMIT 100"
 
 
@@ -354,29 +357,97 @@ SQL["describe_cuts"] = SQL["describe"]
 
 
 def _frozen_cut(c: str) -> str:
+    """Values at the cut ranks of the training rows, and the part of each value's rows at or below the cut."""
     return f"""{c}_cuts AS (
-  SELECT list({c} ORDER BY k) AS v FROM (
-    SELECT k.k, t.{c} FROM (SELECT *, row_number() OVER (ORDER BY {c}, customer_id) AS rn,
-                                   count(*) OVER () AS n FROM tr) t,
-           (SELECT range AS k FROM range(1, 5)) k
+  SELECT list({c} ORDER BY k) AS v, list(r / m ORDER BY k) AS s FROM (
+    SELECT k.k, t.{c}, t.r, t.m FROM (
+      SELECT *, row_number() OVER (ORDER BY {c}, customer_id) AS rn, count(*) OVER () AS n,
+             row_number() OVER (PARTITION BY {c} ORDER BY customer_id) AS r, count(*) OVER (PARTITION BY {c}) AS m
+      FROM tr) t, (SELECT range AS k FROM range(1, 5)) k
     WHERE t.rn = 1 + ((t.n - 1) * k.k) // 5))"""
 
 
+def _frozen_bin(c: str, cuts: str) -> str:
+    u = f"(CAST('0x' || substr(md5('{c}-' || CAST(te.customer_id AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0)"
+    past = [f"CAST({c} > {cuts}.v[{k}] OR ({c} = {cuts}.v[{k}] AND {u} >= {cuts}.s[{k}]) AS BIGINT)" for k in range(1, 5)]
+    return f"CAST(1 + {' + '.join(past)} AS BIGINT)"
+
+
 SQL["rfm_frozen"] = with_ctes(
     BASE, SPLIT,
     "tr AS (SELECT * FROM sp WHERE split = 'train')",
     "te AS (SELECT * FROM sp WHERE split = 'test')",
     "re AS (SELECT quantile_cont(recency_days, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]) AS e FROM tr)",
     _frozen_cut("frequency"), _frozen_cut("monetary_value"),
-    """sco AS (SELECT te.customer_id,
+    f"""sco AS (SELECT te.customer_id,
       CAST(5 - CAST(recency_days > re.e[2] AS BIGINT) - CAST(recency_days > re.e[3] AS BIGINT)
              - CAST(recency_days > re.e[4] AS BIGINT) - CAST(recency_days > re.e[5] AS BIGINT) AS BIGINT) AS r_score,
-      CAST(1 + CAST(frequency > fc.v[1] AS BIGINT) + CAST(frequency > fc.v[2] AS BIGINT)
-             + CAST(frequency > fc.v[3] AS BIGINT) + CAST(frequency > fc.v[4] AS BIGINT) AS BIGINT) AS f_score,
-      CAST(1 + CAST(monetary_value > mc.v[1] AS BIGINT) + CAST(monetary_value > mc.v[2] AS BIGINT)
-             + CAST(monetary_value > mc.v[3] AS BIGINT) + CAST(monetary_value > mc.v[4] AS BIGINT) AS BIGINT) AS m_score
+      {_frozen_bin("frequency", "fc")} AS f_score,
+      {_frozen_bin("monetary_value", "mc")} AS m_score
     FROM te, re, frequency_cuts fc, monetary_value_cuts mc)""",
 ) + "SELECT *, CAST(r_score + f_score + m_score AS BIGINT) AS rfm_score FROM sco"
 
 SQL["boxplot_by_churn_cuts"] = SQL["boxplot_by_churn"]
 SQL["r_score_cuts"] = SQL["r_score"]
+
+# -- stream, nulls, many groups, flows ---------------------------------------------
+
+SQL["stream_scores"] = FULL + f"""
+SELECT customer_id, {r6('churn_probability')} AS churn_probability, churn_predicted, 'rule-v1' AS model_version FROM decided"""
+
+
+def _null_bin(c: str, out: str) -> str:
+    return f"""CASE WHEN {c} IS NOT NULL THEN CAST(greatest(1,
+      (5 * (row_number() OVER (PARTITION BY {c} IS NULL ORDER BY {c}, customer_id) - 1) + count({c}) OVER () - 2)
+      // (count({c}) OVER () - 1)) AS BIGINT) END AS {out}"""
+
+
+SQL["rfm_ranks_nulls"] = with_ctes(BASE, ALLC) + f"""
+SELECT customer_id, {_null_bin("frequency", "f_score")}, {_null_bin("monetary_value", "m_score")} FROM allc"""
+
+
+def _box_many(c: str) -> str:
+    return f"""SELECT b.grp, '{c}' AS column, {r6('q.q1')} AS q1, {r6('q.q2')} AS median, {r6('q.q3')} AS q3,
+  CAST(min({c}) FILTER (WHERE {c} >= q.q1 - 1.5 * (q.q3 - q.q1)) AS DOUBLE) AS whisker_lo,
+  CAST(max({c}) FILTER (WHERE {c} <= q.q3 + 1.5 * (q.q3 - q.q1)) AS DOUBLE) AS whisker_hi,
+  count(*) FILTER (WHERE {c} < q.q1 - 1.5 * (q.q3 - q.q1) OR {c} > q.q3 + 1.5 * (q.q3 - q.q1)) AS n_outliers
+FROM g b JOIN (SELECT grp, quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS q2,
+                      quantile_cont({c}, 0.75) AS q3 FROM g GROUP BY grp) q ON q.grp IS NOT DISTINCT FROM b.grp
+GROUP BY b.grp, q.q1, q.q2, q.q3"""
+
+
+SQL["boxplot_many_groups"] = with_ctes(
+    BASE, "g AS (SELECT *, CASE WHEN customer_id % 97 > 0 THEN customer_id % 97 END AS grp FROM base)"
+) + "\nUNION ALL\n".join(_box_many(c) for c in ("monetary_value", "total_orders"))
+
+SQL["csv_roundtrip"] = FULL + f"""
+SELECT customer_id, {r6('churn_probability')} AS churn_probability, churn_predicted, 'rule-v1' AS model_version,
+       churned AS churn_actual FROM decided"""
+
+SQL["materialize_reuse"] = with_ctes(BASE, RATIOS) + """
+SELECT customer_id, monetary_per_order, false AS first_hit, true AS second_hit FROM feat"""
+
+SQL["flow_infer"] = with_ctes(BASE) + """
+SELECT customer_id, 'churn-v1' AS model_version, true AS decision_ok, 1 AS stamps, (SELECT count(*) FROM base) AS record_count
+FROM base"""
+
+SQL["flow_train_gate"] = """
+SELECT * FROM (VALUES ('closed', false, NULL), ('open0', true, 1), ('open1', true, 2)) AS t(gate, passed, version)"""
+
+# the rows of the stratified test split
+_TEST = f"""te AS (
+  SELECT customer_id, churned FROM (
+    SELECT customer_id, churned, row_number() OVER (PARTITION BY churned ORDER BY {HASH}, customer_id) AS rn,
+           count(*) OVER (PARTITION BY churned) AS n FROM base)
+  WHERE rn <= floor(0.2 * n + 0.5)
+)"""
+SQL["model_scores_checked"] = with_ctes(BASE, _TEST) + """
+SELECT customer_id, churned, true AS decision_ok, kind FROM te, (VALUES ('lr'), ('rf'), ('gbt')) AS k(kind)"""
+
+_F13 = FEATS + ["recency_frequency_ratio", "monetary_per_order", "order_frequency", "support_per_order", "rfm_score"]
+_F13_ROWS = ", ".join(f"('{f}')" for f in _F13)
+SQL["lr_gradient_checked"] = f"SELECT feature, true AS vanishes FROM (VALUES {_F13_ROWS}) AS t(feature)"
+SQL["importance_checked"] = f"SELECT feature, true AS not_negative, true AS sums_to_one FROM (VALUES {_F13_ROWS}) AS t(feature)"
+SQL["cv_checked"] = "SELECT CAST(range AS BIGINT) AS fold, true AS in_range FROM range(5)"
+SQL["grid_checked"] = """
+SELECT 'maxDepth=' || d || ',numTrees=' || t AS setting, true AS in_range FROM (VALUES (2), (3)) AS a(d), (VALUES (3), (5)) AS b(t)"""

@@ -42,8 +42,8 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: st
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, reading ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; only when nothing is set (a local
-    test run) do we make a fresh scratch folder of our own.
+    A cluster must name a shared folder there (an error otherwise); only a
+    ``local`` master, as in tests, gets a fresh scratch folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="attrition-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -3,6 +3,7 @@ exports with a one-pass write receipt, read-or-generate."""
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attrition.schema import CUSTOMER
-from attrition.sources import synth
+from attrition.sources import samples
 
 KNOWN_TYPES = {f.name: f.dataType for f in CUSTOMER.fields}
 
@@ -27,19 +28,39 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def read_customers(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of each header (one line of each file is read, by Spark)."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "_metadata.file_block_start", "value")
+    first = lines.where("file_block_start = 0").groupBy("file").agg(F.first("value").alias("head"))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in first.orderBy("file").collect():  # one row for each file
+        header = tuple(next(csv.reader([r["head"]])))
+        out.setdefault(header, []).append(r["file"])
+    return out
+
+
+def read_customers(spark: SparkSession, path: str, fmt: str = "csv", types: dict[str, T.DataType] | None = None) -> DataFrame:
     """Customer table with explicit types (no inference pass over the data).
 
-    For CSV only the header line is read to learn which columns are present;
-    known columns get their schema type, others are read as double.
+    For CSV only the header lines are read.  Known columns get their schema
+    type, others the type that ``types`` gives, else string.  Files of one
+    folder may have their columns in any order: each order is read with its own
+    header; a value that does not fit its type is an error.
     """
     if fmt == "parquet":
         return spark.read.parquet(path)
     if fmt != "csv":
         raise ValueError(fmt)
-    header = spark.read.option("header", True).csv(path).columns
-    schema = T.StructType([T.StructField(c, KNOWN_TYPES.get(c, T.DoubleType()), True) for c in header])
-    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    kinds = KNOWN_TYPES | (types or {})
+    out = None
+    for header, files in _headers(spark, path).items():
+        schema = T.StructType([T.StructField(c, kinds.get(c, T.StringType()), True) for c in header])
+        reader = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").option("enforceSchema", False)
+        part = reader.csv(files)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        raise FileNotFoundError(f"no CSV file under {path}")
+    return out
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> str:
@@ -76,12 +97,9 @@ def write_predictions(df: DataFrame, path: str, threshold: float = 0.7, fmt: str
     }
 
 
-def load_or_generate(spark: SparkSession, path: str | None, kind: str = "correlated", n: int | None = None,
-                     seed: int = 42, fmt: str = "csv") -> DataFrame:
-    """Use the file when it exists, else a synthetic table of the given kind."""
+def load_or_sample(spark: SparkSession, path: str | None, kind: str = "labelled", n: int = 1000, seed: int = 1,
+                   first_id: int = 1, fmt: str = "csv") -> DataFrame:
+    """Use the file when it exists, else a sample frame of the given kind."""
     if path and path_exists(spark, path):
         return read_customers(spark, path, fmt)
-    defaults = {"correlated": 5000, "indep": 1000, "logit": 5000, "unlabelled": 1000, "narrow": 500}
-    first_id = 10001 if kind == "unlabelled" else 1
-    seed = seed + 1 if kind == "unlabelled" else seed
-    return synth.synth_customers(spark, n or defaults[kind], seed, kind, first_id)
+    return samples.sample_customers(spark, n, seed, first_id, kind)

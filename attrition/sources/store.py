@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import random
 import time
+import uuid
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -34,22 +36,37 @@ def _versions(spark: SparkSession, folder: str) -> list[int]:
 
 
 def save_model(pm: PipelineModel, base: str, name: str) -> int:
-    """Save as the next version of ``name``; returns the version number."""
-    spark = SparkSession.getActiveSession()
-    version = (max(_versions(spark, f"{base}/{name}"), default=0)) + 1
-    pm.write().overwrite().save(f"{base}/{name}/version={version}")
+    """Save as the next version of ``name``; returns the version number.
+
+    A version is claimed by a file of its own name; the claim holds if no other
+    saver's file is seen beside it afterwards (the later of two always sees the
+    earlier).  Savers that meet go on to higher numbers, so no model is lost.
+    """
+    spark = SparkSession.builder.getOrCreate()
+    version = max(_versions(spark, f"{base}/{name}"), default=0) + 1
+    while (others := _claim(spark, f"{base}/{name}/claims/{version}")):
+        version += random.randint(1, others + 1)
+    pm.write().save(f"{base}/{name}/version={version}")
     return version
 
 
-def load_model(base: str, name: str, version: int | str = "latest") -> PipelineModel:
-    """Load a version, or the highest one for ``'latest'``."""
-    spark = SparkSession.getActiveSession()
+def _claim(spark: SparkSession, folder: str) -> int:
+    """Put a claim into the folder; how many claims of others are there."""
+    fs, mine = _jvm_fs(spark, f"{folder}/{uuid.uuid4().hex}")
+    fs.create(mine).close()
+    return len([st for st in fs.listStatus(mine.getParent()) if not st.getPath().getName().startswith(".")]) - 1
+
+
+def load_model(base: str, name: str, version: int | str = "latest", with_version: bool = False):
+    """Load a version, or the highest one for ``'latest'``; with its number if asked for."""
+    spark = SparkSession.builder.getOrCreate()
     if version == "latest":
         vs = _versions(spark, f"{base}/{name}")
         if not vs:
             raise FileNotFoundError(f"no saved version of model {name!r} under {base}")
         version = vs[-1]
-    return PipelineModel.load(f"{base}/{name}/version={int(version)}")
+    model = PipelineModel.load(f"{base}/{name}/version={int(version)}")
+    return (model, int(version)) if with_version else model
 
 
 def fingerprint(df: DataFrame, params: dict | None = None) -> str:

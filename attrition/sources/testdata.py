@@ -10,7 +10,9 @@ columns of :data:`attrition.schema.CUSTOMER`:
 * ``monetary_value`` = their total price (summed as integer cents, so the sum
   does not depend on the order rows arrive in); ``avg_order_value`` = that per
   order, rounded half up to the cent with integer arithmetic
-* ``support_tickets`` = ``error`` events of the customer (0 if none)
+* ``support_tickets`` = ``error`` events of the customer (0 if none); an undated
+  stand-in: the events lie after the label window, so it must not be read as a
+  feature known at the cut-off
 * ``age`` = ``18 + (c_custkey * 37) % 58``: no table holds an age, so this is
   a made-up deterministic stand-in
 * ``churned`` = 1 when the customer places no order in the 365 days from the
@@ -27,11 +29,13 @@ broadcast only when its measured size is under the broadcast threshold.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attrition.functions.exprs import cents
+from attrition.session import ensure_checkpoint_dir
 
 # Fixed values of the derived base (the same in the SQL oracle).
 CUTOFF = dt.date(2000, 8, 1)
@@ -51,17 +55,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def customer_base(spark: SparkSession, sf_dir: str, cutoff: dt.date = CUTOFF, materialize: bool = False) -> DataFrame:
     """The customer base (see the module docstring).
 
-    ``materialize=True`` writes it once to the reliable checkpoint folder
-    (``spark.checkpoint.dir``) and returns the checkpointed table: the
-    statistics that follow (quantile edges, z-score moments, ranks) then read
-    one row per customer instead of re-aggregating ``orders`` for each of them,
-    and the lineage is cut so a lost executor does not replay the orders scan.
+    The base is lazy: a query that reads it once runs as one plan, with the
+    columns it does not need pruned.  ``materialize=True`` writes it once as
+    Parquet to the shared folder (``spark.checkpoint.dir``) and reads it back,
+    for queries with several passes (quantile edges, z-score moments, ranks):
+    each pass then reads its own columns of one row per customer instead of
+    re-aggregating ``orders``, and the lineage is cut.
     """
     if materialize:
-        from attrition.session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(spark)
-        return customer_base(spark, sf_dir, cutoff).checkpoint(eager=True)
+        path = f"{ensure_checkpoint_dir(spark)}/base-{uuid.uuid4().hex}"
+        base = customer_base(spark, sf_dir, cutoff)
+        base.write.parquet(path)
+        return spark.read.schema(base.schema).parquet(path)
     start = cutoff - dt.timedelta(days=HORIZON_DAYS)
     end = cutoff + dt.timedelta(days=HORIZON_DAYS)
     c_lit, s_lit, e_lit = F.lit(cutoff), F.lit(start), F.lit(end)

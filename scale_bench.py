@@ -28,13 +28,13 @@ def main() -> None:
     from attrition.operators import profile as pr
     from attrition.operators import rfm, scoring
     from attrition.session import local_session
-    from attrition.sources import synth
+    from attrition.sources import samples
 
     spark = local_session(cpus, shuffle_partitions=64)
     path = f"{scratch}/customers_{n}"
     t = {}
     t0 = time.perf_counter()
-    synth.correlated_customers(spark, n).write.mode("overwrite").parquet(path)
+    samples.sample_customers(spark, n).write.mode("overwrite").parquet(path)
     t["generate"] = time.perf_counter() - t0
     base = spark.read.parquet(path)
 

@@ -6,12 +6,12 @@ from attrition.operators import models as ml
 from attrition.operators import scaling as sc
 from attrition.plans import flows
 from attrition.schema import preset
-from attrition.sources import synth
+from attrition.sources import samples
 
 
 def test_inline_five_exercise_flow(spark):
     """Five literal rows -> z-score of every numeric column -> preset F2 -> forest."""
-    raw = synth.inline_five(spark)
+    raw = samples.inline_five(spark)
     prep = sc.zscore_all_numeric(raw)
     assert {"age_normalized", "monetary_normalized", "churn_normalized"} <= set(prep.columns)
     cols = fe.pick_columns(prep, preset("F2"))
@@ -28,12 +28,12 @@ def test_inline_five_exercise_flow(spark):
 
 
 def test_missing_label_becomes_zeros(spark):
-    df = synth.independent_customers(spark, 50, kind="unlabelled", first_id=10001)
+    df = samples.sample_customers(spark, 50, kind="unlabelled", first_id=10001)
     assert fe.with_label(df).agg(F.sum("churned")).first()[0] == 0
 
 
 def test_profile_flow_tables(spark):
-    tables = flows.profile(synth.correlated_customers(spark, 800))
+    tables = flows.profile(samples.sample_customers(spark, 800))
     assert set(tables) == {"shape", "column_info", "describe", "churn_counts", "churn_share", "null_counts",
                            "histogram", "boxplot", "corr", "churn_rate"}
     assert tables["shape"].first()["n_rows"] == 800
@@ -42,7 +42,7 @@ def test_profile_flow_tables(spark):
 
 
 def test_compare_runs_flow(spark):
-    df = synth.correlated_customers(spark, 600)
+    df = samples.sample_customers(spark, 600)
     scored = df.withColumn("split", F.when(F.col("customer_id") % 5 == 0, "test").otherwise("train"))
     long = me.long_predictions(scored, [("recency_gt_60", F.col("recency_days") > 60),
                                         ("never", F.lit(False))], "churned", ["split"])
@@ -64,7 +64,7 @@ def test_predicted_at_is_one_stamp_per_batch(spark):
     import datetime as dt
 
     from attrition.operators import scoring
-    df = synth.correlated_customers(spark, 300)
+    df = samples.sample_customers(spark, 300)
     stamp = dt.datetime(2024, 1, 2, 3, 4, 5)
     out = scoring.score(scoring.rule_score(df), version="v7", predicted_at=stamp)
     assert out.columns == ["customer_id", "churn_probability", "churn_predicted", "model_version", "predicted_at"]
@@ -74,10 +74,10 @@ def test_predicted_at_is_one_stamp_per_batch(spark):
 
 def test_prepare_materialised_and_frozen(spark, scratch):
     from attrition.operators import rfm
-    df = synth.correlated_customers(spark, 400)
+    df = samples.sample_customers(spark, 400)
     a = flows.prepare(df, store_base=scratch)
     b = flows.prepare(df, store_base=scratch)
     assert a.count() == 400 and sorted(a.collect()) == sorted(b.collect())
     model = rfm.fit_rfm(df)
-    frozen = flows.prepare(synth.correlated_customers(spark, 200, seed=7), rfm_model=model)
+    frozen = flows.prepare(samples.sample_customers(spark, 200, seed=7), rfm_model=model)
     assert frozen.where("rfm_score < 3 OR rfm_score > 15").count() == 0

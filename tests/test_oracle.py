@@ -24,8 +24,8 @@ def test_query_matches_oracle(spark, con, name):
 def test_every_query_has_oracle_or_is_listed():
     rows_only = set(QUERIES) - set(E.oracle_sql())
     assert rows_only == {
-        "synth_customers", "lr_scores", "rf_scores", "gbt_scores", "candidate_compare", "cv_accuracy",
-        "grid_search", "feature_importance", "top8_retrain", "stream_scores",
+        "lr_scores", "rf_scores", "gbt_scores", "candidate_compare", "cv_accuracy",
+        "grid_search", "feature_importance", "top8_retrain",
     }
 
 

@@ -47,7 +47,7 @@ def test_cut_key_path_has_no_single_partition_window(spark):
     main = p.split("===== Subqueries =====")[0]
     # one-row statistics subqueries end in a single-partition merge of partial
     # aggregates; the rows themselves are never gathered in one partition
-    assert "Window" not in p and "SinglePartition" not in main
+    assert "Window" not in main and "SinglePartition" not in main
     w = plan(rfm.rfm_features(fe.ratio_features(base), method="window"))
     assert "Window" in w
 
@@ -68,15 +68,39 @@ def test_histogram_is_one_pass_without_join(spark):
     assert "hashpartitioning" not in p
 
 
-def test_spread_keeps_rows_and_large_inputs(spark):
-    from pyspark.sql import functions as F
-
+def test_spread_layout_follows_the_rows(spark):
     from attrition.operators import models as ml
 
     small = spark.range(12_000).withColumnRenamed("id", "customer_id").coalesce(1)
     out = ml.spread(small, rows_per_part=5_000)
     assert out.rdd.getNumPartitions() == 3
     assert sorted(r[0] for r in out.collect()) == list(range(12_000))
-    # a frame above the window-path threshold is returned as it is (no shuffle)
-    big = spark.range(10**9).withColumnRenamed("id", "customer_id").where(F.col("customer_id") >= 0)
-    assert ml.spread(big) is big
+
+
+def test_single_reader_queries_run_no_job_when_built(spark):
+    tracker = spark.sparkContext.statusTracker()
+    names = ["ratio_features", "spend_frequency_product", "column_info", "corr_matrix", "churn_rate", "split_hash", "first_100",
+             "logistic_fixed", "shape", "churn_counts"]
+    for name in names:
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        df = QUERIES[name](spark, SF)
+        # schema inference reads a Parquet footer: no job of the query itself may run
+        jobs = [j for j in tracker.getJobIdsForGroup(f"build-{name}") if (i := tracker.getJobInfo(j)) and len(i.stageIds) > 1]
+        assert not jobs, name
+    spark.sparkContext.setJobGroup("tests", "tests")
+    p = plan(QUERIES["churn_rate"](spark, SF))
+    assert "o_totalprice" not in p
+
+
+def test_minimal_score_has_no_ranks(spark):
+    p = plan(QUERIES["score_minimal"](spark, SF))
+    assert "Window" not in p and "rangepartitioning" not in p
+
+
+def test_selection_shuffles_counts_only(spark):
+    """The selected paths never range-partition or gather the rows."""
+    from attrition.operators import selection
+
+    base = customer_base(spark, SF, materialize=True)
+    found = selection.select_ranks(base, ["monetary_value", "total_orders"], lambda n: selection.cut_ranks_expr(n, 5), by="churned")
+    assert "rangepartitioning" not in plan(found) and found.count() == 2 * 2 * 4

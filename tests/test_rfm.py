@@ -85,11 +85,37 @@ def test_hot_key_window_equals_cuts(spark):
 
 
 def test_exact_quantiles_match_percentile(spark):
-    df = spark.range(1, 2001).select(F.col("id").alias("customer_id"), (F.col("id") * 37 % 101).cast("double").alias("x"))
+    df = spark.range(1, 2001).select(F.col("id").alias("customer_id"), (F.col("id") * 37 % 101).cast("double").alias("x"),
+                                     F.when(F.col("id") % 4 > 0, F.col("id") % 4).alias("g"), (F.col("id") * 7919 % 1009).alias("y"))
     levels = [0.0, 0.25, 0.5, 0.75, 1.0]
-    exact = rfm.exact_quantiles(df, "x", levels)
-    ref = df.select(F.percentile("x", F.array(*[F.lit(p) for p in levels]))).first()[0]
-    assert exact == pytest.approx(ref, abs=1e-12)
+    p = F.array(*[F.lit(v) for v in levels])
+    got = rfm.exact_quantiles(df, ["x", "y"], levels)
+    ref = df.select(F.percentile("x", p), F.percentile("y", p)).first()
+    assert got[None, "x"] == pytest.approx(ref[0], abs=1e-12) and got[None, "y"] == pytest.approx(ref[1], abs=1e-12)
+    got = rfm.exact_quantiles(df, ["x", "y"], levels, by="g")
+    for r in df.groupBy("g").agg(F.percentile("x", p).alias("x"), F.percentile("y", p).alias("y")).collect():
+        assert got[r["g"], "x"] == pytest.approx(r["x"], abs=1e-12) and got[r["g"], "y"] == pytest.approx(r["y"], abs=1e-12)
+    assert len(got) == 8 and rfm.exact_quantiles(df.limit(0), ["x"], levels) == {}
+
+
+@pytest.mark.parametrize("method", ["window", "cuts"])
+def test_nulls_have_no_rank(spark, method):
+    vals = [None] * 4 + [float(v) for v in range(1, 11)]
+    df = spark.createDataFrame(list(enumerate(vals)), "customer_id long, x double")
+    got = [r["b"] for r in rfm.qcut_by_rank(df, "x", 5, out="b", method=method).orderBy("customer_id").collect()]
+    assert got == [None] * 4 + pandas_rank_qcut(vals[4:])
+
+
+def test_frozen_bins_keep_their_shares_on_ties(spark):
+    n = 5000
+    df = spark.range(n).select(F.col("id").alias("customer_id"), F.col("id").alias("recency_days"),
+                               F.when(F.col("id") % 10 < 7, F.col("id") % 3).otherwise(F.col("id") % 9).alias("frequency"),
+                               (F.col("id") * 7919 % 1009).cast("double").alias("monetary_value"))
+    for method in ("window", "cuts"):
+        frozen = rfm.apply_rfm(df, rfm.fit_rfm(df, method=method))
+        for c in ("f_score", "m_score"):
+            sizes = {r[c]: r["count"] for r in frozen.groupBy(c).count().collect()}
+            assert all(abs(sizes[b] / n - 0.2) < 0.02 for b in range(1, 6)), (c, sizes)
 
 
 def test_frozen_rfm_on_same_batch(spark):
@@ -105,7 +131,7 @@ def test_frozen_rfm_on_same_batch(spark):
     a = rfm.apply_rfm(df, model).select("customer_id", "r_score").orderBy("customer_id").toPandas()
     b = rfm.rfm_features(df, method="window").select("customer_id", "r_score").orderBy("customer_id").toPandas()
     assert a["r_score"].tolist() == b["r_score"].tolist()
-    assert set(model.to_dict()) == {"q", "recency_edges", "frequency_keys", "monetary_keys"}
+    assert set(model.to_dict()) == {"q", "recency_edges", "frequency_keys", "frequency_shares", "monetary_keys", "monetary_shares"}
 
 
 @pytest.mark.parametrize("n", [7, 120])
@@ -117,14 +143,6 @@ def test_value_qcut_cuts_path(spark, n):
     assert a.orderBy("customer_id").collect() == b.orderBy("customer_id").collect()
 
 
-def test_exact_quantiles_without_id(spark):
-    df = spark.range(1, 1001).select(((F.col("id") * 13) % 50).cast("double").alias("x"))
-    levels = [0.1, 0.5, 0.9]
-    exact = rfm.exact_quantiles(df, "x", levels)
-    ref = df.select(F.percentile("x", F.array(*[F.lit(p) for p in levels]))).first()[0]
-    assert exact == pytest.approx(ref, abs=1e-12)
-
-
 @pytest.mark.parametrize("n", [2, 7, 1000])
 def test_fit_rank_cuts_window_equals_cuts(spark, n):
     # a third of the rows share one value, the rest have few distinct values
@@ -132,4 +150,4 @@ def test_fit_rank_cuts_window_equals_cuts(spark, n):
                                F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 11).alias("frequency"))
     w = rfm.fit_rank_cuts(df, "frequency", method="window")
     c = rfm.fit_rank_cuts(df, "frequency", method="cuts")
-    assert (w.n, w.keys) == (c.n, c.keys)
+    assert (w.n, w.keys, w.shares) == (c.n, c.keys, c.shares)
