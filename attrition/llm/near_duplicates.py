@@ -10,20 +10,24 @@ or more; a component is a set of documents that links join.
    group of copies of any size is one node from here on.
 2. *Inverted lists.*  Of two linked sets at least ``SHARE`` of either sketch is
    common to both (for sets of up to K values certainly; beyond, at similarity
-   0.8 and K = 64 the chance of fewer is below 1e-13).  By the pigeonhole
+   0.8 and K = 48 the chance of fewer is below 1e-9).  By the pigeonhole
    principle it is enough to list each document under its rarest values, all
    but ``ceil(SHARE * size) - 1`` of them: the values of a passage that many
    documents share are then not listed, unless they make up the document.
 3. *Hubs.*  Each list links its members to its smallest id, the hub, so a list
    of any length gives as many pairs as members.  Pairs pass a size filter and
-   the union-sketch estimate (within ``MARGIN``, five standard errors), then
-   the exact Jaccard similarity of the full sets decides.
+   the union-sketch estimate (within ``MARGIN`` standard errors), then the exact
+   Jaccard similarity of the full sets decides.
 4. *Rest.*  Two members of a hub's lists may be linked though they are not
    joined through the hub.  Members outside the hub's largest component are
-   compared with all its members in other components, on sketches, in bounded
-   blocks; what passes the estimate is verified exactly.  No pair that may be a
-   link between different components is left out, and no pair within a
-   component needs a look.
+   compared with all its members in other components, in blocks of bounded
+   size: shared list values, then a union sketch of ``K2`` values, then the full
+   sets.  Only links leave a block.  A pair is looked at under its smallest
+   common hub alone.  No pair that may be a link between different components
+   is left out, and no pair within a component needs a look.
+
+The full sets of all listed documents are made once, by one join of the texts
+with their ids; as these grow with the input, no side of it is ever broadcast.
 
 Defined results: rows that share an id are one node; a null id is a row whose
 component is that of the documents with the same set (null if there are none);
@@ -46,12 +50,13 @@ from attrition.llm.components import connected_components
 from attrition.llm.docstats import parse
 from attrition.llm.textbatch import chunks, mix64, shingles
 
-K = 64
+K = 48
+K2 = 256
 PERCENT = 80
-SHARE = 0.4
-MARGIN = 0.25
-REST_BLOCK = 1_000
-MEMBER_BLOCK = 4_000
+SHARE = 0.45
+MARGIN = 5.0
+REST_BLOCK = 500_000  # shingles
+MEMBER_BLOCK = 2_000_000
 
 _SALT = np.uint64(0x243F6A8885A308D3)
 
@@ -99,16 +104,34 @@ def sizes_fit(a: str, b: str) -> Column:
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
-def estimate(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity estimated from the bottom-k sketch of the union."""
-    union = np.union1d(a, b)[:K]
-    return np.isin(union, np.intersect1d(a, b, assume_unique=True), assume_unique=True).mean()
+def slack(k: int) -> float:
+    """``MARGIN`` standard errors of an estimate from k values at the threshold."""
+    t = PERCENT / 100
+    return MARGIN * float(np.sqrt(t * (1 - t) / k))
+
+
+def estimates(a: np.ndarray, others: list[np.ndarray], k: int) -> np.ndarray:
+    """Jaccard similarity of ``a`` with each other set, from the bottom-k sketch of each union.
+
+    Sets are given as sorted arrays of at least their k smallest values (or whole).
+    """
+    top = np.iinfo(np.int64).max
+    rows = np.full((len(others), 2 * k), top)
+    rows[:, : min(k, len(a))] = a[:k]
+    for row, b in zip(rows, others, strict=True):
+        row[k : k + min(k, len(b))] = b[:k]
+    rows.sort(axis=1)
+    same = np.zeros(rows.shape, dtype=bool)
+    same[:, 1:] = (rows[:, 1:] == rows[:, :-1]) & (rows[:, 1:] != top)
+    place = np.cumsum(~same & (rows != top), axis=1)  # of each value among the distinct ones
+    size = np.minimum(place[:, -1], k)
+    return (same & (place <= k)).sum(axis=1) / np.maximum(size, 1)
 
 
-def passes(a: np.ndarray, b: np.ndarray) -> bool:
-    # sketches of up to K values hold the whole sets: their estimate is exact
-    margin = 0.0 if max(len(a), len(b)) < K and len(np.union1d(a, b)) <= K else MARGIN
-    return len(a) > 0 and len(b) > 0 and estimate(a, b) >= PERCENT / 100 - margin - 1e-9
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two full sets (sorted arrays) reach the threshold."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both > 0 and 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
 def listed(nodes: DataFrame) -> DataFrame:
@@ -129,85 +152,105 @@ def hub_members(lists: DataFrame) -> DataFrame:
     return lists.join(hubs, "value").select("hub", F.col("node").alias("member")).distinct()
 
 
-def _estimated(pairs: DataFrame) -> DataFrame:
-    """Pairs (a, b, sketch_a, sketch_b) that pass the union-sketch estimate."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-            ok = [passes(x, y) for x, y in zip(a, b, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    return pairs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long")
-
-
-def verify(pairs: DataFrame, docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold; sets are made for the ids in pairs only."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(ids, "doc_id")
+def member_sets(ids: DataFrame, docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, set``: the full set, as the bytes of a sorted int64 array, of every document in ``ids``."""
+    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    named = named.join(ids.hint("merge"), "doc_id")
+    # rows that share an id may have several sets
     named = named.withColumn("h", F.xxhash64("text")).dropDuplicates(["doc_id", "h"]).drop("h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = list(_sets(batch.column(1), n))
             for k in range(0, len(sets), 256):
-                part = [s.tobytes() for s in sets[k : k + 256]]
+                part = [np.sort(s.view(np.int64)).tobytes() for s in sets[k : k + 256]]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, 256), pa.array(part, pa.binary())], names=["doc_id", "set"])
 
-    sets = materialize(named.mapInArrow(run, "doc_id long, set binary"), "near-sets")
+    return materialize(named.mapInArrow(run, "doc_id long, set binary"), "near-sets")
+
+
+def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that pass the union-sketch estimate and whose full sets reach the threshold."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                a, b = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                ok.append(100 * both >= PERCENT * (len(a) + len(b) - both))
+                a, b = (np.frombuffer(v.as_buffer(), dtype=np.int64) for v in (x, y))
+                ok.append(bool(estimates(a, [b], K2)[0] >= PERCENT / 100 - slack(K2)) and similar(a, b))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    rows = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a")), "a")
-    rows = rows.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b")), "b")
+    rows = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a")).hint("merge"), "a")
+    rows = rows.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b")).hint("merge"), "b")
     return rows.select("a", "b", "set_a", "set_b").mapInArrow(compare, "a long, b long")
 
 
-def _rest_pairs(members: DataFrame) -> DataFrame:
-    """Candidate pairs between different components of a hub (columns hub, member, size, sketch, component)."""
-    per = members.groupBy("hub", "component").agg(F.count("*").alias("n"))
-    hubs = per.groupBy("hub").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("n"), F.max("n").alias("top"))
-    hubs = hubs.where("n > top").select(
-        "hub", "main", F.ceil((F.col("n") - F.col("top")) / REST_BLOCK).alias("rests"), F.ceil(F.col("n") / MEMBER_BLOCK).alias("parts")
+def _rest_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between different components of a hub (members: hub, member, size, component, hubs)."""
+    per = members.groupBy("hub", "component").agg(F.count("*").alias("n"), F.sum("size").alias("all"))
+    hubs = per.groupBy("hub").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("all").alias("all"), F.count("*").alias("components"),
+        F.max_by("all", F.struct("n", "component")).alias("top"),
+    )
+    hubs = hubs.where("components > 1").select(
+        "hub", "main",
+        F.ceil((F.col("all") - F.col("top")) / REST_BLOCK).cast("int").alias("rests"),
+        F.ceil(F.col("all") / MEMBER_BLOCK).cast("int").alias("parts"),
     )
-    rows = members.join(hubs, "hub")
     key = F.xxhash64("member")
-    rest = rows.where("component <> main").withColumn("rest", F.pmod(key, F.col("rests")))
-    rest = rest.withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)"))).withColumn("query", F.lit(True))
-    every = rows.withColumn("part", F.pmod(key, F.col("parts")))
-    every = every.withColumn("rest", F.explode(F.expr("sequence(0L, rests - 1)"))).withColumn("query", F.lit(False))
-    cols = ["hub", "rest", "part", "query", "member", "size", "component", "sketch"]
-
-    def compare(block: pd.DataFrame) -> pd.DataFrame:
-        left, right = block[block["query"]], block[~block["query"]]
-        if not len(left) or not len(right):
-            return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
-        ids, comp, size = (right[c].to_numpy() for c in ("member", "component", "size"))
-        sketch = right["sketch"].to_list()
-        width = np.array([len(s) for s in sketch])
-        values, owner = np.concatenate(sketch), np.repeat(np.arange(len(ids)), width)
-        order = np.argsort(values, kind="stable")
-        values, owner = values[order], owner[order]
-        found = []
-        for x, c, n, s in zip(left["member"], left["component"], left["size"], left["sketch"], strict=True):
-            lo, hi = np.searchsorted(values, s, "left"), np.searchsorted(values, s, "right")
-            count = hi - lo
-            at = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(count.sum())
-            shared = np.bincount(owner[at], minlength=len(ids))
-            near = (shared >= SHARE * np.minimum(width, len(s))) & (comp != c)
-            near &= 100 * np.minimum(size, n) >= PERCENT * np.maximum(size, n)
-            found += [(max(x, ids[j]), min(x, ids[j])) for j in np.flatnonzero(near) if passes(s, sketch[j])]
-        return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
-
-    both = rest.select(*cols).unionByName(every.select(*cols))
-    return both.groupBy("hub", "rest", "part").applyInPandas(compare, "a long, b long").distinct()
+    rows = members.join(hubs, "hub").join(sets.select(F.col("doc_id").alias("member"), "set").hint("merge"), "member")
+    rows = rows.withColumn("own_rest", F.when(F.col("component") != F.col("main"), F.pmod(key, F.col("rests"))))
+    rows = rows.withColumn("own_part", F.pmod(key, F.col("parts")))
+    # as a query a row goes to all parts of its rest, as a member to all rests of its part
+    query = F.expr("if(own_rest is null, array(), transform(sequence(0, parts - 1), p -> struct(cast(own_rest as int) as rest, p as part)))")
+    member = F.expr("transform(sequence(0, rests - 1), q -> struct(q as rest, cast(own_part as int) as part))")
+    rows = rows.withColumn("cell", F.explode(F.array_union(query, member)))
+    rows = rows.select(
+        "hub", "cell.rest", "cell.part", "member", "component", "hubs", "set",
+        (F.col("cell.rest") == F.coalesce("own_rest", F.lit(-1))).alias("query"),
+        (F.col("cell.part") == F.col("own_part")).alias("present"),
+    )
+    return rows.groupBy("hub", "rest", "part").applyInPandas(_compare_block, "a long, b long").distinct()
+
+
+def _compare_block(block: pd.DataFrame) -> pd.DataFrame:
+    """Links between the query rows of a block and its members in other components."""
+    hub = block["hub"].iloc[0]
+    right = block[block["present"]]
+    ids, comp = right["member"].to_numpy(), right["component"].to_numpy()
+    full = [np.frombuffer(s, dtype=np.int64) for s in right["set"]]
+    size = np.array([len(s) for s in full], dtype=np.int64)
+    low = [s[:K] for s in full]
+    width = np.minimum(size, K)
+    values = np.concatenate(low) if low else np.zeros(0, np.int64)
+    owner = np.repeat(np.arange(len(ids)), width)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    of_hub: dict[int, list[int]] = {}
+    for i, hubs in enumerate(right["hubs"]):
+        for h in hubs:
+            if h < hub:
+                of_hub.setdefault(int(h), []).append(i)
+    earlier = {h: np.array(rows) for h, rows in of_hub.items()}
+    found = []
+    for x, c, hubs, raw in block.loc[block["query"], ["member", "component", "hubs", "set"]].itertuples(index=False):
+        a = np.frombuffer(raw, dtype=np.int64)
+        lo, hi = np.searchsorted(values, a[:K], "left"), np.searchsorted(values, a[:K], "right")
+        count = hi - lo
+        at = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        shared = np.bincount(owner[at], minlength=len(ids))
+        # a union sketch of K values has at most ``shared`` common ones
+        least = np.where((width < K) | (len(a) < K), SHARE * np.minimum(width, len(a)), (PERCENT / 100 - slack(K)) * K)
+        near = (comp != c) & (shared >= np.minimum(least, SHARE * K)) & (shared > 0)
+        near &= 100 * np.minimum(size, len(a)) >= PERCENT * np.maximum(size, len(a))
+        for h in hubs:
+            if int(h) in earlier:
+                near[earlier[int(h)]] = False  # looked at under that hub
+        for k in np.array_split(np.flatnonzero(near), max(1, int(near.sum()) // 4096 + 1)):
+            if len(k):
+                k = k[estimates(a, [full[j] for j in k], K2) >= PERCENT / 100 - slack(K2)]
+            found += [(max(x, ids[j]), min(x, ids[j])) for j in k if similar(a, full[j])]
+    return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
 
 
 def components(docs: DataFrame, n: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -216,21 +259,22 @@ def components(docs: DataFrame, n: int = 5, id_col: str = "doc_id", text_col: st
     key = ["size", "f1", "f2"]
     classes = rows.where("size > 0").groupBy(*key).agg(F.min("doc_id").alias("node")).where("node IS NOT NULL")
     classed = rows.join(classes, key, "left")
-    nodes = materialize(classed.where("doc_id = node").select("node", "size", "sketch", "f1", "f2").dropDuplicates(["node", "f1", "f2"]).drop("f1", "f2"), "near-nodes")
-    slim = nodes.select(F.col("node").alias("member"), "size", "sketch")
-    members = materialize(hub_members(listed(nodes)).join(slim, "member"), "near-members")
-    hub = nodes.select(F.col("node").alias("hub"), F.col("size").alias("hub_size"), F.col("sketch").alias("sketch_b"))
+    nodes = classed.where("doc_id = node").select("node", "size", "sketch", "f1", "f2").dropDuplicates(["node", "f1", "f2"])
+    nodes = materialize(nodes.drop("f1", "f2"), "near-nodes")
+    members = hub_members(listed(nodes)).join(nodes.groupBy("node").agg(F.max("size").alias("size")), F.col("member") == F.col("node"))
+    members = materialize(members.select("hub", "member", "size"), "near-members")
+    sets = member_sets(members.select(F.col("member").alias("doc_id")).distinct(), docs, n, id_col, text_col)
+    hub = members.where("hub = member").select("hub", F.col("size").alias("hub_size"))
     star = members.where("hub <> member").join(hub, "hub").where(sizes_fit("size", "hub_size"))
-    star = _estimated(star.select(F.col("member").alias("a"), F.col("hub").alias("b"), F.col("sketch").alias("sketch_a"), "sketch_b"))
-    links = materialize(verify(materialize(star, "near-pairs"), docs, n, id_col, text_col), "near-links")
+    links = materialize(verify(star.select(F.col("member").alias("a"), F.col("hub").alias("b")), sets), "near-links")
     # rows that share an id join their classes
     several = classed.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("top")).where("b < top").drop("top")
     shared_id = classed.join(several, "doc_id").select(F.col("node").alias("a"), "b")
-    found = materialize(connected_components(links), "near-components")
+    found = connected_components(links)
     labelled = members.join(found, members["member"] == found["node"], "left")
-    labelled = labelled.select("hub", "member", "size", "sketch", F.coalesce("component", "member").alias("component"))
-    rest = materialize(_rest_pairs(labelled), "near-rest")
-    more = verify(rest, docs, n, id_col, text_col)
+    labelled = labelled.select("hub", "member", "size", F.coalesce("component", "member").alias("component"))
+    all_hubs = members.groupBy("member").agg(F.collect_set("hub").alias("hubs"))  # at most one for each of its lists
+    more = materialize(_rest_links(labelled.join(all_hubs, "member"), sets), "near-rest")
     found = connected_components(links.unionByName(more).unionByName(shared_id))
     out = classed.withColumn("own", F.coalesce("node", "doc_id"))
     out = out.join(found.withColumnRenamed("node", "own"), "own", "left")

@@ -61,8 +61,8 @@ def case():
 @pytest.mark.parametrize("n", [4, 5])
 def test_equals_all_pairs(spark, case, n, monkeypatch):
     if n == 5:
-        monkeypatch.setattr(nd, "REST_BLOCK", 3)
-        monkeypatch.setattr(nd, "MEMBER_BLOCK", 5)
+        monkeypatch.setattr(nd, "REST_BLOCK", 500)
+        monkeypatch.setattr(nd, "MEMBER_BLOCK", 900)
     df = spark.createDataFrame([(a, b, "clash") for a, b in case], "doc_id long, text string, sketch string").repartition(5)
     got = sorted(tuple(r) for r in nd.components(df, n=n).collect())
     want = brute(case, n)
