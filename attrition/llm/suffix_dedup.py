@@ -56,6 +56,7 @@ BUCKETS_PER_PARTITION = 2
 LAST = np.iinfo(np.int64).max  # stands for a null id
 
 ALONE, SEVERAL, FREQUENT = 0, 1, 2
+CONTEXTS, WINDOWS = 0, 1
 
 
 def runs(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -92,6 +93,15 @@ def buckets_of(key: np.ndarray, n: int) -> np.ndarray:
     return ((key >> np.uint64(32)) % np.uint64(n)).astype(np.int64)
 
 
+def window_buckets(k: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of the window hashes of each bucket."""
+    b = buckets_of(k, n)
+    order = np.argsort(b, kind="stable")
+    cut = np.searchsorted(b[order], np.arange(n + 1))
+    for j in np.flatnonzero(np.diff(cut)):
+        yield int(j), order[cut[j] : cut[j + 1]]
+
+
 class Chunk:
     """Runs of all texts of a packed chunk, in a fixed order."""
 
@@ -221,7 +231,7 @@ def _with_flags(c: Chunk, flags: pa.Array, n: int) -> np.ndarray:
 
 
 def contexts(flagged: DataFrame, n: int, id_at: int, text_at: int) -> DataFrame:
-    """Distinct contexts of each chunk by bucket, packed, and its windows of frequent anchors (bucket -1)."""
+    """Packed by bucket: distinct contexts of each chunk (kind 0), and its distinct windows of frequent anchors (kind 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,19 +243,21 @@ def contexts(flagged: DataFrame, n: int, id_at: int, text_at: int) -> DataFrame:
                 for b, mine in c.by_bucket(np.flatnonzero(flag == SEVERAL), n):
                     one, low, _ = c.distinct(mine, xh)
                     text = b"".join(c.parts[c.part[r]].data[c.first[r] : c.last[r] + LENGTH].tobytes() for r in one)
-                    out.append((b, c.key[one].tobytes(), xh[one].tobytes(), low.tobytes(), (c.last[one] - c.first[one]).astype(np.uint8).tobytes(), text))
+                    out.append((b, CONTEXTS, c.key[one].tobytes(), xh[one].tobytes(), low.tobytes(), (c.last[one] - c.first[one]).astype(np.uint8).tobytes(), text))
                 hot = np.flatnonzero(flag == FREQUENT)
                 if len(hot):
                     h, owner, _ = c.windows(hot)
                     k, back = np.unique(h, return_inverse=True)
                     low = np.full(len(k), LAST)
                     np.minimum.at(low, back, c.id[owner])
-                    out.append((-1, k.tobytes(), b"", low.tobytes(), b"", b""))
-                cols = [pa.array([cid] * len(out), pa.int64()), pa.array([o[0] for o in out], pa.int32())]
-                cols += [pa.array([o[k] for o in out], pa.binary()) for k in range(1, 6)]
-                yield pa.RecordBatch.from_arrays(cols, names=["cid", "bucket", "keys", "hashes", "ids", "windows", "text"])
+                    for b, mine in window_buckets(k, n):
+                        out.append((b, WINDOWS, k[mine].tobytes(), b"", low[mine].tobytes(), b"", b""))
+                cols = [pa.array([cid] * len(out), pa.int64())]
+                cols += [pa.array([o[k] for o in out], pa.int32()) for k in range(2)]
+                cols += [pa.array([o[k] for o in out], pa.binary()) for k in range(2, 7)]
+                yield pa.RecordBatch.from_arrays(cols, names=["cid", "bucket", "kind", "keys", "hashes", "ids", "windows", "text"])
 
-    return flagged.mapInArrow(run, "cid long, bucket int, keys binary, hashes binary, ids binary, windows binary, text binary")
+    return flagged.mapInArrow(run, "cid long, bucket int, kind int, keys binary, hashes binary, ids binary, windows binary, text binary")
 
 
 def previous_smaller(x: np.ndarray) -> np.ndarray:
@@ -287,8 +299,26 @@ def previous_factors(suffixes: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return out
 
 
+def _answers(block: pd.DataFrame, low: np.ndarray, mask: np.ndarray) -> pd.DataFrame:
+    cut = np.cumsum([len(x) // 8 for x in block["keys"]])[:-1]
+    return pd.DataFrame(
+        {
+            "cid": block["cid"], "bucket": block["bucket"], "kind": block["kind"],
+            "ids": [x.tobytes() for x in np.split(low, cut)], "masks": [x.tobytes() for x in np.split(mask, cut)],
+        }
+    )
+
+
 def _settle(block: pd.DataFrame) -> pd.DataFrame:
-    """For each distinct context of each chunk: its smallest id, and the windows an earlier document holds."""
+    """For each distinct context of each chunk its smallest id, and the windows an earlier document
+    holds; for each window of a frequent anchor its smallest id."""
+    if block["kind"].iloc[0] == WINDOWS:
+        keys = np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in block["keys"]])
+        ids = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in block["ids"]])
+        one, back = np.unique(keys, return_inverse=True)
+        low = np.full(len(one), LAST)
+        np.minimum.at(low, back, ids)
+        return _answers(block, low[back], np.zeros(len(keys), np.uint32))
     keys, hashes = (np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in block[c]]) for c in ("keys", "hashes"))
     ids = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in block["ids"]])
     extra = np.concatenate([np.frombuffer(x, dtype=np.uint8) for x in block["windows"]]).astype(np.int64)
@@ -315,14 +345,7 @@ def _settle(block: pd.DataFrame) -> pd.DataFrame:
             factor = previous_factors(data[start[a:b, None] + np.arange(LENGTH)], ids[rows][owner[a:b]])
             hit = np.flatnonzero(factor >= LENGTH) + a
             np.bitwise_or.at(mask, several[owner[hit]], np.uint32(1) << offset[hit].astype(np.uint32))
-    low, mask = ids[first][back], mask[back]
-    cut = np.cumsum([len(x) // 8 for x in block["keys"]])[:-1]
-    return pd.DataFrame(
-        {
-            "cid": block["cid"], "bucket": block["bucket"],
-            "ids": [x.tobytes() for x in np.split(low, cut)], "masks": [x.tobytes() for x in np.split(mask, cut)],
-        }
-    )
+    return _answers(block, ids[first][back], mask[back])
 
 
 def _batches(key: np.ndarray, owner: np.ndarray, size: int = 200_000) -> Iterator[tuple[int, int]]:
@@ -337,7 +360,7 @@ def _batches(key: np.ndarray, owner: np.ndarray, size: int = 200_000) -> Iterato
         a = b
 
 
-def _removed(c: Chunk, flag: np.ndarray, answers: dict, hot: tuple[np.ndarray, np.ndarray], n: int) -> list[np.ndarray]:
+def _removed(c: Chunk, flag: np.ndarray, answers: dict, n: int) -> list[np.ndarray]:
     """For each part of the chunk, which bytes are removed."""
     depth = [np.zeros(len(t.data) + 1, dtype=np.int32) for t in c.parts]
 
@@ -350,7 +373,7 @@ def _removed(c: Chunk, flag: np.ndarray, answers: dict, hot: tuple[np.ndarray, n
     xh = c.context_hash()
     for b, mine in c.by_bucket(np.flatnonzero(flag == SEVERAL), n):
         _, _, back = c.distinct(mine, xh)
-        low, mask = answers[b]
+        low, mask = answers[b, CONTEXTS]
         low, mask = low[back], mask[back]
         later = mine[low < c.id[mine]]
         cover(c.part[later], c.first[later], c.last[later] + LENGTH)
@@ -362,8 +385,11 @@ def _removed(c: Chunk, flag: np.ndarray, answers: dict, hot: tuple[np.ndarray, n
     rows = np.flatnonzero(flag == FREQUENT)
     if len(rows):
         h, owner, place = c.windows(rows)
-        low = hot[1][np.searchsorted(hot[0], h)]
-        hit = low < c.id[owner]
+        k, back = np.unique(h, return_inverse=True)
+        low = np.full(len(k), LAST)
+        for b, mine in window_buckets(k, n):
+            low[mine] = answers[b, WINDOWS][0]
+        hit = low[back] < c.id[owner]
         cover(c.part[owner[hit]], place[hit], place[hit] + LENGTH)
     return [np.cumsum(d[:-1]) > 0 for d in depth]
 
@@ -375,7 +401,7 @@ def _spans(flags: np.ndarray) -> np.ndarray:
 
 
 def _answered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
-    """``cid, rows, flags, answers, hot`` of every chunk, and the number of buckets."""
+    """``cid, rows, flags, answers`` of every chunk, and the number of buckets."""
     spark = docs.sparkSession
     n = BUCKETS_PER_PARTITION * shuffle_partitions(spark)
     id_at, text_at = docs.columns.index(id_col), docs.columns.index(text_col)
@@ -383,40 +409,23 @@ def _answered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, i
     flags = anchor_flags(packed, n, id_at, text_at)
     flagged = packed.join(flags.hint("shuffle_hash"), "cid", "left").select("cid", "rows", "flags")
     found = contexts(flagged, n, id_at, text_at)
-    found = materialize(found, "contexts")
-    answers = found.where("bucket >= 0").groupBy("bucket").applyInPandas(_settle, "cid long, bucket int, ids binary, masks binary")
-    answers = answers.groupBy("cid").agg(F.collect_list(F.struct("bucket", "ids", "masks")).alias("answers"))
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for cid, k, i in zip(*(batch.column(j).to_pylist() for j in range(3)), strict=True):
-                k, i = np.frombuffer(k, dtype=np.int64), np.frombuffer(i, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), cid)), pa.array(k), pa.array(i)], names=["cid", "window", "id"])
-
-    windows = found.where("bucket = -1").select("cid", "keys", "ids").mapInArrow(unpack, "cid long, window long, id long")
-    low = windows.groupBy("window").agg(F.min("id").alias("low"))
-    hot = windows.join(low, "window").groupBy("cid").agg(F.collect_list(F.struct("window", "low")).alias("hot"))
-    results = flags.join(answers, "cid", "left").join(hot, "cid", "left")
-    results = materialize(results, "answers")
-    return packed.join(results.hint("shuffle_hash"), "cid", "left").select("cid", "rows", "flags", "answers", "hot"), n
+    schema = "cid long, bucket int, kind int, ids binary, masks binary"
+    answers = found.groupBy("bucket", "kind").applyInPandas(_settle, schema)
+    answers = answers.groupBy("cid").agg(F.collect_list(F.struct("bucket", "kind", "ids", "masks")).alias("answers"))
+    results = materialize(flags.join(answers, "cid", "left"), "answers")
+    return packed.join(results.hint("shuffle_hash"), "cid", "left").select("cid", "rows", "flags", "answers"), n
 
 
 def _resolved(batch: pa.RecordBatch, n: int, id_at: int, text_at: int) -> Iterator[tuple[pa.StructArray, Chunk, list[np.ndarray]]]:
     """Rows, chunk and removed bytes of every packed chunk of a batch."""
-    for rows, flags, answers, hot in zip(*(batch.column(k) for k in range(1, 5)), strict=True):
+    for rows, flags, answers in zip(*(batch.column(k) for k in range(1, 4)), strict=True):
         rows = rows.values
         c = _chunk_of(rows, id_at, text_at)
         flag = _with_flags(c, flags.values, n)
         by = {}
         for a in (answers.values.to_pylist() if answers.is_valid else []):
-            by[a["bucket"]] = (np.frombuffer(a["ids"], dtype=np.int64), np.frombuffer(a["masks"], dtype=np.uint32))
-        window, low = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        if hot.is_valid:
-            window = hot.values.field("window").to_numpy(zero_copy_only=False).view(np.uint64)
-            low = hot.values.field("low").to_numpy(zero_copy_only=False)
-            order = np.argsort(window)
-            window, low = window[order], low[order]
-        yield rows, c, _removed(c, flag, by, (window, low), n)
+            by[a["bucket"], a["kind"]] = (np.frombuffer(a["ids"], dtype=np.int64), np.frombuffer(a["masks"], dtype=np.uint32))
+        yield rows, c, _removed(c, flag, by, n)
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
