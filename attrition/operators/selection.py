@@ -9,11 +9,13 @@ aggregation (no row is shuffled, only the counts are) and divides a range by up
 to ``BUCKETS``; the number of rounds does not depend on how many columns, groups
 or ranks are asked for.  Where many rows share the value, the same search over
 the ids of those rows gives the row.  The state is one small row for each
-group, column and rank; it is checkpointed after each round.
+group, column and rank; up to ``LOCAL_ROWS`` of them are kept on the driver between
+rounds, more are written as Parquet to the shared folder.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -22,7 +24,8 @@ from pyspark.sql.window import Window
 
 from attrition.session import ensure_checkpoint_dir
 
-BUCKETS = 1024
+BUCKETS = 1 << 14
+LOCAL_ROWS = 10_000
 
 KEYS = ["g", "c", "k"]
 
@@ -51,10 +54,10 @@ def _narrow(rows: DataFrame, state: DataFrame, on: list[str]) -> DataFrame:
     ``state``: KEYS, info (carried along), r (rank among the rows in [lo, hi]), m (their number), lo, hi.
     """
     while True:
-        state = state.checkpoint(eager=True)
-        todo = state.where("lo < hi")
-        if todo.isEmpty():
+        state, done = _kept(state)
+        if done:
             return state
+        todo = state.where("lo < hi")
         s = todo.select(*[F.col(k).alias(f"_{k}") for k in KEYS], "info", "r", "lo", "hi")
         match = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in on]
         hit = rows.join(s, match).where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
@@ -70,6 +73,18 @@ def _narrow(rows: DataFrame, state: DataFrame, on: list[str]) -> DataFrame:
         state = state.where("lo >= hi").unionByName(chosen)
 
 
+def _kept(state: DataFrame) -> tuple[DataFrame, bool]:
+    """The state computed once, and whether every range is down to one value."""
+    spark = state.sparkSession
+    rows = state.limit(LOCAL_ROWS + 1).collect()
+    if len(rows) <= LOCAL_ROWS:
+        return spark.createDataFrame(rows, state.schema), all(r["lo"] >= r["hi"] for r in rows)
+    path = f"{ensure_checkpoint_dir(spark)}/ranks-{uuid.uuid4().hex}"
+    state.write.parquet(path)
+    out = spark.read.schema(state.schema).parquet(path)
+    return out, out.where("lo < hi").isEmpty()
+
+
 def select_ranks(df: DataFrame, cols: list[str], ranks: Callable[[Column], Column], by: str | None = None,
                  id_col: str | None = None) -> DataFrame:
     """``g, c, k, n, rank, r, m, value[, id]``: the row at the k-th wanted rank of column c in group g.

@@ -44,6 +44,16 @@ def test_folds_balanced(spark, method):
         assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
 
 
+def test_many_states_are_kept_in_the_shared_folder(spark, monkeypatch):
+    from attrition.operators import selection
+
+    df = spark.range(1, 501).select(F.col("id").alias("customer_id"), (F.col("id") % 7).alias("churned"))
+    want = sp.add_fold(df, 3, label="churned", method="window")
+    monkeypatch.setattr(selection, "LOCAL_ROWS", 2)
+    got = sp.add_fold(df, 3, label="churned", method="cuts")
+    assert want.exceptAll(got).count() == 0
+
+
 def test_empty_and_tiny_tables(spark):
     df = spark.range(1, 4).select(F.col("id").alias("customer_id"), F.lit(1).alias("churned"))
     for m in ("window", "cuts"):
