@@ -9,13 +9,14 @@ so that the temporary arrays of a task stay small whatever the batch holds.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -104,6 +105,17 @@ def chunks(texts: pa.Array, size: int = CHUNK) -> Iterator[Texts]:
         base = off[i]
         yield Texts(data[base : off[j]], off[i:j] - base, off[i + 1 : j + 1] - base, i)
         i = j
+    release_memory()
+
+
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release_memory() -> None:
+    """Hand freed memory back after a batch: a worker that waits should not hold what its last task used."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 def words(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
