@@ -55,8 +55,8 @@ K2 = 256
 PERCENT = 80
 SHARE = 0.45
 MARGIN = 5.0
-REST_BLOCK = 500_000  # shingles
-MEMBER_BLOCK = 2_000_000
+REST_BLOCK = 250_000  # shingles
+MEMBER_BLOCK = 500_000
 
 _SALT = np.uint64(0x243F6A8885A308D3)
 
@@ -246,7 +246,7 @@ def _compare_block(block: pd.DataFrame) -> pd.DataFrame:
         for h in hubs:
             if int(h) in earlier:
                 near[earlier[int(h)]] = False  # looked at under that hub
-        for k in np.array_split(np.flatnonzero(near), max(1, int(near.sum()) // 4096 + 1)):
+        for k in np.array_split(np.flatnonzero(near), max(1, int(near.sum()) // 512 + 1)):
             if len(k):
                 k = k[estimates(a, [full[j] for j in k], K2) >= PERCENT / 100 - slack(K2)]
             found += [(max(x, ids[j]), min(x, ids[j])) for j in k if similar(a, full[j])]
