@@ -10,19 +10,17 @@ or more; a component is a set of documents that links join.
    group of copies of any size is one node from here on.
 2. *Inverted lists.*  Of two linked sets at least ``SHARE`` of either sketch is
    common to both (for sets of up to K values certainly; beyond, at similarity
-   0.8 and K = 48 the chance of fewer is below 1e-9).  By the pigeonhole
+   0.8 and K = 64 the chance of fewer is below 1e-12, a binomial's).  By the pigeonhole
    principle it is enough to list each document under its rarest values, all
    but ``ceil(SHARE * size) - 1`` of them: the values of a passage that many
    documents share are then not listed, unless they make up the document.
 3. *Hubs.*  Each list links its members to its smallest id, the hub, so a list
-   of any length gives as many pairs as members.  Pairs pass a size filter and
-   the union-sketch estimate (within ``MARGIN`` standard errors), then the exact
-   Jaccard similarity of the full sets decides.
+   of any length gives as many pairs as members.  Pairs pass a size filter, then
+   the exact Jaccard similarity of the full sets decides.
 4. *Rest.*  Two members of a hub's lists may be linked though they are not
    joined through the hub.  Members outside the hub's largest component are
    compared with all its members in other components, in blocks of bounded
-   size: shared list values, then a union sketch of ``K2`` values, then the full
-   sets.  Only links leave a block.  A pair is looked at under its smallest
+   size: shared sketch values, then the full sets.  Only links leave a block.  A pair is looked at under its smallest
    common hub alone.  No pair that may be a link between different components
    is left out, and no pair within a component needs a look.
 
@@ -50,10 +48,9 @@ from attrition.llm.components import connected_components
 from attrition.llm.docstats import parse
 from attrition.llm.textbatch import chunks, mix64, shingles
 
-K = 48
-K2 = 256
+K = 64
 PERCENT = 80
-SHARE = 0.45
+SHARE = 0.4
 MARGIN = 5.0
 REST_BLOCK = 250_000  # shingles
 MEMBER_BLOCK = 500_000
@@ -110,24 +107,6 @@ def slack(k: int) -> float:
     return MARGIN * float(np.sqrt(t * (1 - t) / k))
 
 
-def estimates(a: np.ndarray, others: list[np.ndarray], k: int) -> np.ndarray:
-    """Jaccard similarity of ``a`` with each other set, from the bottom-k sketch of each union.
-
-    Sets are given as sorted arrays of at least their k smallest values (or whole).
-    """
-    top = np.iinfo(np.int64).max
-    rows = np.full((len(others), 2 * k), top)
-    rows[:, : min(k, len(a))] = a[:k]
-    for row, b in zip(rows, others, strict=True):
-        row[k : k + min(k, len(b))] = b[:k]
-    rows.sort(axis=1)
-    same = np.zeros(rows.shape, dtype=bool)
-    same[:, 1:] = (rows[:, 1:] == rows[:, :-1]) & (rows[:, 1:] != top)
-    place = np.cumsum(~same & (rows != top), axis=1)  # of each value among the distinct ones
-    size = np.minimum(place[:, -1], k)
-    return (same & (place <= k)).sum(axis=1) / np.maximum(size, 1)
-
-
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two full sets (sorted arrays) reach the threshold."""
     both = len(np.intersect1d(a, b, assume_unique=True))
@@ -170,14 +149,14 @@ def member_sets(ids: DataFrame, docs: DataFrame, n: int, id_col: str, text_col:
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that pass the union-sketch estimate and whose full sets reach the threshold."""
+    """The pairs (a, b) whose full sets reach the threshold."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 a, b = (np.frombuffer(v.as_buffer(), dtype=np.int64) for v in (x, y))
-                ok.append(bool(estimates(a, [b], K2)[0] >= PERCENT / 100 - slack(K2)) and similar(a, b))
+                ok.append(similar(a, b))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     rows = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a")).hint("merge"), "a")
@@ -246,10 +225,7 @@ def _compare_block(block: pd.DataFrame) -> pd.DataFrame:
         for h in hubs:
             if int(h) in earlier:
                 near[earlier[int(h)]] = False  # looked at under that hub
-        for k in np.array_split(np.flatnonzero(near), max(1, int(near.sum()) // 512 + 1)):
-            if len(k):
-                k = k[estimates(a, [full[j] for j in k], K2) >= PERCENT / 100 - slack(K2)]
-            found += [(max(x, ids[j]), min(x, ids[j])) for j in k if similar(a, full[j])]
+        found += [(max(x, ids[j]), min(x, ids[j])) for j in np.flatnonzero(near) if similar(a, full[j])]
     return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
 
 

@@ -1,5 +1,8 @@
+import math
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from attrition.llm import near_duplicates as nd
@@ -92,3 +95,21 @@ def test_components_of_long_paths_and_stars(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got[k] == 100 for k in range(100, 165)) and all(got[k] == 7 for k in range(200, 260))
     assert got[9] == 8 and got[8] == 8 and 3 not in got
+
+
+def test_full_sets_decide_where_a_sketch_misleads(spark):
+    """Alike at 0.95, but a third of the 256 smallest values of the union are in one set only."""
+    a = np.arange(2000, dtype=np.int64)
+    b = np.delete(a, np.arange(64, 64 + 180, 2))
+    raw = [a.tobytes(), b.tobytes()]
+    block = pd.DataFrame({"hub": 0, "member": [10, 20], "component": [10, 20], "hubs": [[0], [0]], "set": raw, "query": True, "present": True})
+    assert nd._compare_block(block).values.tolist() == [[20, 10]]
+    sets = spark.createDataFrame([(10, raw[0]), (20, raw[1])], "doc_id long, set binary")
+    assert [tuple(r) for r in nd.verify(spark.createDataFrame([(20, 10)], "a long, b long"), sets).collect()] == [(20, 10)]
+
+
+def test_shares_of_sketches_lose_no_link():
+    """Chance that a nested pair at the threshold shares fewer sketch values than the lists need."""
+    least = math.ceil(nd.SHARE * nd.K)
+    t = nd.PERCENT / 100
+    assert sum(math.comb(nd.K, i) * t**i * (1 - t) ** (nd.K - i) for i in range(least)) < 1e-12
