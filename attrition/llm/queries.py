@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import crf_language, decontaminate, lm_scoring, near_duplicates, oracle, quality_rules, quality_trees, shared_prefix, suffix_dedup, warc
+from attrition.llm import crf_language, decontaminate, lm_scoring, near_duplicates, oracle, quality_rules, quality_trees, shared_prefix, suffix_dedup, warc, whitening
 from attrition.llm.common import crc_mod, read_table, shared_path
 from attrition.llm.token_counts import count_tokens
 
@@ -83,6 +83,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf_language.predict(docs, model).select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_rules": op2_quality_rules,
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_language_id": op10_language_id,
+    "op13_whitening": op13_whitening,
 }
 
 SQL: dict[str, str] = {k: v for k, v in oracle.SQL.items() if k in QUERIES}
