@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import crf_language, decontaminate, lm_scoring, near_duplicates, oracle, quality_rules, quality_trees, shared_prefix, suffix_dedup, warc, whitening
+from attrition.llm import (
+    block_search,
+    crf_language,
+    decontaminate,
+    lm_scoring,
+    near_duplicates,
+    oracle,
+    overlap_join,
+    quality_rules,
+    quality_trees,
+    shared_prefix,
+    suffix_dedup,
+    warc,
+    whitening,
+)
 from attrition.llm.common import crc_mod, read_table, shared_path
 from attrition.llm.token_counts import count_tokens
 
@@ -83,6 +97,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf_language.predict(docs, model).select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap_join.join(read_table(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened_components(read_table(spark, sf_dir, "embeddings"))
 
@@ -98,6 +120,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_language_id": op10_language_id,
+    "op11_ngram_join": op11_ngram_join,
+    "op12_ranked_search": op12_ranked_search,
     "op13_whitening": op13_whitening,
 }
 
