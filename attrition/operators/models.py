@@ -19,15 +19,15 @@ from __future__ import annotations
 
 import concurrent.futures as cf
 import datetime as dt
+import itertools
+import uuid
 import warnings
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +35,7 @@ from attrition.operators import metrics as me
 from attrition.operators.rfm import WINDOW_MAX_BYTES, estimated_bytes
 from attrition.operators.split import add_fold
 from attrition.schema import ID, LABEL
+from attrition.session import ensure_checkpoint_dir
 
 SEED = 42
 MAX_DEPTH_NONE = 30  # MLlib's ceiling stands in for "no depth limit"
@@ -185,27 +186,55 @@ def best_by(table: DataFrame, metric: str = "accuracy") -> DataFrame:
     return table.orderBy(F.col(metric).desc(), F.col("order").asc()).limit(1)
 
 
-def cv_score(df: DataFrame, kind: str, params: dict | None, cols: list[str], k: int = 5,
-             label: str = LABEL, metric: str = "accuracy", parallelism: int = 4) -> DataFrame:
-    """k-fold cross-validated metric per fold (stratified hash folds); the
-    folds are fitted concurrently.  ``cv_summary`` gives mean +- 2 std."""
+# -- cross-validation (M6, M7) --------------------------------------------------
+
+
+def out_of_fold(df: DataFrame, specs: list[Spec], cols: list[str], k: int = 5, label: str = LABEL,
+                parallelism: int = 4, path: str | None = None) -> DataFrame:
+    """Every row's prediction by every setting's model of the folds it is not in:
+    setting_id, fold, customer_id, actual, churn_probability, predicted.
+
+    Stratified hash folds; the ``len(specs) * k`` models are fitted concurrently from driver
+    threads, each writes its fold's predictions to the table at ``path`` (default: a fresh folder of
+    ``spark.checkpoint.dir``) and is then let go, so the driver holds ``parallelism`` models at a time.
+    Metrics are aggregates of this table (:func:`fold_metrics`).
+    """
+    spark = df.sparkSession
+    path = path or f"{ensure_checkpoint_dir(spark)}/folds-{uuid.uuid4().hex}"
     data = spread(with_label(add_fold(df, k, label=label), label)).persist()
-    n = data.count()
-    ev = MulticlassClassificationEvaluator(metricName=metric, labelCol="label", predictionCol="prediction")
+    sizes = {r["fold"]: r["count"] for r in data.groupBy("fold").count().collect()}
+    n = sum(sizes.values())
 
-    def one(f: int) -> tuple[int, float]:
+    def one(job: tuple[int, int]) -> None:
+        i, f = job
         tr, te = data.where(F.col("fold") != f), data.where(F.col("fold") == f)
-        small = estimated_bytes(tr) <= WINDOW_MAX_BYTES
-        n_tr = n - te.count() if kind == "lr" else None
-        pipe = make_pipeline(classifier(kind, params, n_tr, small), cols, kind == "lr")
-        return f, float(ev.evaluate(pipe.fit(tr).transform(te)))
+        kind = specs[i].kind
+        clf = classifier(kind, specs[i].params, n - sizes.get(f, 0) if kind == "lr" else None, estimated_bytes(tr) <= WINDOW_MAX_BYTES)
+        scored = make_pipeline(clf, cols, kind == "lr").fit(tr).transform(te)
+        scored.select(
+            F.col(ID), F.col("label").cast("long").alias("actual"), vector_to_array(F.col("probability"))[1].alias("churn_probability"),
+            F.col("prediction").cast("long").alias("predicted"),
+        ).write.parquet(f"{path}/setting_id={i}/fold={f}")
 
     try:
         with cf.ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            rows = sorted(pool.map(one, range(k)))
+            list(pool.map(one, [(i, f) for i in range(len(specs)) for f in sorted(sizes)]))
     finally:
         data.unpersist()
-    return df.sparkSession.createDataFrame(rows, f"fold long, {metric} double")
+    schema = f"{ID} long, actual long, churn_probability double, predicted long, setting_id long, fold long"
+    return spark.read.schema(schema).option("basePath", path).parquet(path)
+
+
+def fold_metrics(predictions: DataFrame) -> DataFrame:
+    """A11 metrics of every (setting_id, fold) of an out-of-fold table: one grouped aggregate."""
+    return me.class_metrics(predictions, by=["setting_id", "fold"])
+
+
+def cv_score(df: DataFrame, kind: str, params: dict | None, cols: list[str], k: int = 5,
+             label: str = LABEL, metric: str = "accuracy", parallelism: int = 4) -> DataFrame:
+    """k-fold cross-validated metric per fold; ``cv_summary`` gives mean +- 2 std."""
+    rows = out_of_fold(df, [Spec(kind, params or {})], cols, k, label, parallelism)
+    return fold_metrics(rows).select("fold", metric)
 
 
 def cv_summary(folds: DataFrame, metric: str = "accuracy") -> DataFrame:
@@ -214,43 +243,34 @@ def cv_summary(folds: DataFrame, metric: str = "accuracy") -> DataFrame:
     return folds.agg(m.alias("mean"), sd.alias("std"), (m - 2 * sd).alias("low"), (m + 2 * sd).alias("high"))
 
 
+def grid_specs(kind: str, grid: dict[str, list]) -> list[Spec]:
+    """All settings of a grid, in the order of its values; named by MLlib's parameters."""
+    names = {"n_estimators": "numTrees" if kind == "rf" else "maxIter", "max_depth": "maxDepth",
+             "min_samples_split": "minInstancesPerNode", "learning_rate": "stepSize"}
+    out = []
+    for values in itertools.product(*grid.values()):
+        params = dict(zip(grid, values, strict=True))
+        clf = classifier(kind, params)
+        shown = {names.get(key, key): clf.getOrDefault(names[key]) if key in names else params[key] for key in params}
+        out.append(Spec(kind, params, ",".join(f"{a}={b}" for a, b in sorted(shown.items()))))
+    return out
+
+
 def grid_search(df: DataFrame, kind: str, grid: dict[str, list], cols: list[str], k: int = 5,
-                label: str = LABEL, parallelism: int = 4):
-    """Exhaustive search with k-fold CV scored by the F1 of class 1, best refit.
+                label: str = LABEL, parallelism: int = 4, path: str | None = None):
+    """Exhaustive search with k-fold CV scored by the F1 of class 1, best refit (ties: the first setting).
 
-    Returns (best PipelineModel, DataFrame of settings with mean/std metric).
+    Returns (best PipelineModel, DataFrame of settings with mean/std metric); the out-of-fold
+    predictions behind the metrics stay at ``path`` (see :func:`out_of_fold`).
     """
-    data = spread(with_label(add_fold(df, k, label=label), label)).persist()
-    rows = data.count()
-    # regParam is 1 / (C n) with the rows a fold trains on
-    clf = classifier(kind, {}, rows - rows // k, estimated_bytes(data) <= WINDOW_MAX_BYTES)
-    names = {"n_estimators": "numTrees" if kind == "rf" else "maxIter", "max_depth": "maxDepth",
-             "min_samples_split": "minInstancesPerNode", "learning_rate": "stepSize"}
-    builder = ParamGridBuilder()
-    keys = list(grid)
-    for key in keys:
-        param = clf.getParam(names.get(key, key))
-        vals = grid[key]
-        if key == "max_depth":
-            vals = [MAX_DEPTH_NONE if v is None else int(v) for v in vals]
-        if key == "min_samples_split":
-            vals = [max(1, int(v) // 2) for v in vals]
-        builder = builder.addGrid(param, vals)
-    maps = builder.build()
-    ev = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0, labelCol="label",
-                                          predictionCol="prediction")
-    cv = CrossValidator(estimator=make_pipeline(clf, cols, kind == "lr"), estimatorParamMaps=maps, evaluator=ev,
-                        foldCol="fold", numFolds=k, parallelism=parallelism, seed=SEED)
-    try:
-        model = cv.fit(data)
-    finally:
-        data.unpersist()
-    rows = []
-    for i, pm in enumerate(maps):
-        setting = ",".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda kv: kv[0].name))
-        rows.append((i, setting, float(model.avgMetrics[i]), float(model.stdMetrics[i])))
-    table = df.sparkSession.createDataFrame(rows, "setting_id long, setting string, mean_f1 double, std_f1 double")
-    return model.bestModel, table
+    specs = grid_specs(kind, grid)
+    rows = out_of_fold(df, specs, cols, k, label, parallelism, path)
+    per = fold_metrics(rows).groupBy("setting_id").agg(F.avg("f1").alias("mean_f1"), F.stddev_pop("f1").alias("std_f1"))
+    found = {r["setting_id"]: (r["mean_f1"], r["std_f1"]) for r in per.collect()}  # one row for each setting
+    table = [(i, spec.run_name(), *found[i]) for i, spec in enumerate(specs)]
+    best = max(table, key=lambda r: (r[2], -r[0]))[0]
+    out = df.sparkSession.createDataFrame(table, "setting_id long, setting string, mean_f1 double, std_f1 double")
+    return fit(df, kind, specs[best].params, cols, label), out
 
 
 def feature_importance(pm: PipelineModel, cols: list[str]) -> list[tuple[str, float]]:

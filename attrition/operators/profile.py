@@ -9,12 +9,14 @@ scans does not grow with the number of columns.
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attrition.functions.exprs import q as qn
-from attrition.functions.exprs import r6, r6_sql
 from attrition.operators.rfm import estimated_bytes, exact_quantiles, quantile_table
 from attrition.schema import ID, LABEL
 
@@ -104,12 +106,12 @@ def describe(df: DataFrame, cols: list[str], method: str = "auto", id_col: str =
             F.struct(
                 F.lit(c).alias("column"),
                 F.count(x).alias("count"),
-                r6(F.avg(x)).alias("mean"),
-                r6(F.stddev_samp(x)).alias("std"),
+                F.avg(x).alias("mean"),
+                F.stddev_samp(x).alias("std"),
                 F.min(x).alias("min"),
-                r6(F.get(qs, 0)).alias("p25"),
-                r6(F.get(qs, 1)).alias("p50"),
-                r6(F.get(qs, 2)).alias("p75"),
+                F.get(qs, 0).alias("p25"),
+                F.get(qs, 1).alias("p50"),
+                F.get(qs, 2).alias("p75"),
                 F.max(x).alias("max"),
             )
         )
@@ -134,9 +136,16 @@ def churn_rate(df: DataFrame, label: str = LABEL) -> DataFrame:
     return df.select(F.avg(F.col(label).cast("double")).alias("churn_rate"))
 
 
+def _finite(c: str) -> Column:
+    x = F.col(c).cast("double")
+    return F.when(F.abs(x) < F.lit(float("inf")), x)
+
+
 def histogram(df: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:
     """Equal-width histogram per column: column, bin, bin_lo, bin_hi, count.
 
+    Nulls, NaN and infinities lie in no bin and do not widen the range; a column without
+    finite values has null bounds and empty bins.
     Bin i covers [lo + i*w, lo + (i+1)*w) with w = (hi-lo)/bins; the last bin
     is closed.  When hi == lo the range is widened to [lo-0.5, lo+0.5] (as
     NumPy does).  min/max come from one scalar subquery; the counts of all
@@ -145,8 +154,7 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:
     Spark as one SQL expression string (one driver call instead of hundreds).
     """
     mm = df.select(
-        F.struct(*[F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(f"c{i}")
-                   for i, c in enumerate(cols)]).alias("s")
+        F.struct(*[F.struct(F.min(_finite(c)).alias("lo"), F.max(_finite(c)).alias("hi")).alias(f"c{i}") for i, c in enumerate(cols)]).alias("s")
     ).scalar()
     tmp = df.withColumn("_mm", mm)
     bin_exprs, structs = [], []
@@ -154,7 +162,10 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:
         lo0, hi0 = f"_mm.c{i}.lo", f"_mm.c{i}.hi"
         lo = f"CASE WHEN {lo0} = {hi0} THEN {lo0} - 0.5 ELSE {lo0} END"
         hi = f"CASE WHEN {lo0} = {hi0} THEN {hi0} + 0.5 ELSE {hi0} END"
-        b = f"least(floor((CAST({qn(c)} AS DOUBLE) - ({lo})) / (({hi}) - ({lo})) * {bins}), {bins - 1})"
+        x = f"CAST({qn(c)} AS DOUBLE)"
+        x = f"(CASE WHEN abs({x}) < double('infinity') THEN {x} END)"
+        # ``least`` passes over nulls, so they are kept out first
+        b = f"CASE WHEN {x} IS NOT NULL THEN least(floor(({x} - ({lo})) / (({hi}) - ({lo})) * {bins}), {bins - 1}) END"
         bin_exprs += [f"{b} AS _b{i}", f"{lo} AS _lo{i}", f"{hi} AS _hi{i}"]
         counts = ", ".join(f"count_if(_b{i} = {k})" for k in range(bins))
         structs.append(f"struct('{c}' AS column, first(_lo{i}) AS lo, first(_hi{i}) AS hi, array({counts}) AS counts)")
@@ -164,8 +175,8 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:
     return per_bin.selectExpr(
         "column",
         "CAST(bin AS BIGINT) AS bin",
-        f"{r6_sql(f'lo + bin * {w}')} AS bin_lo",
-        f"{r6_sql(f'lo + (bin + 1) * {w}')} AS bin_hi",
+        f"lo + bin * {w} AS bin_lo",
+        f"lo + (bin + 1) * {w} AS bin_hi",
         "CAST(count AS BIGINT) AS count",
     )
 
@@ -229,9 +240,9 @@ def boxplot_stats(df: DataFrame, cols: list[str], by: str = LABEL, method: str =
         structs.append(
             F.struct(
                 F.lit(c).alias("column"),
-                r6(F.first(q1)).alias("q1"),
-                r6(F.first(q2)).alias("median"),
-                r6(F.first(q3)).alias("q3"),
+                F.first(q1).alias("q1"),
+                F.first(q2).alias("median"),
+                F.first(q3).alias("q3"),
                 F.min(F.when(x >= lo_f, x)).alias("whisker_lo"),
                 F.max(F.when(x <= hi_f, x)).alias("whisker_hi"),
                 F.count_if((x < lo_f) | (x > hi_f)).alias("n_outliers"),
@@ -240,20 +251,76 @@ def boxplot_stats(df: DataFrame, cols: list[str], by: str = LABEL, method: str =
     return rows.groupBy(by).agg(F.array(*structs).alias("_s")).select(by, F.inline("_s"))
 
 
-def corr_long(df: DataFrame, cols: list[str]) -> DataFrame:
+# Up to this many columns, ``corr`` of each pair is one aggregate; their number grows with the square of the columns.
+PAIRWISE_MAX_COLS = 24
+
+
+def corr_long(df: DataFrame, cols: list[str], method: str = "auto") -> DataFrame:
     """Pearson correlation of every pair, long form (col_a, col_b, corr).
 
-    One aggregate with ``corr`` for each unordered pair (both orientations
-    reuse the same aggregate); the diagonal is 1.
+    Rows where both values are present count for a pair (as in pandas).  A column that does not vary has a
+    null correlation; the diagonal is 1.  ``pairs``: one ``corr`` aggregate for each unordered pair of columns,
+    for narrow tables without nulls (both orientations reuse it).  ``gram``: one matrix of moments (:func:`_corr_gram`), for wide tables and
+    tables with nulls.  ``auto`` chooses after one aggregate of null counts and ranges.
     """
+    varying = cols
+    if method == "auto" and len(cols) > PAIRWISE_MAX_COLS:
+        method = "gram"
+    if method != "gram":
+        parts = [p for i, c in enumerate(map(qn, cols)) for p in (
+            F.count_if(F.col(c).isNull()).alias(f"n{i}"), (F.min(c) < F.max(c)).alias(f"v{i}"))]
+        row = df.agg(*parts).first()
+        varying = [c for i, c in enumerate(cols) if row[f"v{i}"]]
+        if method == "auto" and any(row[f"n{i}"] for i in range(len(cols))):
+            method = "gram"
+    if method == "gram":
+        return _corr_gram(df, cols)
     structs = []
     for a, b in itertools.combinations(cols, 2):
-        v = r6_sql(f"corr(CAST({qn(a)} AS DOUBLE), CAST({qn(b)} AS DOUBLE))")
+        # ``corr`` divides by zero on a constant column
+        v = f"corr(CAST({qn(a)} AS DOUBLE), CAST({qn(b)} AS DOUBLE))" if a in varying and b in varying else "CAST(NULL AS DOUBLE)"
         structs.append(f"struct('{a}' AS col_a, '{b}' AS col_b, {v} AS corr)")
         structs.append(f"struct('{b}' AS col_a, '{a}' AS col_b, {v} AS corr)")
     for a in cols:
         structs.append(f"struct('{a}' AS col_a, '{a}' AS col_b, CAST(1.0 AS DOUBLE) AS corr)")
-    return df.selectExpr(f"inline(array({', '.join(structs)}))")
+    return df.selectExpr("count(1) AS _n", f"array({', '.join(structs)}) AS _s").select(F.inline("_s"))
+
+
+def _corr_gram(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Correlations from one mergeable matrix of moments: two scans, whatever the number of columns.
+
+    The first scan takes the means, the second adds up, for values centred by them (nulls as 0, so
+    that each pair counts the rows that have both), six sums for each pair of columns.  A task
+    sends one row for each pair, Spark adds them up; the state is columns x columns x 6 doubles.
+    """
+    names = [qn(c) for c in cols]
+    means = df.select(*[F.coalesce(F.avg(_finite(c)), F.lit(0.0)).alias(f"m{i}") for i, c in enumerate(names)]).first()
+    mean = np.array(list(means), dtype=float)
+    d = len(cols)
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((6, d, d))
+        for batch in batches:
+            null = np.stack([np.asarray(c.is_null()) for c in batch.columns], axis=1)
+            x = np.stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in batch.columns], axis=1) - mean
+            x[null] = 0.0
+            has = (~null).astype(float)
+            with np.errstate(invalid="ignore", over="ignore"):
+                total += np.stack([has.T @ has, x.T @ has, has.T @ x, (x * x).T @ has, has.T @ (x * x), x.T @ x])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(np.arange(d), d)), pa.array(np.tile(np.arange(d), d)), *(pa.array(t.ravel()) for t in total)],
+            names=["a", "b", "n", "sa", "sb", "saa", "sbb", "sab"])
+
+    rows = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)])
+    sums = ["n", "sa", "sb", "saa", "sbb", "sab"]
+    per = rows.mapInArrow(moments, "a long, b long, " + ", ".join(f"{s} double" for s in sums))
+    per = per.groupBy("a", "b").agg(*[F.sum(s).alias(s) for s in sums])
+    va, vb = F.expr("saa - try_divide(sa * sa, n)"), F.expr("sbb - try_divide(sb * sb, n)")
+    # a column varies if its variance is more than rounding leaves of its squares
+    varies = (va > F.col("saa") * 1e-14) & (vb > F.col("sbb") * 1e-14)
+    corr = F.when(F.col("a") == F.col("b"), F.lit(1.0)).when(varies, F.expr("sab - try_divide(sa * sb, n)") / F.sqrt(va * vb))
+    name = F.array(*[F.lit(c) for c in cols])
+    return per.select(F.get(name, F.col("a").cast("int")).alias("col_a"), F.get(name, F.col("b").cast("int")).alias("col_b"), corr.alias("corr"))
 
 
 def profile(df: DataFrame, label: str = LABEL) -> dict[str, DataFrame]:

@@ -269,11 +269,19 @@ def exact_quantiles(df: DataFrame, cols: list[str], levels: list[float], by: str
 def rfm_features(df: DataFrame, q: int = 5, method: str = "auto", id_col: str = ID) -> DataFrame:
     """Add r_score (recency by value, reversed), f_score, m_score (by rank), rfm_score.
 
-    Quantiles are relative to this batch, as in the reference.  All batch
+    Quantiles are relative to this batch, as in the reference.  ``window``: all batch
     statistics (recency edges, row counts) come from one aggregate over the
-    input, attached once as a scalar struct.
+    input, attached once as a scalar struct.  ``cuts``: recency edges and cut keys by selection,
+    so no value map and no sort of the table.
     """
     method = choose_method(df, method)
+    if method == "cuts":
+        out = qcut_by_value(df, "recency_days", q, "r_score", reverse=True, method="cuts", id_col=id_col)
+        f, m = fit_cuts(df, ["frequency", "monetary_value"], id_col, q)
+        out = out.withColumns({"f_score": f.bin(), "m_score": m.bin()})
+        return out.withColumn("rfm_score", (F.col("r_score") + F.col("f_score") + F.col("m_score")).cast("long"))
+    if method != "window":
+        raise ValueError(f"unknown method {method!r}")
     e = F.percentile(F.col("recency_days"), F.array(*[F.lit(p) for p in _levels(q)]))
     dup = F.exists(F.sequence(F.lit(1), F.lit(q)), lambda i: F.get(e, i) == F.get(e, i - 1))
     stats = df.select(
@@ -286,14 +294,8 @@ def rfm_features(df: DataFrame, q: int = 5, method: str = "auto", id_col: str =
     out = df.withColumn("_rfm", stats)
     r_bin = _bin_from_edges(F.col("recency_days").cast("double"), F.col("_rfm.edges"), q)
     out = out.withColumn("r_score", (F.lit(q + 1) - r_bin).cast("long"))
-    if method == "window":
-        out = _rank_bin_window(out, "frequency", id_col, q, "f_score", F.col("_rfm.n_f"))
-        out = _rank_bin_window(out, "monetary_value", id_col, q, "m_score", F.col("_rfm.n_m"))
-    elif method == "cuts":
-        f, m = fit_cuts(df, ["frequency", "monetary_value"], id_col, q)
-        out = out.withColumns({"f_score": f.bin(), "m_score": m.bin()})
-    else:
-        raise ValueError(f"unknown method {method!r}")
+    out = _rank_bin_window(out, "frequency", id_col, q, "f_score", F.col("_rfm.n_f"))
+    out = _rank_bin_window(out, "monetary_value", id_col, q, "m_score", F.col("_rfm.n_m"))
     return out.drop("_rfm").withColumn(
         "rfm_score", (F.col("r_score") + F.col("f_score") + F.col("m_score")).cast("long")
     )
@@ -320,9 +322,12 @@ class RfmModel:
 
 
 def fit_rfm(df: DataFrame, q: int = 5, id_col: str = ID, method: str = "auto") -> RfmModel:
-    """Fit the RFM edges once (one aggregate row for recency, cut keys for f/m;
-    ``method`` picks how the cut keys are found, see :func:`fit_rank_cuts`)."""
-    e = df.select(F.percentile("recency_days", F.array(*[F.lit(p) for p in _levels(q)])).alias("e")).first()["e"]
+    """Fit the RFM edges once (recency edges and cut keys for f/m; ``method`` picks how
+    both are found: small inputs by a value map and a window, others by selection)."""
+    if choose_method(df, method) == "window":
+        e = df.select(F.percentile("recency_days", F.array(*[F.lit(p) for p in _levels(q)])).alias("e")).first()["e"]
+    else:
+        e = exact_quantiles(df, ["recency_days"], _levels(q)).get((None, "recency_days"))
     if e is None:
         raise ValueError("cannot fit RFM edges on an empty table")
     if len(set(e)) < len(e):

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attrition.functions.exprs import sigmoid
+from attrition.functions.exprs import sigmoid, standardized
 from attrition.schema import ID, LABEL
 
 # Weights of the churn score on the z-scored columns, and the
@@ -35,6 +35,7 @@ def rule_score(
 ) -> DataFrame:
     """Noise-free churn rule: sigmoid(sum w_c * (c - mean_c) / std_c), sample std.
 
+    A column that does not vary (or a table of one row) adds 0 to the score.
     The statistics come from ``fit_on`` (default: this frame) as one aggregate,
     computed once and inlined as a scalar; the score is a row-local expression.
     Pass the undecorated input (or a training split) as ``fit_on`` to keep the
@@ -43,7 +44,7 @@ def rule_score(
     weights = weights or RULE_WEIGHTS
     st = zscore_stats(df if fit_on is None else fit_on, list(weights))
     score = sum(
-        (F.lit(w) * ((F.col(c) - F.col(f"_zst.{c}__mean")) / F.col(f"_zst.{c}__std")) for c, w in weights.items()),
+        (F.lit(w) * standardized(F.col(c), F.col(f"_zst.{c}__mean"), F.col(f"_zst.{c}__std")) for c, w in weights.items()),
         F.lit(0.0),
     )
     return df.withColumn("_zst", st).withColumn(out, sigmoid(score).cast("double")).drop("_zst")
@@ -132,17 +133,23 @@ def first_n(df: DataFrame, n: int, order: str = ID) -> DataFrame:
 
 
 def fit_rule_stats(df: DataFrame, weights: dict[str, float] | None = None) -> dict[str, tuple[float, float]]:
-    """Freeze the rule's statistics: {column: (mean, sample std)} from one aggregate row."""
+    """Freeze the rule's statistics: {column: (mean, sample std)} from one aggregate row.
+
+    The std of one row is 0 (it adds nothing to a score); a column without values is an error.
+    """
     weights = weights or RULE_WEIGHTS
     row = df.select(*[F.avg(c).alias(f"{c}__m") for c in weights],
                     *[F.stddev_samp(c).alias(f"{c}__s") for c in weights]).first()
-    return {c: (float(row[f"{c}__m"]), float(row[f"{c}__s"])) for c in weights}
+    empty = [c for c in weights if row[f"{c}__m"] is None]
+    if empty:
+        raise ValueError(f"cannot fit the rule: no values in {empty}")
+    return {c: (float(row[f"{c}__m"]), float(row[f"{c}__s"] or 0.0)) for c in weights}
 
 
 def rule_score_frozen(df: DataFrame, stats: dict[str, tuple[float, float]],
                       weights: dict[str, float] | None = None, out: str = "churn_probability") -> DataFrame:
     """The churn rule with frozen statistics (literals only: works on streams)."""
     weights = weights or RULE_WEIGHTS
-    score = sum((F.lit(w) * ((F.col(c) - F.lit(stats[c][0])) / F.lit(stats[c][1])) for c, w in weights.items()),
+    score = sum((F.lit(w) * standardized(F.col(c), F.lit(stats[c][0]), F.lit(stats[c][1])) for c, w in weights.items()),
                 F.lit(0.0))
     return df.withColumn(out, sigmoid(score).cast("double"))

@@ -6,6 +6,7 @@ and runs over all of their rows.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attrition.functions.exprs import r6
+from attrition.functions.exprs import clip, r6, truncate
 from attrition.operators import features as fe
 from attrition.operators import metrics as me
 from attrition.operators import models as ml
@@ -24,7 +25,8 @@ from attrition.operators import split as sp
 from attrition.plans import flows
 from attrition.schema import BASE_FEATURES, ID, LABEL, preset
 from attrition.session import ensure_checkpoint_dir
-from attrition.sources import files, store
+from attrition.sources import assets, files, store
+from attrition.sources import runs as kept
 from attrition.sources.testdata import all_customers, customer_base
 from attrition.streaming.scoring_stream import score_stream
 
@@ -54,6 +56,11 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rfm.rfm_features(fe.ratio_features(base_table(spark, sf_dir)))
 
 
+def rounded(df: DataFrame, *cols: str) -> DataFrame:
+    """Columns whose last bits depend on the order of aggregation, rounded for the comparison."""
+    return df.withColumns({c: r6(c) for c in cols})
+
+
 def decided(spark: SparkSession, sf_dir: str, with_rfm: bool = False) -> DataFrame:
     """The base scored by the churn rule (statistics fitted on it) and decided;
     with ratio features and RFM scores only for queries that return them."""
@@ -123,6 +130,8 @@ def q_top10_risk(spark, sf_dir):
 # -- profile (A1-A10) ---------------------------------------------------------
 
 
+DESCRIBED = ("mean", "std", "p25", "p50", "p75")
+QUARTILE_COLS = ("q1", "median", "q3")
 NULL_COLS = ["recency_days", "frequency", "monetary_value", "total_orders", "support_tickets"]
 
 
@@ -139,7 +148,7 @@ def q_column_info(spark, sf_dir):
 @query("describe")
 def q_describe(spark, sf_dir):
     base = base_table(spark, sf_dir)
-    return pr.describe(base, base.columns)
+    return rounded(pr.describe(base, base.columns), *DESCRIBED)
 
 
 @query("churn_counts")
@@ -159,18 +168,18 @@ def q_null_counts(spark, sf_dir):
 
 @query("histogram_30")
 def q_histogram_30(spark, sf_dir):
-    return pr.histogram(base_table(spark, sf_dir), BASE_FEATURES, 30)
+    return rounded(pr.histogram(base_table(spark, sf_dir), BASE_FEATURES, 30), "bin_lo", "bin_hi")
 
 
 @query("boxplot_by_churn")
 def q_boxplot_by_churn(spark, sf_dir):
-    return pr.boxplot_stats(base_table(spark, sf_dir), BASE_FEATURES, LABEL)
+    return rounded(pr.boxplot_stats(base_table(spark, sf_dir), BASE_FEATURES, LABEL), *QUARTILE_COLS)
 
 
 @query("corr_matrix")
 def q_corr_matrix(spark, sf_dir):
-    base = customer_base(spark, sf_dir)
-    return pr.corr_long(base, [c for c in base.columns if c != ID])
+    base = base_table(spark, sf_dir)
+    return rounded(pr.corr_long(base, [c for c in base.columns if c != ID]), "corr")
 
 
 @query("churn_rate")
@@ -297,8 +306,9 @@ def q_high_risk(spark, sf_dir):
 
 @query("high_risk_receipt")
 def q_high_risk_receipt(spark, sf_dir):
-    return decided(spark, sf_dir).agg(
-        F.count(F.lit(1)).alias("record_count"), F.count_if(F.col(P) > 0.7).alias("high_risk_count"))
+    """The receipt of a real write of the predictions."""
+    receipt = files.write_predictions(scoring.score(decided(spark, sf_dir)), _scratch(spark, "receipt"), fmt="parquet")
+    return spark.createDataFrame([(receipt["record_count"], receipt["high_risk_count"])], "record_count long, high_risk_count long")
 
 
 @query("score_with_actual")
@@ -405,10 +415,10 @@ def q_split_stratified_cuts(spark, sf_dir):
 def q_describe_cuts(spark, sf_dir):
     """describe() with exact quartiles by selection."""
     base = base_table(spark, sf_dir)
-    return pr.describe(base, base.columns, method="cuts")
+    return rounded(pr.describe(base, base.columns, method="cuts"), *DESCRIBED)
 
 
-# -- generated data, MLlib models and the stream (rows-only checks) -----------------
+# -- MLlib models and the stream; what SQL can recompute of them is in the *_checked queries -----------------
 
 
 F13 = preset("F13")
@@ -420,6 +430,10 @@ TOP_FEATURES = 8
 GRID = {"n_estimators": [100, 200], "max_depth": [5, 10, 15], "min_samples_split": [2, 10, 20]}
 
 
+CANDIDATES = [ml.Spec("lr", {}, "logistic_regression"), ml.Spec("rf", {"n_estimators": 50}, "random_forest"),
+              ml.Spec("gbt", {"n_estimators": 50}, "gradient_boosting")]
+
+
 def model_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Stratified train/test split of the features, checkpointed because every
     fit makes several passes over it."""
@@ -451,9 +465,7 @@ def q_gbt_scores(spark, sf_dir):
 def q_candidate_compare(spark, sf_dir):
     """Candidates trained concurrently, compared on the same test rows (best = first row)."""
     train, test = model_split(spark, sf_dir)
-    specs = [ml.Spec("lr", {}, "logistic_regression"), ml.Spec("rf", {"n_estimators": 50}, "random_forest"),
-             ml.Spec("gbt", {"n_estimators": 50}, "gradient_boosting")]
-    table_ = ml.compare(train, test, specs, F13, parallelism=3)
+    table_ = ml.compare(train, test, CANDIDATES, F13, parallelism=3)
     return table_.orderBy(F.col("accuracy").desc(), F.col("order").asc())
 
 
@@ -504,7 +516,7 @@ def q_stream_scores(spark, sf_dir):
 @query("boxplot_by_churn_cuts")
 def q_boxplot_by_churn_cuts(spark, sf_dir):
     """Box-plot statistics with exact per-group quartiles from the cut-key path."""
-    return pr.boxplot_stats(base_table(spark, sf_dir), BASE_FEATURES, LABEL, method="cuts")
+    return rounded(pr.boxplot_stats(base_table(spark, sf_dir), BASE_FEATURES, LABEL, method="cuts"), *QUARTILE_COLS)
 
 
 @query("r_score_cuts")
@@ -533,7 +545,7 @@ def q_boxplot_many_groups(spark, sf_dir):
     """Box-plot statistics of spend by more groups than are inlined, one of them null."""
     g = F.col(ID) % MANY_GROUPS
     rows = base_table(spark, sf_dir).withColumn("grp", F.when(g > 0, g))
-    return pr.boxplot_stats(rows, ["monetary_value", "total_orders"], "grp")
+    return rounded(pr.boxplot_stats(rows, ["monetary_value", "total_orders"], "grp"), *QUARTILE_COLS)
 
 
 # -- flows and files ----------------------------------------------------------------
@@ -555,11 +567,12 @@ def q_csv_roundtrip(spark, sf_dir):
 
 @query("materialize_reuse")
 def q_materialize_reuse(spark, sf_dir):
-    """Ratio features kept under a fingerprint of their input; the second call reads the first's table."""
-    store_dir, base = _scratch(spark, "store"), base_table(spark, sf_dir)
-    feats = fe.ratio_features(base)
-    _, first = store.materialize(feats, store_dir, {"step": "ratios"}, source=base)
-    again, second = store.materialize(feats, store_dir, {"step": "ratios"}, source=base)
+    """Ratio features kept under the identity of their input files; the second call reads the first's table."""
+    store_dir, path = _scratch(spark, "store"), _scratch(spark, "base")
+    customer_base(spark, sf_dir).write.parquet(path)
+    feats = fe.ratio_features(spark.read.parquet(path))
+    _, first = store.materialize(feats, store_dir, {"step": "ratios"}, source_path=path)
+    again, second = store.materialize(feats, store_dir, {"step": "ratios"}, source_path=path)
     return again.select(ID, "monetary_per_order", F.lit(first).alias("first_hit"), F.lit(second).alias("second_hit"))
 
 
@@ -625,17 +638,222 @@ def q_importance_checked(spark, sf_dir):
     return imp.select("feature", (F.col("importance") >= 0).alias("not_negative"), (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
 
 
+def _recomputed(rows: DataFrame, base: DataFrame) -> DataFrame:
+    """Accuracy and F1 of every (setting_id, fold) of an out-of-fold table, counted anew with the labels of ``base``."""
+    joined = rows.drop("actual").join(base.select(ID, F.col(LABEL).alias("truth")), ID)
+    both = F.count_if((F.col("truth") == 1) & (F.col("predicted") == 1))
+    either = F.count_if(F.col("truth") == 1) + F.count_if(F.col("predicted") == 1)
+    return joined.groupBy("setting_id", "fold").agg(
+        F.count_distinct(ID).alias("n"), F.count_if(F.col("truth") == 1).alias("positives"),
+        F.avg((F.col("truth") == F.col("predicted")).cast("double")).alias("accuracy_again"),
+        F.coalesce(F.try_divide(2 * both, either), F.lit(0.0)).alias("f1_again"),
+        F.min((F.col("predicted") == (F.col(P) > 0.5).cast("long")).cast("int")).alias("decided"))
+
+
 @query("cv_checked")
 def q_cv_checked(spark, sf_dir):
-    """One metric in [0, 1] for each fold."""
-    folds = ml.cv_score(features(spark, sf_dir), "lr", {"max_iter": 50}, F13, k=5)
-    return folds.select("fold", F.col("accuracy").between(0, 1).alias("in_range"))
+    """The folds of ``cv_accuracy`` at its own settings: sizes, and whether the metric is that of the stored predictions."""
+    feats = features(spark, sf_dir)
+    rows = ml.out_of_fold(feats, [ml.Spec("rf", RF_DEFAULT)], F13, 5)
+    again = _recomputed(rows, feats)
+    both = ml.fold_metrics(rows).select("setting_id", "fold", "accuracy").join(again, ["setting_id", "fold"])
+    return both.select("fold", "n", "positives", (F.abs(F.col("accuracy") - F.col("accuracy_again")) < 1e-12).alias("accuracy_ok"))
+
+
+@query("cv_band")
+def q_cv_band(spark, sf_dir):
+    """Mean accuracy over the stratified folds and its band of two standard deviations, for the churn rule's decisions."""
+    folds = sp.add_fold(decided(spark, sf_dir), 5, label=LABEL)
+    per = me.class_metrics(folds, LABEL, "churn_predicted", by=["fold"])
+    return rounded(ml.cv_summary(per), "mean", "std", "low", "high")
 
 
 @query("grid_checked")
 def q_grid_checked(spark, sf_dir):
-    """Every setting of a small grid is scored once."""
+    """All 18 settings x 5 folds of the search: each metric recomputed from the stored predictions, and the table's means."""
     train, _ = model_split(spark, sf_dir)
-    grid = {"n_estimators": [3, 5], "max_depth": [2, 3]}
-    _, rows = ml.grid_search(train, "rf", grid, F13, k=3, parallelism=4)
-    return rows.select("setting", F.col("mean_f1").between(0, 1).alias("in_range"))
+    path = _scratch(spark, "grid")
+    _, table_ = ml.grid_search(train, "rf", GRID, F13, k=5, parallelism=8, path=path)
+    rows = spark.read.parquet(path)
+    again = _recomputed(rows, train)
+    means = again.groupBy("setting_id").agg(F.avg("f1_again").alias("mean_again"), F.stddev_pop("f1_again").alias("std_again"))
+    out = again.join(table_, "setting_id").join(means, "setting_id")
+    return out.select(
+        F.col("setting_id").cast("long").alias("setting_id"), "setting", F.col("fold").cast("long").alias("fold"), "n", "positives",
+        (F.abs(F.col("mean_f1") - F.col("mean_again")) < 1e-12).alias("mean_ok"),
+        (F.abs(F.col("std_f1") - F.col("std_again")) < 1e-12).alias("std_ok"), (F.col("decided") == 1).alias("decided_ok"))
+
+
+@query("compare_checked")
+def q_compare_checked(spark, sf_dir):
+    """The candidates of ``candidate_compare``: the cells of each confusion matrix add up to the test rows and labels."""
+    train, test = model_split(spark, sf_dir)
+    table_ = ml.compare(train, test, CANDIDATES, F13, parallelism=3)
+    exact = (F.abs(F.col("accuracy") - (F.col("tp") + F.col("tn")) / F.col("n")) < 1e-12).alias("accuracy_ok")
+    return table_.select("run_name", F.col("order").cast("long").alias("order"), "n", (F.col("tp") + F.col("fn")).alias("positives"), exact)
+
+
+# -- kept runs, rebuilds, new customers, odd values -------------------------------------
+
+
+RUN_METRICS = ["accuracy", "precision", "recall", "f1", "training_accuracy_score", "training_precision_score", "training_recall_score", "training_f1_score"]
+
+
+def _logged(spark: SparkSession, sf_dir: str) -> str:
+    """The runs logged in two batches, a day apart, the first of them twice; tags say how and whether the model needs scaling."""
+    base, rows = _scratch(spark, "runs"), runs(spark, sf_dir).checkpoint()
+    rule = F.col("run_name").startswith("rule_")
+    tags = F.create_map(
+        F.lit("logging_method"), F.when(rule, "auto").otherwise("manual"),
+        F.lit("requires_scaling"), (F.col("run_name") == "logistic_fixed").cast("string"))
+    for day, part in ((1, rows.where(rule)), (2, rows.where(~rule)), (3, rows.where(rule))):
+        start = dt.datetime(2000, 8, 2 if day == 2 else 1)
+        batch = kept.run_rows(part, RUN_METRICS, "churn", start, tags=tags)
+        kept.log_runs(batch, base, dt.date(2000, 8, day))
+    return base
+
+
+@query("runs_history")
+def q_runs_history(spark, sf_dir):
+    """All kept runs with a test F1 above 0, best first: from three appended batches, one of which logs runs again."""
+    r = kept.read_runs(spark, _logged(spark, sf_dir)).where(kept.metric("f1") > 0)
+    r = me.runs_query(r, None, [kept.metric("f1").desc(), F.col("run_name").asc()], 10)
+    return r.select(
+        "run_name", kept.metric("f1").alias("f1"), kept.metric("accuracy").alias("accuracy"), kept.param("model").alias("model"),
+        kept.tag("logging_method", "manual").alias("logging_method"), F.date_format("run_date", "yyyy-MM-dd").alias("run_date"))
+
+
+@query("runs_by_tag")
+def q_runs_by_tag(spark, sf_dir):
+    """Runs of the first two days by a tag: how many, the best F1 and its run."""
+    r = kept.read_runs(spark, _logged(spark, sf_dir), until=dt.date(2000, 8, 2))
+    return kept.best_by_tag(r, "logging_method")
+
+
+@query("rebuild_changed")
+def q_rebuild_changed(spark, sf_dir):
+    """Four runs over a graph of derived tables: all new, nothing changed, one input changed, one parameter changed."""
+    root = _scratch(spark, "assets")
+    base = base_table(spark, sf_dir)
+    base.drop("support_tickets").write.parquet(f"{root}/in/customers")
+    base.select(ID, "support_tickets").write.parquet(f"{root}/in/tickets")
+
+    def graph(threshold: float) -> assets.AssetGraph:
+        return assets.AssetGraph(
+            spark, f"{root}/tables",
+            [assets.Source("customers", f"{root}/in/customers"), assets.Source("tickets", f"{root}/in/tickets")],
+            [
+                assets.Asset("spend", ("customers",), lambda t, p: t["customers"].select(ID, "monetary_value", "total_orders")),
+                assets.Asset("busy", ("tickets",), lambda t, p: t["tickets"].where("support_tickets > 0")),
+                assets.Asset("large", ("spend",), lambda t, p: t["spend"].where(F.col("monetary_value") > p["over"]), {"over": threshold}),
+                assets.Asset("watch", ("large", "busy"), lambda t, p: t["large"].join(t["busy"], ID)),
+            ])
+
+    def run(number: int, threshold: float) -> list[tuple]:
+        return [(number, o.name, o.rebuilt, spark.read.parquet(o.path).count()) for o in graph(threshold).materialize()]
+
+    rows = run(1, 1e5) + run(2, 1e5)
+    base.select(ID, "support_tickets").where("support_tickets > 1").write.mode("overwrite").parquet(f"{root}/in/tickets")
+    rows += run(3, 1e5) + run(4, 2e5)
+    return spark.createDataFrame(rows, "run long, asset string, rebuilt boolean, n_rows long")
+
+
+@query("stream_new_customers")
+def q_stream_new_customers(spark, sf_dir):
+    """Two deliveries scored by a saved model: the training rows, then all customers; each is scored when it is new."""
+    root = _scratch(spark, "stream")
+    base = sp.split_hash(base_table(spark, sf_dir))
+    train = base.where("split = 'train'").drop("split")
+    flows.train(train, "lr", {}, model_base=f"{root}/models", name="churn")
+    edges = rfm.fit_rfm(train)
+    for delivery, rows in ((1, train), (2, base.drop("split"))):
+        rows.write.mode("append").parquet(f"{root}/in")
+        pm, version = store.load_model(f"{root}/models", "churn", with_version=True)
+        score_stream(spark, f"{root}/in", f"{root}/out", f"{root}/state", edges, pm, version=f"churn-v{version}", new_only=True)
+        spark.read.parquet(f"{root}/out").select(ID).write.parquet(f"{root}/seen/delivery={delivery}")
+    rows = spark.read.parquet(f"{root}/out")
+    first = spark.read.parquet(f"{root}/seen").groupBy(ID).agg(F.min("delivery").cast("long").alias("first_delivery"))
+    per = rows.groupBy(ID, "model_version").agg(
+        F.count(F.lit(1)).alias("times"), F.min((F.col(P).between(0, 1) & (F.col("churn_predicted") == (F.col(P) > 0.5).cast("long"))).cast("int")).alias("ok"))
+    return per.join(first, ID).select(ID, "model_version", "times", (F.col("ok") == 1).alias("decision_ok"), "first_delivery")
+
+
+def odd_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base with a column that holds infinities and NaN."""
+    inf, nan = F.lit(float("inf")), F.lit(float("nan"))
+    x = F.when(F.col("frequency") == 0, inf).when(F.col("support_tickets") >= 2, nan).when(F.col("total_orders") <= 8, -inf)
+    return base_table(spark, sf_dir).withColumn("odd", x.otherwise(F.col("monetary_value")))
+
+
+@query("describe_nonfinite")
+def q_describe_nonfinite(spark, sf_dir):
+    """describe() of a column with infinities and NaN, by selection; what is not finite is told by flags."""
+    d = rounded(pr.describe(odd_values(spark, sf_dir), ["odd"], method="cuts"), *DESCRIBED)
+    return d.select("column", "count", F.isnan("mean").alias("mean_nan"), F.isnan("max").alias("max_nan"),
+                    (F.col("min") == float("-inf")).alias("min_infinite"), *[F.col(c).cast("string").alias(c) for c in ("p25", "p50")])
+
+
+@query("rfm_ranks_nonfinite")
+def q_rfm_ranks_nonfinite(spark, sf_dir):
+    """Bins by rank of a column with infinities and NaN, through selected cut keys."""
+    return rfm.qcut_by_rank(odd_values(spark, sf_dir), "odd", 5, out="bin", method="cuts").select(ID, "bin")
+
+
+@query("rule_score_constant")
+def q_rule_score_constant(spark, sf_dir):
+    """The churn rule where one of its columns does not vary: that column adds nothing."""
+    rows = base_table(spark, sf_dir).withColumn("support_tickets", F.lit(0).cast("long"))
+    frozen = scoring.rule_score_frozen(scoring.rule_score(rows), scoring.fit_rule_stats(rows), out="frozen")
+    return frozen.select(ID, r6(P).alias(P), (F.abs(F.col(P) - F.col("frozen")) < 1e-9).alias("frozen_agrees"))
+
+
+@query("corr_gram")
+def q_corr_gram(spark, sf_dir):
+    """The correlation matrix from one matrix of moments, with nulls (all customers) and a constant column."""
+    rows = all_customers(spark, sf_dir).withColumn("flat", F.lit(1.0))
+    return rounded(pr.corr_long(rows, [*BASE_FEATURES, "flat"]), "corr")
+
+
+@query("clip_truncate")
+def q_clip_truncate(spark, sf_dir):
+    """Values kept within bounds, whole parts towards zero."""
+    return customer_base(spark, sf_dir).select(
+        ID, clip(F.col("age"), 25, 60).cast("long").alias("age_clipped"), truncate(F.col("monetary_value") / -7).alias("whole"))
+
+
+@query("wanted_columns")
+def q_wanted_columns(spark, sf_dir):
+    """The wanted columns that exist, or all when none does."""
+    base = customer_base(spark, sf_dir)
+    some = fe.pick_columns(base, ["age", "no_such_column", "frequency"])
+    every = fe.pick_columns(base, ["no_such_column"])
+    return base.select(ID, *some, F.lit(len(every)).cast("long").alias("n_all"))
+
+
+@query("read_or_sample")
+def q_read_or_sample(spark, sf_dir):
+    """The file is there, so its rows are read and none are made up."""
+    path = _scratch(spark, "there")
+    files.write_table(customer_base(spark, sf_dir), path, "csv")
+    return files.load_or_sample(spark, path).select(ID, "recency_days", "monetary_value", LABEL)
+
+
+@query("flow_prepare")
+def q_flow_prepare(spark, sf_dir):
+    """L1 with its result kept: features and scores of the kept table."""
+    return flows.prepare(base_table(spark, sf_dir), store_base=_scratch(spark, "prepared"))
+
+
+@query("flow_profile")
+def q_flow_profile(spark, sf_dir):
+    """L4: count, nulls, smallest and largest value of every column, from the profile's tables, with the churn rate."""
+    t = flows.profile(base_table(spark, sf_dir))
+    rows = t["describe"].join(t["null_counts"], "column").join(t["column_info"], "column")
+    return rows.select("column", "position", "dtype", "count", "null_count", "min", "max", t["churn_rate"].select("churn_rate").scalar().alias("churn_rate"))
+
+
+@query("flow_compare")
+def q_flow_compare(spark, sf_dir):
+    """The leaderboard with its best run marked."""
+    board, best = flows.compare_runs(per_split_metrics(spark, sf_dir))
+    return board.select("run_name", "metric_type", "f1", (F.col("run_name") == best.select("run_name").scalar()).alias("best"))

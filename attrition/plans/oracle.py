@@ -448,6 +448,100 @@ _F13 = FEATS + ["recency_frequency_ratio", "monetary_per_order", "order_frequenc
 _F13_ROWS = ", ".join(f"('{f}')" for f in _F13)
 SQL["lr_gradient_checked"] = f"SELECT feature, true AS vanishes FROM (VALUES {_F13_ROWS}) AS t(feature)"
 SQL["importance_checked"] = f"SELECT feature, true AS not_negative, true AS sums_to_one FROM (VALUES {_F13_ROWS}) AS t(feature)"
-SQL["cv_checked"] = "SELECT CAST(range AS BIGINT) AS fold, true AS in_range FROM range(5)"
-SQL["grid_checked"] = """
-SELECT 'maxDepth=' || d || ',numTrees=' || t AS setting, true AS in_range FROM (VALUES (2), (3)) AS a(d), (VALUES (3), (5)) AS b(t)"""
+
+# the fold of each row, stratified over the rows of a table
+def _folds(table: str) -> str:
+    return f"""fo AS (
+  SELECT customer_id, churned, CAST(CAST(rn > n // 5 AS BIGINT) + CAST(rn > n * 2 // 5 AS BIGINT) + CAST(rn > n * 3 // 5 AS BIGINT)
+                                    + CAST(rn > n * 4 // 5 AS BIGINT) AS BIGINT) AS fold
+  FROM (SELECT customer_id, churned, count(*) OVER (PARTITION BY churned) AS n,
+               row_number() OVER (PARTITION BY churned ORDER BY {HASH}, customer_id) AS rn FROM {table}))"""
+
+
+_PER_FOLD = "SELECT fold, count(*) AS n, count(*) FILTER (WHERE churned = 1) AS positives FROM fo GROUP BY fold"
+SQL["cv_checked"] = with_ctes(BASE, _folds("base")) + f"SELECT *, true AS accuracy_ok FROM ({_PER_FOLD})"
+_TRAIN = _TEST.replace("te AS", "tn AS").replace("rn <=", "rn >")
+SQL["grid_checked"] = with_ctes(BASE, _TRAIN, _folds("tn")) + f"""
+SELECT CAST(row_number() OVER (PARTITION BY fold ORDER BY t, d, m) - 1 AS BIGINT) AS setting_id,
+       'maxDepth=' || d || ',minInstancesPerNode=' || m || ',numTrees=' || t AS setting,
+       fold, n, positives, true AS mean_ok, true AS std_ok, true AS decided_ok
+FROM ({_PER_FOLD}), (VALUES (100), (200)) AS a(t), (VALUES (5), (10), (15)) AS b(d), (VALUES (1), (5), (10)) AS c(m)"""
+SQL["compare_checked"] = with_ctes(BASE, _TEST) + """
+SELECT run_name, CAST(o AS BIGINT) AS "order", (SELECT count(*) FROM te) AS n,
+       (SELECT count(*) FROM te WHERE churned = 1) AS positives, true AS accuracy_ok
+FROM (VALUES ('logistic_regression', 0), ('random_forest', 1), ('gradient_boosting', 2)) AS r(run_name, o)"""
+SQL["cv_band"] = with_ctes(BASE, RATIOS, RFM, RULE, _folds("base")) + f"""
+SELECT {r6('m')} AS mean, {r6('s')} AS std, {r6('m - 2 * s')} AS low, {r6('m + 2 * s')} AS high FROM (
+  SELECT avg(a) AS m, stddev_pop(a) AS s FROM (
+    SELECT fold, avg(CAST(d.churned = d.churn_predicted AS DOUBLE)) AS a FROM decided d JOIN fo USING (customer_id) GROUP BY fold))"""
+
+
+# -- kept runs, rebuilds, new customers, odd values -----------------------------------
+
+_METHOD = "CASE WHEN run_name LIKE 'rule%' THEN 'auto' ELSE 'manual' END"
+SQL["runs_history"] = RUNS_FULL + f"""
+SELECT run_name, f1, accuracy,
+       CASE WHEN run_name LIKE 'rule%' THEN 'rule' WHEN run_name = 'rfm_low' THEN 'rfm' WHEN run_name = 'never' THEN 'constant' ELSE 'logistic' END AS model,
+       {_METHOD} AS logging_method, CASE WHEN run_name LIKE 'rule%' THEN '2000-08-03' ELSE '2000-08-02' END AS run_date
+FROM rt WHERE f1 > 0 ORDER BY f1 DESC, run_name LIMIT 10"""
+SQL["runs_by_tag"] = RUNS_FULL + f"""
+SELECT logging_method, count(*) AS runs, max(f1) AS best_f1, arg_min(run_name, (-f1, run_name)) AS best_run
+FROM (SELECT *, {_METHOD} AS logging_method FROM rt) GROUP BY logging_method"""
+
+
+def _asset_rows(run: int, tickets: int, over: str, rebuilt: str) -> str:
+    watch = f"SELECT count(*) FROM base WHERE monetary_value > {over} AND support_tickets > {tickets}"
+    counts = {"spend": "SELECT count(*) FROM base", "busy": f"SELECT count(*) FROM base WHERE support_tickets > {tickets}",
+              "large": f"SELECT count(*) FROM base WHERE monetary_value > {over}", "watch": watch}
+    return "\nUNION ALL\n".join(
+        f"SELECT CAST({run} AS BIGINT) AS run, '{a}' AS asset, {str(a in rebuilt.split()).lower()} AS rebuilt, ({c}) AS n_rows"
+        for a, c in counts.items())
+
+
+SQL["rebuild_changed"] = with_ctes(BASE) + "\nUNION ALL\n".join([
+    _asset_rows(1, 0, "1e5", "spend busy large watch"), _asset_rows(2, 0, "1e5", ""),
+    _asset_rows(3, 1, "1e5", "busy watch"), _asset_rows(4, 1, "2e5", "large watch")])
+
+SQL["stream_new_customers"] = with_ctes(BASE, SPLIT) + """
+SELECT customer_id, 'churn-v1' AS model_version, 1 AS times, true AS decision_ok,
+       CAST(CASE WHEN split = 'train' THEN 1 ELSE 2 END AS BIGINT) AS first_delivery FROM sp"""
+
+ODD = """odd AS (SELECT *, CASE WHEN frequency = 0 THEN 'Infinity'::DOUBLE WHEN support_tickets >= 2 THEN 'NaN'::DOUBLE
+  WHEN total_orders <= 8 THEN '-Infinity'::DOUBLE ELSE monetary_value END AS odd FROM base)"""
+
+
+def _odd_quantile(p: float) -> str:
+    """The interpolated quantile of the ordered values (NaN last)."""
+    at = f"(SELECT {p} * (count(*) - 1) FROM odd)"
+    pick = "(SELECT odd FROM r WHERE rn = {}({}) + 1)"
+    lo, hi = pick.format("floor", at), pick.format("ceil", at)
+    x = f"CASE WHEN floor({at}) = ceil({at}) THEN {lo} ELSE (ceil({at}) - {at}) * {lo} + ({at} - floor({at})) * {hi} END"
+    return f"CASE WHEN isfinite({x}) THEN CAST({r6(x)} AS VARCHAR) WHEN isnan({x}) THEN 'NaN' WHEN {x} > 0 THEN 'Infinity' ELSE '-Infinity' END"
+
+
+SQL["describe_nonfinite"] = with_ctes(BASE, ODD, "r AS (SELECT odd, row_number() OVER (ORDER BY odd) AS rn FROM odd)") + f"""
+SELECT 'odd' AS column, count(odd) AS count, true AS mean_nan, isnan(max(odd)) AS max_nan, min(odd) = '-Infinity'::DOUBLE AS min_infinite,
+       {_odd_quantile(0.25)} AS p25, {_odd_quantile(0.5)} AS p50 FROM odd"""
+SQL["rfm_ranks_nonfinite"] = with_ctes(BASE, ODD) + """
+SELECT customer_id, CAST(greatest(1, (5 * (row_number() OVER (ORDER BY odd, customer_id) - 1) + count(*) OVER () - 2)
+                                     // (count(*) OVER () - 1)) AS BIGINT) AS bin FROM odd"""
+SQL["rule_score_constant"] = FULL + f"""
+SELECT customer_id, {r6("1.0 / (1.0 + exp(-(1.8 * ((recency_days - mr) / sr) - 1.5 * ((frequency - mf) / sf) - 1.0 * ((monetary_value - mm) / sm))))")}
+         AS churn_probability, true AS frozen_agrees
+FROM base, zst"""
+SQL["corr_gram"] = with_ctes(BASE, ALLC) + "\nUNION ALL\n".join(
+    [f"SELECT '{a}' AS col_a, '{b}' AS col_b, {r6(f'corr({a}, {b})') if a != b else '1.0::DOUBLE'} AS corr FROM allc{' LIMIT 1' if a == b else ''}"
+     .replace(" FROM allc LIMIT 1", "") for a in FEATS for b in FEATS]
+    + [f"SELECT '{a}' AS col_a, 'flat' AS col_b, NULL AS corr UNION ALL SELECT 'flat', '{a}', NULL" for a in FEATS]
+    + ["SELECT 'flat' AS col_a, 'flat' AS col_b, 1.0::DOUBLE AS corr"])
+SQL["clip_truncate"] = with_ctes(BASE) + """
+SELECT customer_id, least(greatest(age, 25), 60) AS age_clipped, CAST(trunc(monetary_value / -7) AS BIGINT) AS whole FROM base"""
+SQL["wanted_columns"] = with_ctes(BASE) + f"SELECT customer_id, age, frequency, CAST({len(FEATS)} AS BIGINT) AS n_all FROM base"
+SQL["read_or_sample"] = with_ctes(BASE) + "SELECT customer_id, recency_days, monetary_value, churned FROM base"
+SQL["flow_prepare"] = SQL["rfm_features"]
+SQL["flow_profile"] = with_ctes(BASE) + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column, CAST({i} AS BIGINT) AS position, '{TYPES[c]}' AS dtype, count({c}) AS count, "
+    f"count(*) FILTER (WHERE {c} IS NULL) AS null_count, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, "
+    "avg(churned) AS churn_rate FROM base" for i, c in enumerate(COLS))
+SQL["flow_compare"] = RUNS_FULL + """
+SELECT run_name, metric_type, f1, run_name = (SELECT run_name FROM lb ORDER BY f1 DESC, run_name LIMIT 1) AS best FROM lb"""

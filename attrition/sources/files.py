@@ -3,10 +3,12 @@ exports with a write receipt, read-or-sample."""
 
 from __future__ import annotations
 
+import concurrent.futures as cf
 import csv
 import datetime as dt
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,21 +30,76 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+@dataclass(frozen=True)
+class FileInfo:
+    """A data file: name relative to the folder that was listed, full path, length, modification time (ms)."""
+
+    name: str
+    path: str
+    length: int
+    modified: int
+
+
+def list_files(spark: SparkSession, path: str) -> list[FileInfo]:
+    """The data files under a path (or the file itself), sorted by name; names that start with ``_`` or ``.`` are not data."""
+    fs, p = _jvm_fs(spark, path)
+    if not fs.exists(p):
+        return []
+    root = fs.getFileStatus(p).getPath().toString()
+    out = []
+    found = fs.listFiles(p, True)
+    while found.hasNext():
+        st = found.next()
+        full = st.getPath().toString()
+        name = full[len(root):].lstrip("/")
+        if not any(part[:1] in ("_", ".") for part in name.split("/") if "=" not in part):
+            out.append(FileInfo(name, full, int(st.getLen()), int(st.getModificationTime())))
+    return sorted(out, key=lambda f: f.name)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under a path (none if it does not exist)."""
+    fs, p = _jvm_fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+
+
+# Files whose first lines are read at the same time.
+HEADER_READERS = 16
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file, read by the file system: some buffers of it, whatever its length.
+
+    Compressed files are decoded as far as that line.  None for an empty file.
+    """
+    fs, p = _jvm_fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    raw = fs.open(p)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p)
+        stream = raw if codec is None else codec.createInputStream(raw)
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        raw.close()
+
+
 def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """The files of each header (one line of each file is read, by Spark)."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "_metadata.file_block_start", "value")
-    first = lines.where("file_block_start = 0").groupBy("file").agg(F.first("value").alias("head"))
+    """The files of each header; no job runs, and of each file only its beginning is read."""
+    paths = [f.path for f in list_files(spark, path) if f.length]
     out: dict[tuple[str, ...], list[str]] = {}
-    for r in first.orderBy("file").collect():  # one row for each file
-        header = tuple(next(csv.reader([r["head"]])))
-        out.setdefault(header, []).append(r["file"])
+    with cf.ThreadPoolExecutor(max_workers=HEADER_READERS) as pool:
+        for file, line in zip(paths, pool.map(lambda f: first_line(spark, f), paths), strict=True):
+            if line is not None:
+                out.setdefault(tuple(next(csv.reader([line.removeprefix("\ufeff")]))), []).append(file)
     return out
 
 
 def read_customers(spark: SparkSession, path: str, fmt: str = "csv", types: dict[str, T.DataType] | None = None) -> DataFrame:
     """Customer table with explicit types (no inference pass over the data).
 
-    For CSV only the header lines are read.  Known columns get their schema
+    For CSV only the beginning of each file is read before the scan.  Known columns get their schema
     type, others the type that ``types`` gives, else string.  Files of one
     folder may have their columns in any order: each order is read with its own
     header; a value that does not fit its type is an error.
@@ -82,15 +139,15 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 def write_predictions(df: DataFrame, path: str, threshold: float = 0.7, fmt: str = "csv",
                       p: str = "churn_probability") -> dict:
     """Write predictions and return the receipt {path, record_count,
-    high_risk_count, saved_at}; the counts are those of the written files (one
-    column is read back), so the receipt states what is really there."""
-    write_table(df, path, fmt)
-    written = df.sparkSession.read.schema(df.schema).option("header", True).format(fmt).load(path)
-    m = written.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(p) > F.lit(threshold)).alias("high")).first()
+    high_risk_count, saved_at}; the counts are observed on the rows as they are
+    written, so predictions are computed and read once."""
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("record_count"), F.count_if(F.col(p) > F.lit(threshold)).alias("high_risk_count")]
+    write_table(df.observe(seen, *counts), path, fmt)
     return {
         "path": path,
-        "record_count": int(m["n"]),
-        "high_risk_count": int(m["high"]),
+        "record_count": int(seen.get["record_count"]),
+        "high_risk_count": int(seen.get["high_risk_count"]),
         "saved_at": dt.datetime.now(dt.UTC).isoformat(),
     }
 
