@@ -34,3 +34,25 @@ def crc_mod(id_col: str, m: int) -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+HOT_ROWS = 1_000  # rows of one key that are never too many for a task
+HOT_KEYS = 50_000  # most keys that are broadcast
+
+
+def meet(rows: DataFrame, found: DataFrame, key: list[str]) -> DataFrame:
+    """``rows`` with the columns of ``found``, which has one row for each key, and their number n.
+
+    Keys of so many rows that they would crowd one task, at most ``HOT_KEYS`` of them, are broadcast.
+    """
+    limit = hot_limit(found.agg(F.sum("n")).first()[0] or 0)
+    hot = found.where(F.col("n") > limit).drop("n")
+    if hot.isEmpty():
+        return rows.join(found.drop("n"), key)
+    rest = rows.join(F.broadcast(hot.select(*key)), key, "left_anti").join(found.where(F.col("n") <= limit).drop("n"), key)
+    return rest.unionByName(rows.join(F.broadcast(hot), key))
+
+
+def hot_limit(total: int) -> int:
+    """Rows beyond which a key is hot; at most ``HOT_KEYS`` keys of ``total`` rows are."""
+    return max(HOT_ROWS, total // HOT_KEYS)

@@ -12,8 +12,9 @@ that is, if they share ``min_overlap`` shingles.
    sets share one of their first ``size - ceil(PERCENT * size / 100) + 1`` shingles,
    so a document is listed under these only.  The counters only order: a coarse
    one costs time, never a link.
-3. *Hubs.*  Lists with the same smallest node form one hub.  Members are compared by
-   counts of their shingles in ``BANDS`` bands of the hash range, whose smaller values add up
+3. *Hubs.*  A list in order of size is cut where no two sizes on either side can be linked; parts
+   with the same first node form one hub.  Members are compared by
+   counts of their shingles in ``BANDS`` or more bands of the hash range, whose smaller values add up
    to a bound of the overlap; those that may be linked with no other member are
    dropped.  (Hubs of more than ``FILTER_ROWS`` members skip this step.)
 4. *Search.*  A hub is cut into cells of about ``CELL`` shingles.  In a cell, every
@@ -35,7 +36,7 @@ broadcast of at most ``HOT_KEYS`` rows, all others by a shuffle.
 
 Defined results: rows that share an id are one node; a null id is a row whose
 component is that of the documents with the same set (null if there are none);
-repeated rows are kept; texts of any length are taken whole; an empty table gives no
+repeated rows are kept; a row without words is its own component; texts of any length are taken whole; an empty table gives no
 rows.  Other columns are not read, so their names cannot clash.  Shingles are told apart by
 64-bit hashes, sets of one class by 128 bits and their size.
 """
@@ -51,7 +52,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attrition.llm.common import materialize
+from attrition.llm.common import hot_limit, materialize, meet
 from attrition.llm.components import connected_components
 from attrition.llm.docstats import parse
 from attrition.llm.textbatch import chunks, mix64, release_memory, shingles
@@ -59,12 +60,10 @@ from attrition.llm.textbatch import chunks, mix64, release_memory, shingles
 N = 3
 PERCENT = 90
 SLOT_BITS = 20
-BANDS = 128
+BANDS = 128  # at least; a power of two, one for 32 shingles of larger sets
 CELL = 500_000
 PIVOTS = 16
 FILTER_ROWS = 1_000
-HOT_ROWS = 1_000
-HOT_KEYS = 50_000
 BROADCAST_IDS = 1_000_000
 MU = 0.01  # cost of a heap step against a binary probe (DivideSkip's tuning constant; no result depends on it)
 
@@ -140,56 +139,83 @@ def slot_counts(docs: DataFrame, n: int) -> np.ndarray:
     return np.minimum(total, np.iinfo(np.int32).max).astype(np.int32).ravel()
 
 
+def band_counts(s: np.ndarray) -> np.ndarray:
+    """Shingles of a set in each of equal parts of a hash range; larger sets have more parts."""
+    bits = max(BANDS.bit_length() - 1, int(len(s) // 32).bit_length())
+    band = (s * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
+    return np.bincount(band.astype(np.int64), minlength=1 << bits).astype(np.int32)
+
+
 def described_rows(docs: DataFrame, counts: np.ndarray, n: int) -> DataFrame:
-    """``doc_id, size, f1, f2, prefix, bands`` of every row."""
+    """``doc_id, size, f1, f2, prefix, cold, bands`` of every row; ``cold``: how many of the prefix are not in a hot slot."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
+    limit = hot_limit(int(counts.sum(dtype=np.int64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for batch in batches:
-            size, f1, f2, prefix, bands = [], [], [], [], []
+            size, f1, f2, prefix, cold, bands = [], [], [], [], [], []
             for s in shingle_sets(batch.column(1), n):
                 size.append(len(s))
                 f1.append(int(mix64(s ^ _SALT).sum(dtype=np.uint64).astype(np.int64)))
                 f2.append(int(mix64(s + _SALT).sum(dtype=np.uint64).astype(np.int64)))
                 first = len(s) - least_shared(len(s)) + 1 if len(s) else 0
-                order = np.argsort(table[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)], kind="stable")
-                prefix.append(s[order[:first]].view(np.int64))
-                band = (s * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(57)
-                bands.append(np.bincount(band.astype(np.int64), minlength=BANDS).astype(np.int32).tobytes())
+                slot = table[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
+                order = np.argsort(slot, kind="stable")[:first]
+                prefix.append(s[order].view(np.int64))
+                cold.append(int(np.searchsorted(slot[order], limit, "right")))
+                bands.append(band_counts(s).tobytes())
             for k in range(0, len(size), 2048):
                 cut = slice(k, k + 2048)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(k, 2048), pa.array(size[cut], pa.int64()), pa.array(f1[cut], pa.int64()), pa.array(f2[cut], pa.int64()),
-                        pa.array(prefix[cut], pa.list_(pa.int64())), pa.array(bands[cut], pa.binary()),
+                        pa.array(prefix[cut], pa.list_(pa.int64())), pa.array(cold[cut], pa.int32()), pa.array(bands[cut], pa.binary()),
                     ],
-                    names=["doc_id", "size", "f1", "f2", "prefix", "bands"],
+                    names=["doc_id", "size", "f1", "f2", "prefix", "cold", "bands"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, size long, f1 long, f2 long, prefix array<long>, bands binary")
-
-
-def meet(rows: DataFrame, found: DataFrame, key: list[str]) -> DataFrame:
-    """``rows`` with the columns of ``found``, which has one row for each key, and their number n.
-
-    Keys of so many rows that they would crowd one task, at most ``HOT_KEYS`` of them, are broadcast.
-    """
-    total = found.agg(F.sum("n")).first()[0] or 0
-    limit = max(HOT_ROWS, total // HOT_KEYS)
-    hot = found.where(F.col("n") > limit).drop("n")
-    if hot.isEmpty():
-        return rows.join(found.drop("n"), key)
-    rest = rows.join(F.broadcast(hot.select(*key)), key, "left_anti").join(found.where(F.col("n") <= limit).drop("n"), key)
-    return rest.unionByName(rows.join(F.broadcast(hot), key))
+    return docs.mapInArrow(run, "doc_id long, size long, f1 long, f2 long, prefix array<long>, cold int, bands binary")
 
 
 def hub_members(classes: DataFrame) -> DataFrame:
-    """``hub, member``: the members of all lists with the same smallest node."""
-    posts = classes.select("node", F.explode("prefix").alias("value"))
-    lists = posts.groupBy("value").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    lists = materialize(lists, "overlap-lists")
-    return materialize(meet(posts, lists, ["value"]).select("hub", F.col("node").alias("member")).distinct(), "overlap-hubs")
+    """``hub, member``: the members of all lists with the same smallest node; a list is cut where no two sizes across fit."""
+    posts = classes.select("node", "size", F.explode(F.expr("slice(prefix, 1, cold)")).alias("value"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        value, size, low = None, 0, 0  # of the row before: list, size, hub of its part
+        held: int | None = None  # a node that is alone in its part so far
+        for batch in batches:
+            v, s, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            if not len(v):
+                continue
+            new = np.ones(len(v), dtype=bool)
+            new[1:] = (v[1:] != v[:-1]) | (100 * s[:-1] < PERCENT * s[1:])
+            new[0] = value is None or v[0] != value or 100 * size < PERCENT * s[0]
+            start = np.flatnonzero(new)
+            part = np.cumsum(new) - 1
+            alone = np.diff(np.append(start, len(v))) == 1
+            hubs = n[start]
+            if not new[0]:  # goes on from the last batch
+                hubs = np.append(low, hubs)
+                part = part + 1
+                first = int(start[0]) if len(start) else len(v)
+                alone = np.append(False, alone)
+                if held is not None and first:
+                    yield pa.RecordBatch.from_arrays([pa.array([low]), pa.array([held])], names=["hub", "member"])
+            keep = ~alone[part]
+            last = part[-1]
+            value, size, low = v[-1], int(s[-1]), int(hubs[last])
+            held = int(n[-1]) if alone[last] else None
+            yield pa.RecordBatch.from_arrays([pa.array(hubs[part[keep]]), pa.array(n[keep])], names=["hub", "member"])
+
+    cold = posts.repartition("value").sortWithinPartitions("value", "size", "node").select("value", "size", "node")
+    pairs = cold.mapInArrow(run, "hub long, member long")
+    # lists that many documents may share: their hubs by aggregation
+    hot = classes.select("node", F.explode(F.expr("slice(prefix, cold + 1, size(prefix))")).alias("value"))
+    lists = materialize(hot.groupBy("value").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1"), "overlap-lists")
+    pairs = pairs.unionByName(meet(hot, lists, ["value"]).select("hub", F.col("node").alias("member")))
+    return materialize(pairs.distinct(), "overlap-hubs")
 
 
 # -- groups within a task ---------------------------------------------------
@@ -216,17 +242,28 @@ def groups(batches: Iterator[pa.RecordBatch], keys: int, most: int | None = None
         yield pa.Table.from_batches(held)
 
 
-def plausible(size: np.ndarray, bands: np.ndarray) -> np.ndarray:
+def plausible(size: np.ndarray, bands: list[np.ndarray]) -> np.ndarray:
     """Which of some sets may be linked with another one of them, by sizes and band counts."""
     order = np.argsort(size, kind="stable")
-    size, bands = size[order], bands[order]
+    size, bands = size[order], [bands[k] for k in order]
+    width = np.array([len(b) for b in bands])
     ok = np.zeros(len(size), dtype=bool)
+    folded: dict[int, np.ndarray] = {}  # sets of w or 2 w bands as rows of w; sizes that fit differ by no more
+
+    def rows_of(w: int) -> tuple[np.ndarray, int]:
+        lo, hi = np.searchsorted(width, [w, 2 * w + 1])
+        if w not in folded:
+            folded[w] = np.stack([b.reshape(w, -1).sum(axis=1) for b in bands[lo:hi]])
+        return folded[w], int(lo)
+
     for i in range(len(size) - 1):
-        end = np.searchsorted(size, size[i] * 100 // PERCENT, "right")
-        bound = np.minimum(bands[i], bands[i + 1 : end]).sum(axis=1)
-        near = np.flatnonzero(bound >= min_overlap(size[i], size[i + 1 : end]))
-        ok[i] |= len(near) > 0
-        ok[i + 1 + near] = True
+        end = int(np.searchsorted(size, size[i] * 100 // PERCENT, "right"))
+        if end > i + 1:
+            rows, lo = rows_of(int(width[i]))
+            bound = np.minimum(rows[i - lo], rows[i + 1 - lo : end - lo]).sum(axis=1)
+            near = np.flatnonzero(bound >= min_overlap(size[i], size[i + 1 : end]))
+            ok[i] |= len(near) > 0
+            ok[i + 1 + near] = True
     out = np.zeros(len(size), dtype=bool)
     out[order] = ok
     return out
@@ -235,8 +272,7 @@ def plausible(size: np.ndarray, bands: np.ndarray) -> np.ndarray:
 def candidates(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """``hub, member, size`` without members that cannot be linked with any other member of the hub."""
     hubs = pairs.groupBy("hub").agg(F.count("*").alias("n"))
-    limit = max(HOT_ROWS, (pairs.count() or 0) // HOT_KEYS)
-    hot = F.broadcast(hubs.where(F.col("n") > limit).select("hub"))
+    hot = F.broadcast(hubs.where(F.col("n") > hot_limit(pairs.count())).select("hub"))
     sizes = classes.select(F.col("node").alias("member"), "size", "bands")
     large = pairs.join(hot, "hub", "left_semi").join(sizes.drop("bands"), "member").select("hub", "member", "size")
 
@@ -244,7 +280,7 @@ def candidates(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         for table in groups(batches, 1, FILTER_ROWS):
             out = table.drop_columns(["bands"]).combine_chunks()
             if table.num_rows <= FILTER_ROWS and not table.column("whole").to_pylist()[0]:
-                bands = np.frombuffer(b"".join(table.column("bands").to_pylist()), dtype=np.int32).reshape(-1, BANDS)
+                bands = [np.frombuffer(x, dtype=np.int32) for x in table.column("bands").to_pylist()]
                 out = out.filter(pa.array(plausible(out["size"].to_numpy(), bands)))
             yield from out.drop_columns(["whole"]).to_batches()
 
@@ -450,7 +486,7 @@ def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _classes(rows: DataFrame) -> DataFrame:
     """One row for each distinct set: its smallest id, its number of rows, prefix and bands."""
     found = rows.where("size > 0").groupBy("size", "f1", "f2").agg(
-        F.min("doc_id").alias("node"), F.count("*").alias("n"), F.first("prefix").alias("prefix"), F.first("bands").alias("bands"))
+        F.min("doc_id").alias("node"), F.count("*").alias("n"), F.first("prefix").alias("prefix"), F.first("cold").alias("cold"), F.first("bands").alias("bands"))
     return materialize(found, "overlap-classes")
 
 

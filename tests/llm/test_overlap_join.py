@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pytest
 
-from attrition.llm import overlap_join
+from attrition.llm import common, overlap_join
 from attrition.llm.overlap_join import Cell, merge_skip, min_overlap, probe
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -71,7 +71,7 @@ def test_equals_all_pairs(spark, cell, pivots):
 
 def test_chains_and_a_passage_that_all_share(spark, monkeypatch):
     monkeypatch.setattr(overlap_join, "SLOT_BITS", 4)  # hardly any order
-    monkeypatch.setattr(overlap_join, "HOT_ROWS", 5)
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
     monkeypatch.setattr(overlap_join, "FILTER_ROWS", 8)
     rng = np.random.default_rng(2)
     passage = " ".join(f"p{k}" for k in range(90))
@@ -83,6 +83,25 @@ def test_chains_and_a_passage_that_all_share(spark, monkeypatch):
     assert run(spark, docs, cell=400) == brute(docs)
 
 
+def test_lists_are_cut_by_size_and_go_on_over_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        rows = [(1, 10, [7, 8], 2), (2, 10, [7], 1), (3, 11, [7], 1), (4, 20, [7], 1), (5, 21, [7], 1), (6, 22, [8], 1), (7, 99, [9], 1), (8, 100, [9], 0), (9, 5, [9], 0)]
+        got = overlap_join.hub_members(spark.createDataFrame(rows, "node long, size long, prefix array<long>, cold int")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {(r.hub, r.member) for r in got} == {(1, 1), (1, 2), (1, 3), (4, 4), (4, 5), (8, 8), (8, 9)}
+
+
+def test_band_counts_bound_the_overlap():
+    rng = np.random.default_rng(8)
+    for n in (50, 4000, 9000):
+        base = rng.integers(0, 2**63, n).astype(np.uint64)
+        sets = [np.unique(np.append(base[: int(n * f)], rng.integers(0, 2**63, n - int(n * f)).astype(np.uint64))) for f in (1.0, 0.97, 0.5, 0.1)]
+        ok = overlap_join.plausible(np.array([len(s) for s in sets]), [overlap_join.band_counts(s) for s in sets])
+        assert ok[:2].all() and not ok[3]
+
+
 def test_partitions_and_slots_do_not_matter(spark, monkeypatch):
     docs = near_copies(np.random.default_rng(3), 4, 8)
     want = run(spark, docs)
