@@ -32,11 +32,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from attrition.llm.labelled import one_text
 from attrition.llm.textbatch import Texts, chunks, doc_of, hash_prefix, mix64, per_doc, span_hashes, words
 
 BITS = 17
 DIM = 1 << BITS
+FIT_EACH = 50  # documents of each language that come first
+FIT_BYTES = 1 << 17
 FIT_DOCS = 1_500
 PIECE = 12  # words of one document in a row in a training sequence
 SEQUENCE = 24
@@ -255,14 +259,22 @@ def fit(
     lang_col: str = "lang",
     rows: int = FIT_DOCS,
 ) -> Crf:
-    """Train on at most ``rows`` documents with a text and a language that meet ``where`` (on ``doc_id``)."""
+    """Train on at most ``rows`` documents with a text and a language that meet ``where`` (on ``doc_id``).
+
+    Documents of smallest id hash, of every language ``FIT_EACH`` first (as far as ``rows`` allows), so that
+    rare languages are learned, too.  Texts of more than ``FIT_BYTES`` are not fitted on, and of the rows of an id one is
+    taken: the driver holds ``rows * FIT_BYTES`` at most.
+    """
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    ids = named.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
+    usable = named.where((F.octet_length("text") <= FIT_BYTES) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     if where is not None:
-        ids = ids.where(where)
-    ids = ids.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    found = named.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).join(F.broadcast(ids), "doc_id").collect()
-    found = sorted({tuple(r) for r in found})
+        usable = usable.where(where)
+    ids = usable.groupBy("doc_id").agg(F.min("lang").alias("lang")).withColumn("h", F.xxhash64("doc_id"))
+    mine = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
+    ids = ids.withColumn("at", mine).where(F.col("at") <= rows)  # the limit is taken before the shuffle, too
+    ids = ids.orderBy(F.when(F.col("at") <= FIT_EACH, F.col("at")).otherwise(FIT_EACH + 1), "h", "doc_id").limit(rows)
+    found = one_text(usable.join(F.broadcast(ids.select("doc_id")), "doc_id"), "lang").collect()
+    found = sorted((r["doc_id"], r["text"], r["lang"]) for r in found)
     return train([r[1] for r in found], [r[2] for r in found])
 
 

@@ -71,3 +71,21 @@ def test_query_held_out(spark):
         if r.held_out:
             hits.append(r.lang_pred == lang[r.doc_id])
     assert np.mean(hits) > 0.97
+
+
+def test_sample_is_bounded_and_rare_languages_are_learned(spark, monkeypatch):
+    import attrition.llm.crf_language as crf
+
+    taken = {}
+
+    def train(texts, labels):
+        taken["rows"] = list(zip(texts, labels, strict=True))
+        return None
+
+    monkeypatch.setattr(crf, "train", train)
+    rows = [(i, f"common text {i}", "aa") for i in range(400)] + [(1000 + i, f"seltener Text {i}", "bb") for i in range(3)]
+    rows += [(7, "x" * (crf.FIT_BYTES + 1), "cc"), (8, "same id", "aa"), (8, "same id", "aa"), (9, None, "aa"), (None, "no id", "dd")]
+    crf.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows=60)
+    assert len(taken["rows"]) == 60
+    assert sum(lang == "bb" for _, lang in taken["rows"]) == 3
+    assert all(len(t) <= crf.FIT_BYTES for t, _ in taken["rows"]) and {lang for _, lang in taken["rows"]} == {"aa", "bb"}
