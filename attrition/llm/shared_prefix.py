@@ -26,6 +26,7 @@ not read by :func:`encode` and pass unchanged through :func:`with_pieces`.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from itertools import chain
@@ -109,18 +110,37 @@ class Pieces:
                     raise ValueError("a piece is made of later pieces")
 
     def merge(self, word: str, keep_last: bool = False) -> list[str]:
-        """Greedy merging: best score first, leftmost of equals; ``keep_last`` stops before the last merge into one."""
-        parts = list(word)
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                j = self.ids.get(parts[i] + parts[i + 1])
-                if j is not None and (best is None or self.score[j] > best):
-                    best, at = self.score[j], i
-            if best is None or (keep_last and len(parts) == 2):
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        """Greedy merging: best score first, leftmost of equals; ``keep_last`` stops before the last merge into one.
+
+        Neighbouring pairs wait in a heap, so a word of n characters takes n log n steps.
+        """
+        parts: list[str | None] = list(word)
+        n = left = len(parts)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        ids, score = self.ids, self.score
+        heap: list[tuple[float, int, str, str]] = []
+
+        def offer(i: int, j: int) -> None:
+            k = ids.get(parts[i] + parts[j])
+            if k is not None:
+                heapq.heappush(heap, (-score[k], i, parts[i], parts[j]))
+
+        for i in range(n - 1):
+            offer(i, i + 1)
+        while heap and not (keep_last and left == 2):
+            _, i, a, b = heapq.heappop(heap)
+            j = after[i]
+            if parts[i] != a or j >= n or parts[j] != b:
+                continue  # one of them was merged since
+            parts[i], parts[j] = a + b, None
+            left -= 1
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+                offer(i, after[i])
+            if before[i] >= 0:
+                offer(before[i], i)
+        return [p for p in parts if p is not None]
 
 
 class Encoder:

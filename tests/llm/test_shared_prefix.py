@@ -82,3 +82,9 @@ def test_odd_rows(spark, odd_docs, library):
     assert all(r.pieces == library.encode(r.text or "") for r in wide.collect())
     assert m.encode(odd_docs.limit(0), PATH).collect() == []
     assert np.array(m.with_pieces(odd_docs.limit(0), PATH).collect()).size == 0
+
+
+def test_long_runs_of_spaces(library):
+    enc = m.Encoder(m.load(PATH)[1])
+    texts = [" " * 20_000 + "word", "a" + " " * 20_001 + "b c", " " * 9_999, "\t" + " " * 5_000 + "x" * 5_000 + " " * 3]
+    same(enc, library, texts)
