@@ -16,11 +16,13 @@ or more; a component is a set of documents that links join.
    documents share are then not listed, unless they make up the document.
 3. *Hubs.*  Each list links its members to its smallest id, the hub, so a list
    of any length gives as many pairs as members.  Pairs pass a size filter, then
-   the exact Jaccard similarity of the full sets decides.
+   the union sketch (the K smallest values of both) estimates their similarity: with
+   fewer than ``SHARE`` of its values in common, a pair is no link (at similarity 0.8 the
+   chance of that is the one stated above).  The exact Jaccard similarity of the full sets decides.
 4. *Rest.*  Two members of a hub's lists may be linked though they are not
    joined through the hub.  Members outside the hub's largest component are
    compared with all its members in other components, in blocks of bounded
-   size: shared sketch values, then the full sets.  Only links leave a block.  A pair is looked at under its smallest
+   size: shared sketch values, union sketches, then the full sets.  Only links leave a block.  A pair is looked at under its smallest
    common hub alone.  No pair that may be a link between different components
    is left out, and no pair within a component needs a look.
 
@@ -43,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from attrition.llm.common import materialize
+from attrition.llm.common import materialize, meet
 from attrition.llm.components import connected_components
 from attrition.llm.docstats import parse
 from attrition.llm.textbatch import chunks, mix64, shingles
@@ -51,7 +53,6 @@ from attrition.llm.textbatch import chunks, mix64, shingles
 K = 64
 PERCENT = 80
 SHARE = 0.4
-MARGIN = 5.0
 REST_BLOCK = 250_000  # shingles
 MEMBER_BLOCK = 500_000
 
@@ -101,14 +102,19 @@ def sizes_fit(a: str, b: str) -> Column:
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
-def slack(k: int) -> float:
-    """``MARGIN`` standard errors of an estimate from k values at the threshold."""
-    t = PERCENT / 100
-    return MARGIN * float(np.sqrt(t * (1 - t) / k))
+def estimate(a: np.ndarray, b: np.ndarray) -> float:
+    """Similarity of two sets (sorted arrays) as the K smallest values of their union tell it."""
+    low = np.union1d(a[:K], b[:K])[:K]
+    if not len(low):
+        return 0.0
+    both = np.intersect1d(a[:K], b[:K], assume_unique=True)
+    return int(np.searchsorted(both, low[-1], "right")) / len(low)
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two full sets (sorted arrays) reach the threshold."""
+    """Whether two full sets (sorted arrays) reach the threshold; the estimate rules most others out."""
+    if estimate(a, b) < SHARE:
+        return False
     both = len(np.intersect1d(a, b, assume_unique=True))
     return both > 0 and 100 * both >= PERCENT * (len(a) + len(b) - both)
 
@@ -218,9 +224,7 @@ def _compare_block(block: pd.DataFrame) -> pd.DataFrame:
         count = hi - lo
         at = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(count.sum())
         shared = np.bincount(owner[at], minlength=len(ids))
-        # a union sketch of K values has at most ``shared`` common ones
-        least = np.where((width < K) | (len(a) < K), SHARE * np.minimum(width, len(a)), (PERCENT / 100 - slack(K)) * K)
-        near = (comp != c) & (shared >= np.minimum(least, SHARE * K)) & (shared > 0)
+        near = (comp != c) & (shared >= SHARE * np.minimum(width, min(len(a), K))) & (shared > 0)
         near &= 100 * np.minimum(size, len(a)) >= PERCENT * np.maximum(size, len(a))
         for h in hubs:
             if int(h) in earlier:
@@ -233,10 +237,9 @@ def components(docs: DataFrame, n: int = 5, id_col: str = "doc_id", text_col: st
     """``doc_id, n_shingles, component_id, kept`` of every row of ``docs``."""
     rows = materialize(sketches(docs, n, id_col, text_col), "near-sketches")
     key = ["size", "f1", "f2"]
-    classes = rows.where("size > 0").groupBy(*key).agg(F.min("doc_id").alias("node")).where("node IS NOT NULL")
-    classed = rows.join(classes, key, "left")
-    nodes = classed.where("doc_id = node").select("node", "size", "sketch", "f1", "f2").dropDuplicates(["node", "f1", "f2"])
-    nodes = materialize(nodes.drop("f1", "f2"), "near-nodes")
+    classes = rows.where("size > 0").groupBy(*key).agg(F.min("doc_id").alias("node"), F.count("*").alias("n"), F.first("sketch").alias("sketch"))
+    classes = materialize(classes, "near-classes")
+    nodes = classes.where("node IS NOT NULL").select("node", "size", "sketch")
     members = hub_members(listed(nodes)).join(nodes.groupBy("node").agg(F.max("size").alias("size")), F.col("member") == F.col("node"))
     members = materialize(members.select("hub", "member", "size"), "near-members")
     sets = member_sets(members.select(F.col("member").alias("doc_id")).distinct(), docs, n, id_col, text_col)
@@ -244,17 +247,23 @@ def components(docs: DataFrame, n: int = 5, id_col: str = "doc_id", text_col: st
     star = members.where("hub <> member").join(hub, "hub").where(sizes_fit("size", "hub_size"))
     links = materialize(verify(star.select(F.col("member").alias("a"), F.col("hub").alias("b")), sets), "near-links")
     # rows that share an id join their classes
-    several = classed.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("top")).where("b < top").drop("top")
-    shared_id = classed.join(several, "doc_id").select(F.col("node").alias("a"), "b")
+    slim = rows.select("doc_id", *key)
+    several = slim.where("size > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min(F.struct(*key)).alias("low"), F.max(F.struct(*key)).alias("high")).where("low <> high").select("doc_id")
+    shared_id = meet(slim.join(several, "doc_id"), classes.select(*key, "node", "n"), key)
+    shared_id = shared_id.select(F.greatest("doc_id", "node").alias("a"), F.least("doc_id", "node").alias("b"))
     found = connected_components(links)
     labelled = members.join(found, members["member"] == found["node"], "left")
     labelled = labelled.select("hub", "member", "size", F.coalesce("component", "member").alias("component"))
     all_hubs = members.groupBy("member").agg(F.collect_set("hub").alias("hubs"))  # at most one for each of its lists
     more = materialize(_rest_links(labelled.join(all_hubs, "member"), sets), "near-rest")
     found = connected_components(links.unionByName(more).unionByName(shared_id))
-    out = classed.withColumn("own", F.coalesce("node", "doc_id"))
-    out = out.join(found.withColumnRenamed("node", "own"), "own", "left")
-    component = F.coalesce("component", "own")
+    labels = classes.select(*key, "node", "n").join(found, "node", "left")
+    labels = materialize(labels.select(*key, "n", F.coalesce("component", "node").alias("component")), "near-labels")
+    empty = slim.where("size = 0").join(found, slim["doc_id"] == found["node"], "left")
+    empty = empty.select("doc_id", "size", F.coalesce("component", "doc_id").alias("component"))
+    out = meet(slim.where("size > 0"), labels, key).select("doc_id", "size", "component").unionByName(empty)
+    component = F.col("component")
     return out.select(
         "doc_id",
         F.col("size").alias("n_shingles"),

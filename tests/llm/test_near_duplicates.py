@@ -113,3 +113,29 @@ def test_shares_of_sketches_lose_no_link():
     least = math.ceil(nd.SHARE * nd.K)
     t = nd.PERCENT / 100
     assert sum(math.comb(nd.K, i) * t**i * (1 - t) ** (nd.K - i) for i in range(least)) < 1e-12
+
+
+def test_union_sketch_estimates_and_keeps_links():
+    rng = np.random.default_rng(9)
+    for n in (30, 64, 400, 3000):
+        base = np.sort(rng.choice(2**62, n, replace=False)).astype(np.int64)
+        errors = []
+        for _ in range(60):
+            keep = int(n * rng.uniform(0.3, 1.0))
+            other = np.unique(np.append(rng.choice(base, keep, replace=False), rng.integers(0, 2**62, n - keep)))
+            both = len(np.intersect1d(base, other))
+            true = both / (len(base) + len(other) - both)
+            errors.append(nd.estimate(base, other) - true)
+            if len(np.union1d(base, other)) <= nd.K:
+                assert errors[-1] == 0
+            assert nd.similar(base, other) == (100 * both >= 80 * (len(base) + len(other) - both))
+        assert abs(np.mean(errors)) < 0.03
+    none = np.zeros(0, np.int64)
+    assert nd.estimate(none, none) == 0.0
+
+
+def test_a_linked_pair_is_lost_with_a_chance_below_1e_12():
+    from math import comb
+
+    few = int(np.ceil(nd.SHARE * nd.K)) - 1
+    assert sum(comb(64, i) * 0.8**i * 0.2 ** (64 - i) for i in range(few + 1)) < 1e-12
