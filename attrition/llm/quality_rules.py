@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from attrition.llm.docstats import Parsed, base_counts, base_failed, parse
 from attrition.llm.labelled import labelled_sample
@@ -121,27 +122,27 @@ def platt(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = FIT_ROWS) -> NgramModel:
     """Fit the model on at most ``rows`` labelled documents (four fifths fit, one fifth calibrates)."""
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.linalg import SparseVector, VectorUDT
+    from pyspark.ml.linalg import VectorUDT
 
     sample = labelled_sample(docs, labels, rows, id_col=id_col, text_col=text_col)
     held = F.pmod(F.xxhash64(F.lit("calibrate"), "doc_id"), F.lit(5)) == 0
 
+    # the stored form of a sparse vector, so that no second Python worker has to make it
+    vector = pa.struct([("type", pa.int8()), ("size", pa.int32()), ("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
+
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [f for t in chunks(batch.column(0)) for f in features(parse(t))]
             for k in range(0, len(found), 256):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([c for c, _ in found[k : k + 256]], pa.list_(pa.int32())),
-                        pa.array([v for _, v in found[k : k + 256]], pa.list_(pa.float64())),
-                        batch.column(1).slice(k, 256),
-                    ],
-                    names=["cells", "vals", "label"],
-                )
-
-    to_vector = F.udf(lambda c, v: SparseVector(DIM, c, v), VectorUDT())
-    train = sample.where(~held).select("text", "label").mapInArrow(vectors, "cells array<int>, vals array<double>, label int")
-    train = train.select(to_vector("cells", "vals").alias("features"), F.col("label").cast("double").alias("label"))
+                part = found[k : k + 256]
+                parts = [
+                    pa.array([0] * len(part), pa.int8()), pa.array([DIM] * len(part), pa.int32()),
+                    pa.array([c for c, _ in part], pa.list_(pa.int32())), pa.array([v for _, v in part], pa.list_(pa.float64())),
+                ]
+                rows = pa.StructArray.from_arrays(parts, fields=list(vector))
+                yield pa.RecordBatch.from_arrays([rows, batch.column(1).slice(k, 256).cast(pa.float64())], names=["features", "label"])
+
+    train = sample.where(~held).select("text", "label").mapInArrow(vectors, StructType([StructField("features", VectorUDT()), StructField("label", DoubleType())]))
     train = train.repartition(shuffle_width(rows)).persist()
     try:
         found = {int(r["label"]) for r in train.select("label").distinct().collect()}
