@@ -26,9 +26,12 @@ restaurant is that of the symbol before it; all share the root.  A context of
 symbols is opened if it holds at least 1/``OPEN`` of the customers (else they
 count at the root), which bounds this parent alone.  The chains of its Gibbs
 sampler run as Spark tasks.  Sampling starts with the model of all pair counts;
-the cells of words are seated once on it (``c`` customers, ``t`` tables), then
-the symbols are sampled again with those tables as their customers.  One
-seating of the words is kept, so their level is a single draw.
+the tables of word cells are drawn given it and a table for each other cell of the
+restaurant (``c`` customers, ``t`` tables), then
+the symbols are sampled again with those tables as their customers.  A
+word's probability is linear in the tables, so their conditional mean stands for the
+average over draws of that level.  A draw depends on its cell alone (a hash of the pair),
+so the scores do not depend on the partitions.
 
 Within a class a word is drawn from a Pitman-Yor restaurant of its own over all
 training tokens: ``(c - d) / (theta + C)`` for a word with training count c, and
@@ -347,15 +350,15 @@ def seat_cells(cells: DataFrame, words: DataFrame, model: py.SymbolModel, c: np.
             base = 10 ** model.log10(y["symbols"].astype(np.uint64))
             base = np.where(cls >= 0, base * (word - py.DISCOUNT) / of_class[cls], base)
             others = np.where(y["u"] >= 0, tables[y["u"]], y["own"]) - 1
-            rng = np.random.default_rng(int(np.bitwise_xor.reduce(x["pair"].view(np.uint64), initial=np.uint64(0))))
-            t[many] = py.seat(rng, y["n"].astype(float), (py.STRENGTH + py.DISCOUNT * others) * base)
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), pa.array(t.astype(np.int64))], names=[*kept, "t"])
+            mean = t.copy()
+            t[many], mean[many] = py.seat_by_key(y["pair"], y["n"].astype(float), others, base)
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), pa.array(t.astype(np.int64)), pa.array(mean)], names=[*kept, "t", "m"])
 
     kept = ["bucket", "pair", "n", "symbols", "u", "v", "before", "word", "held"]
     asks = (F.col("n") > 1) & (F.col("v") < 0)  # only these need the count of an infrequent word
     far = cells.where(asks).join(words.select("word", F.col("n").alias("c")), "word")
     all_cells = cells.where(~asks).withColumn("c", F.lit(1).cast("long")).unionByName(far)
-    return materialize(all_cells.mapInArrow(run, CELL + ", held long, t long"), "lm-seated")
+    return materialize(all_cells.mapInArrow(run, CELL + ", held long, t long, m double"), "lm-seated")
 
 
 PACKED = "bucket int, pack long, head binary, row binary, pair binary, base binary, times binary, rare binary, before binary, word binary, class binary"
@@ -436,7 +439,7 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     tables = materialize(tables, "lm-tables")
     places = len(tier.words) + 1
     customers = by_place(seated, "u", F.col("n"), places) + py.STRENGTH
-    new_table = (by_place(seated, "u", F.col("t"), places) * py.DISCOUNT + py.STRENGTH) / customers
+    new_table = (by_place(seated, "u", F.col("m"), places) * py.DISCOUNT + py.STRENGTH) / customers
     in_class = np.zeros(CLASSES)
     for r in words.where("n > 0").groupBy("class").count().collect():  # at most CLASSES rows
         in_class[r["class"]] = r["count"]
@@ -444,10 +447,10 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     np.subtract.at(in_class, tier.classes[tier.symbol >= 0], 1)
     each = float(np.log10(tokens + 0.5 * (types + 1)))
 
-    hot = seated.where((F.col("u") >= 0) & (F.col("n") >= max(1, -(-tokens // HOT_CELLS)))).select("pair", "n", "t", "u").toPandas()
+    hot = seated.where((F.col("u") >= 0) & (F.col("n") >= max(1, -(-tokens // HOT_CELLS)))).select("pair", "n", "m", "u").toPandas()
     hot = hot.sort_values("pair")  # no more than HOT_CELLS pairs have that share of all tokens
     hot_pair, hot_u = hot["pair"].to_numpy(dtype=np.int64), hot["u"].to_numpy(dtype=np.int64)
-    hot_share = (hot["n"].to_numpy(dtype=float) - py.DISCOUNT * hot["t"].to_numpy(dtype=float)) / customers[hot_u]
+    hot_share = (hot["n"].to_numpy(dtype=float) - py.DISCOUNT * hot["m"].to_numpy(dtype=float)) / customers[hot_u]
     new_word = py.STRENGTH + py.DISCOUNT * in_class
     inside = np.where(tier.symbol < 0, np.where(c > 0, c - py.DISCOUNT, new_word[tier.classes]) / of_class[tier.classes], 1.0)
     shared = spark.sparkContext.broadcast((fit_model(tables), tier, c, inside, new_table, hot_pair, hot_share))
@@ -496,10 +499,10 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
         rare = cell["u"] < 0
         before, first, at = np.unique(cell["before"][rare], return_index=True, return_inverse=True)
         in_rare = cell["held"][rare][first] + py.STRENGTH
-        new_rare = (np.bincount(at, cell["t"][rare], len(before)) * py.DISCOUNT + py.STRENGTH) / in_rare
+        new_rare = (np.bincount(at, cell["m"][rare], len(before)) * py.DISCOUNT + py.STRENGTH) / in_rare
         held = cell["held"] + py.STRENGTH
         held[~rare] = customers[cell["u"][~rare]]
-        share = (cell["n"] - py.DISCOUNT * cell["t"]) / held
+        share = (cell["n"] - py.DISCOUNT * cell["m"]) / held
         out = []
         for r in left.to_pylist():
             if r["head"] is not None:
@@ -531,7 +534,7 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     lists = (("uid", pa.int64()), ("word", pa.int64()), ("class", pa.int32()), ("a", pa.float64()), ("b", pa.float64()), ("times", pa.int32()))
     parts_schema = pa.schema([("pack", pa.int64()), ("head", pa.binary()), ("row", pa.binary()), ("part", pa.binary()), *((n, pa.list_(kind)) for n, kind in lists)])
     packed = named.select("doc_id", "text", "train").mapInArrow(run, PACKED)
-    table = seated.select("bucket", "pair", "n", "t", "u", "before", "held")
+    table = seated.select("bucket", "pair", "n", "m", "u", "before", "held")
     parts = packed.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInArrow(look_up, PARTS)
     parts = materialize(parts, "lm-parts")
 
