@@ -251,39 +251,29 @@ def boxplot_stats(df: DataFrame, cols: list[str], by: str = LABEL, method: str =
     return rows.groupBy(by).agg(F.array(*structs).alias("_s")).select(by, F.inline("_s"))
 
 
-# Up to this many columns, ``corr`` of each pair is one aggregate; their number grows with the square of the columns.
+# Up to this many columns each pair has aggregates of its own; their number grows with the square of the columns.
 PAIRWISE_MAX_COLS = 24
 
 
 def corr_long(df: DataFrame, cols: list[str], method: str = "auto") -> DataFrame:
     """Pearson correlation of every pair, long form (col_a, col_b, corr).
 
-    Rows where both values are present count for a pair (as in pandas).  A column that does not vary has a
-    null correlation; the diagonal is 1.  ``pairs``: one ``corr`` aggregate for each unordered pair of columns,
-    for narrow tables without nulls (both orientations reuse it).  ``gram``: one matrix of moments (:func:`_corr_gram`), for wide tables and
-    tables with nulls.  ``auto`` chooses after one aggregate of null counts and ranges.
+    Rows where both values are present count for a pair (as in pandas).  A column that does not vary on them has a
+    null correlation; the diagonal is 1.  ``pairs``: two ``regr_slope`` aggregates for each unordered pair of columns,
+    whose product is the squared correlation (``corr`` itself divides by zero on a constant column), used for both
+    orientations.  ``gram``: one matrix of moments (:func:`_corr_gram`).  ``auto`` chooses by the number of columns.
     """
-    varying = cols
-    if method == "auto" and len(cols) > PAIRWISE_MAX_COLS:
-        method = "gram"
-    if method != "gram":
-        parts = [p for i, c in enumerate(map(qn, cols)) for p in (
-            F.count_if(F.col(c).isNull()).alias(f"n{i}"), (F.min(c) < F.max(c)).alias(f"v{i}"))]
-        row = df.agg(*parts).first()
-        varying = [c for i, c in enumerate(cols) if row[f"v{i}"]]
-        if method == "auto" and any(row[f"n{i}"] for i in range(len(cols))):
-            method = "gram"
-    if method == "gram":
+    if method == "gram" or (method == "auto" and len(cols) > PAIRWISE_MAX_COLS):
         return _corr_gram(df, cols)
     structs = []
     for a, b in itertools.combinations(cols, 2):
-        # ``corr`` divides by zero on a constant column
-        v = f"corr(CAST({qn(a)} AS DOUBLE), CAST({qn(b)} AS DOUBLE))" if a in varying and b in varying else "CAST(NULL AS DOUBLE)"
+        x, y = f"CAST({qn(a)} AS DOUBLE)", f"CAST({qn(b)} AS DOUBLE)"
+        v = f"sign(regr_slope({y}, {x})) * sqrt(regr_slope({y}, {x}) * regr_slope({x}, {y}))"
         structs.append(f"struct('{a}' AS col_a, '{b}' AS col_b, {v} AS corr)")
         structs.append(f"struct('{b}' AS col_a, '{a}' AS col_b, {v} AS corr)")
     for a in cols:
         structs.append(f"struct('{a}' AS col_a, '{a}' AS col_b, CAST(1.0 AS DOUBLE) AS corr)")
-    return df.selectExpr("count(1) AS _n", f"array({', '.join(structs)}) AS _s").select(F.inline("_s"))
+    return df.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 def _corr_gram(df: DataFrame, cols: list[str]) -> DataFrame:

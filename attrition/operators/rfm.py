@@ -24,6 +24,7 @@ Null values have no rank and no bin on either path.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -204,6 +205,11 @@ def fit_cuts(df: DataFrame, cols: list[str], id_col: str = ID, q: int = 5, metho
     else:
         found = select_ranks(df, cols, lambda n: cut_ranks_expr(n, q), id_col=id_col)
         rows = found.select("c", "k", "n", "value", "id", "r", "m").collect()
+    return _rank_cuts(rows, cols, id_col, q)
+
+
+def _rank_cuts(rows: list, cols: list[str], id_col: str, q: int) -> list[RankCuts]:
+    """Cut keys of each column from rows (c, k, n, value, id, r, m)."""
     out = []
     for i, col in enumerate(cols):
         mine = sorted((tuple(r) for r in rows if r[0] == i), key=lambda r: r[1])
@@ -236,13 +242,12 @@ def qcut_by_rank(
 # --------------------------------------------------------------------------
 
 
-def quantile_table(df: DataFrame, cols: list[str], levels: list[float], by: str | None = None) -> DataFrame:
-    """``g, c, q``: linearly interpolated quantiles of column number c in group g (one array).
+def interpolated(found: DataFrame, levels: list[float]) -> DataFrame:
+    """``g, c, q``: quantiles from the rows at the ranks of ``quantile_ranks_expr``.
 
     Uses the same interpolation as Spark's ``percentile``:
     ``(hi_pos - h) * lo + (h - lo_pos) * hi`` with ``h = (n-1) p``.
     """
-    found = select_ranks(df, cols, lambda n: quantile_ranks_expr(n, levels), by=by)
     at = F.map_from_entries(F.collect_list(F.struct("k", F.col("value").cast("double"))))
     per = found.groupBy("g", "c").agg(F.first("n").alias("n"), at.alias("at"))
     out = []
@@ -253,6 +258,11 @@ def quantile_table(df: DataFrame, cols: list[str], levels: list[float], by: str
     return per.select("g", "c", F.array(*out).alias("q"))
 
 
+def quantile_table(df: DataFrame, cols: list[str], levels: list[float], by: str | None = None) -> DataFrame:
+    """``g, c, q``: linearly interpolated quantiles of column number c in group g (one array)."""
+    return interpolated(select_ranks(df, cols, lambda n: quantile_ranks_expr(n, levels), by=by), levels)
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], levels: list[float], by: str | None = None) -> dict[tuple, list[float]]:
     """{(group, column): quantiles}; the group is None without ``by``.  A column without values is left out.
 
@@ -276,9 +286,10 @@ def rfm_features(df: DataFrame, q: int = 5, method: str = "auto", id_col: str =
     """
     method = choose_method(df, method)
     if method == "cuts":
-        out = qcut_by_value(df, "recency_days", q, "r_score", reverse=True, method="cuts", id_col=id_col)
-        f, m = fit_cuts(df, ["frequency", "monetary_value"], id_col, q)
-        out = out.withColumns({"f_score": f.bin(), "m_score": m.bin()})
+        edges, f, m = _rfm_cuts(df, q, id_col)
+        r = F.lit(None) if edges is None else F.lit(q + 1) - _bin_from_edges(
+            F.col("recency_days").cast("double"), F.array(*[F.lit(float(v)) for v in edges]), q)
+        out = df.withColumns({"r_score": r.cast("long"), "f_score": f.bin(), "m_score": m.bin()})
         return out.withColumn("rfm_score", (F.col("r_score") + F.col("f_score") + F.col("m_score")).cast("long"))
     if method != "window":
         raise ValueError(f"unknown method {method!r}")
@@ -301,6 +312,29 @@ def rfm_features(df: DataFrame, q: int = 5, method: str = "auto", id_col: str =
     )
 
 
+RFM_COLS = ["recency_days", "frequency", "monetary_value"]
+
+
+def _rfm_cuts(df: DataFrame, q: int, id_col: str) -> tuple[list[float] | None, RankCuts, RankCuts]:
+    """Recency edges (None without values) and cut keys of frequency and spend, from one selection over the three columns."""
+    first = F.col("c") == 0
+    found = select_ranks(
+        df, RFM_COLS, lambda n: F.when(first, quantile_ranks_expr(n, _levels(q))).otherwise(cut_ranks_expr(n, q)), id_col=id_col, id_where=~first)
+    rows = found.collect()
+    at = {r["k"]: r for r in rows if r["c"] == 0}
+    edges = None
+    if at:
+        n, edges = at[0]["n"], []
+        for i, p in enumerate(_levels(q)):
+            h = (n - 1) * p
+            lo, hi = at[2 * i]["value"], at[2 * i + 1]["value"]
+            edges.append(lo if math.floor(h) == math.ceil(h) else (math.ceil(h) - h) * lo + (h - math.floor(h)) * hi)
+        if len(set(edges)) < len(edges):
+            raise DuplicateEdgesError(f"duplicate quantile edges for recency_days: {edges}")
+    f, m = _rank_cuts([(r["c"] - 1, r["k"], r["n"], r["value"], r["id"], r["r"], r["m"]) for r in rows if r["c"]], RFM_COLS[1:], id_col, q)
+    return edges, f, m
+
+
 @dataclass
 class RfmModel:
     """Frozen quantile state fitted on one batch and applied to later ones."""
@@ -326,13 +360,14 @@ def fit_rfm(df: DataFrame, q: int = 5, id_col: str = ID, method: str = "auto") -
     both are found: small inputs by a value map and a window, others by selection)."""
     if choose_method(df, method) == "window":
         e = df.select(F.percentile("recency_days", F.array(*[F.lit(p) for p in _levels(q)])).alias("e")).first()["e"]
+        cuts = None
     else:
-        e = exact_quantiles(df, ["recency_days"], _levels(q)).get((None, "recency_days"))
+        e, *cuts = _rfm_cuts(df, q, id_col)
     if e is None:
         raise ValueError("cannot fit RFM edges on an empty table")
     if len(set(e)) < len(e):
         raise DuplicateEdgesError(f"duplicate quantile edges for recency_days: {e}")
-    return RfmModel(q, [float(v) for v in e], *fit_cuts(df, ["frequency", "monetary_value"], id_col, q, method))
+    return RfmModel(q, [float(v) for v in e], *(cuts or fit_cuts(df, RFM_COLS[1:], id_col, q, "window")))
 
 
 def apply_rfm(df: DataFrame, model: RfmModel) -> DataFrame:

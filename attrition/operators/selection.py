@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,16 +93,30 @@ def _width(margin: float) -> float:
     return min(2 * margin + 2 / GRID, 1.0)
 
 
-def _kept(state: DataFrame) -> tuple[DataFrame, int]:
-    """The state computed once, and the number of its rows."""
+@dataclass
+class _State:
+    """A small table computed once: its rows on the driver, or (more than ``LOCAL_ROWS``) a table in the shared folder."""
+
+    df: DataFrame
+    n: int
+    rows: list | None
+
+    def most(self, value: Column, of_row: Callable) -> float:
+        """The largest ``value``; the same from a row, where the rows are here."""
+        if self.rows is not None:
+            return max((of_row(r) for r in self.rows), default=0)
+        return self.df.agg(F.max(value)).first()[0] or 0
+
+
+def _kept(state: DataFrame) -> _State:
     spark = state.sparkSession
     rows = state.limit(LOCAL_ROWS + 1).collect()
     if len(rows) <= LOCAL_ROWS:
-        return spark.createDataFrame(rows, state.schema), len(rows)
+        return _State(spark.createDataFrame(rows, state.schema), len(rows), rows)
     path = f"{ensure_checkpoint_dir(spark)}/ranks-{uuid.uuid4().hex}"
     state.write.parquet(path)
     out = spark.read.schema(state.schema).parquet(path)
-    return out, out.count()
+    return _State(out, out.count(), None)
 
 
 def _inside(rows: DataFrame, state: DataFrame, on: list[str]) -> DataFrame:
@@ -121,19 +136,22 @@ def _search(rows: DataFrame, state: DataFrame, on: list[str], kind: _Kind, margi
     ``state``: KEYS, info (carried along), r, m (finite rows), least, most and a bracket lo, hi.
     """
     has_id = "id" in rows.columns
-    state, n = _kept(state)
+    kept = _kept(state)
+    state, n = kept.df, kept.n
     if not n:
         none = [F.lit(None).cast(rows.schema["id"].dataType).alias(c) for c in ("first_id", "last_id")] if has_id else []
         return state.select(*KEYS, "info", "r", "m", F.col("lo").alias("v"), *none)
     asked = state
-    size = asked.agg(F.max(F.when((F.col("lo") > F.col("least")) | (F.col("hi") < F.col("most")), _width(margin)).otherwise(1.0) * F.col("m"))).first()[0]
+    full = (F.col("lo") == F.col("least")) & (F.col("hi") == F.col("most"))
+    size = kept.most(F.when(full, 1.0).otherwise(_width(margin)) * F.col("m"),
+                     lambda r: (1.0 if r["lo"] == r["least"] and r["hi"] == r["most"] else _width(margin)) * r["m"])
     while size > BAND_ROWS and margin < 0.5:
         hit = _inside(rows, state, on)
         per = hit.groupBy(*KEYS).agg(
             F.first("info").alias("info"), F.first("r").alias("total"), F.count_if(F.col("v") < F.col("lo")).alias("below"),
             *kind.sketch(F.when(F.col("v") >= F.col("lo"), F.col("v"))))
         per = per.withColumn("r", F.col("total") - F.col("below")).where((F.col("r") >= 1) & (F.col("r") <= F.col("m")))
-        state, _ = _kept(per.select(*KEYS, "info", F.col("total").alias("r"), *kind.bracket(margin)))
+        state = _kept(per.select(*KEYS, "info", F.col("total").alias("r"), *kind.bracket(margin))).df
         size *= _width(margin)
     hit = _inside(rows, state, on)
     ids = [F.min("id").alias("first_id"), F.max("id").alias("last_id")] if has_id else []
@@ -143,24 +161,26 @@ def _search(rows: DataFrame, state: DataFrame, on: list[str], kind: _Kind, margi
     band = band.withColumn("upto", upto).where(
         F.col("v").isNotNull() & (F.col("upto") >= F.col("r")) & (F.col("upto") - F.col("m") < F.col("r")))
     names = ["first_id", "last_id"] if has_id else []
-    found, hits = _kept(band.select(*KEYS, "info", (F.col("r") - F.col("upto") + F.col("m")).alias("r"), "m", "v", *names))
-    if hits == n:
+    done = _kept(band.select(*KEYS, "info", (F.col("r") - F.col("upto") + F.col("m")).alias("r"), "m", "v", *names))
+    found = done.df
+    if done.n == n:
         return found
     # ranks that their bracket missed: all values, then wider brackets
-    done = found.select(*[F.col(k).alias(f"_{k}") for k in KEYS])
-    missed = asked.join(done, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS], "left_anti")
+    seen = found.select(*[F.col(k).alias(f"_{k}") for k in KEYS])
+    missed = asked.join(seen, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS], "left_anti")
     missed = missed.withColumns({"lo": F.col("least"), "hi": F.col("most")})
     return found.unionByName(_search(rows, missed, on, kind, 4 * margin))
 
 
 def select_ranks(df: DataFrame, cols: list[str], ranks: Callable[[Column], Column], by: str | None = None,
-                 id_col: str | None = None) -> DataFrame:
+                 id_col: str | None = None, id_where: Column | None = None) -> DataFrame:
     """``g, c, k, n, rank, r, m, value[, id]``: the row at the k-th wanted rank of column c in group g.
 
     Nulls are left out of a column's ranks.  Rows are ordered by (value, id);
     without ``id_col`` only the value is looked up.  ``r`` is the rank among the
     ``m`` rows of that value.  ``ranks`` gives the array of 1-based ranks from the
-    row count; ranks outside 1..n are left out.
+    row count; ranks outside 1..n are left out.  It may depend on the column's number ``c``, and so may
+    ``id_where``: rows that do not meet it may get no id.
     """
     ensure_checkpoint_dir(df.sparkSession)
     df, kind = _cast(df, cols)
@@ -174,8 +194,8 @@ def select_ranks(df: DataFrame, cols: list[str], ranks: Callable[[Column], Colum
     start = start.select("*", F.posexplode(ranks(F.col("n"))).alias("k", "rank"))
     start = start.where((F.col("rank") >= 1) & (F.col("rank") <= F.col("n")))
     start = start.withColumn("r", F.col("rank") - F.col("low"))
-    start, _ = _kept(start.select(*KEYS, F.struct("n", "rank").alias("info"), "low", "high", "nan", "least", "most", "m", "r",
-                                  *kind.bracket(MARGIN)))
+    start = _kept(start.select(*KEYS, F.struct("n", "rank").alias("info"), "low", "high", "nan", "least", "most", "m", "r",
+                                *kind.bracket(MARGIN))).df
     # ranks among the infinities and NaN are known already
     after = F.col("r") - F.col("m")
     special = start.where((F.col("r") < 1) | (after > 0)).select(
@@ -193,10 +213,13 @@ def select_ranks(df: DataFrame, cols: list[str], ranks: Callable[[Column], Colum
         none = F.lit(None).cast(rows.schema["id"].dataType)
         found = found.unionByName(special.withColumns({"first_id": none, "last_id": none}))
     one = F.when(F.col("r") == 1, F.col("first_id")).when(F.col("r") == F.col("m"), F.col("last_id"))
-    found, _ = _kept(found.withColumn("id", one))
-    tied = found.where("id IS NULL")
-    if not tied.isEmpty():
-        found = found.where("id IS NOT NULL").unionByName(_tied_ids(rows, tied))
+    needed = F.lit(True) if id_where is None else id_where
+    found = found.withColumn("open", one.isNull() & needed).withColumn("id", one)
+    kept = _kept(found)
+    found = kept.df.drop("open")
+    if kept.most(F.col("open").cast("int"), lambda r: int(r["open"])):
+        tied = kept.df.where("open").drop("open")
+        found = kept.df.where("NOT open").drop("open").unionByName(_tied_ids(rows, tied))
     return found.select(*KEYS, "info.*", "r", "m", F.col("v").alias("value"), "id")
 
 

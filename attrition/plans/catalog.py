@@ -178,7 +178,7 @@ def q_boxplot_by_churn(spark, sf_dir):
 
 @query("corr_matrix")
 def q_corr_matrix(spark, sf_dir):
-    base = base_table(spark, sf_dir)
+    base = customer_base(spark, sf_dir)
     return rounded(pr.corr_long(base, [c for c in base.columns if c != ID]), "corr")
 
 
@@ -615,7 +615,7 @@ def q_model_scores_checked(spark, sf_dir):
     """Each kind of model scores exactly the stratified test rows, and decides by its probability."""
     train, test = model_split(spark, sf_dir)
     out = None
-    for kind, params in (("lr", {}), ("rf", {"n_estimators": 10, "max_depth": 5}), ("gbt", {"n_estimators": 5})):
+    for kind, params in (("lr", {"C": 1.0, "max_iter": 1000}), ("rf", RF_DEFAULT), ("gbt", GBT_DEFAULT)):
         part = _checked(ml.score_frame(ml.fit(train, kind, params, F13), test), test).withColumn("kind", F.lit(kind))
         out = part if out is None else out.unionByName(part)
     return out
@@ -633,7 +633,7 @@ def q_lr_gradient_checked(spark, sf_dir):
 def q_importance_checked(spark, sf_dir):
     """Importances: one for each feature, none negative, summing to one."""
     train, _ = model_split(spark, sf_dir)
-    imp = ml.importance_frame(spark, ml.fit(train, "rf", {"n_estimators": 10, "max_depth": 5}, F13), F13)
+    imp = ml.importance_frame(spark, ml.fit(train, "rf", RF_DEFAULT, F13), F13)
     total = imp.select(F.sum("importance")).scalar()
     return imp.select("feature", (F.col("importance") >= 0).alias("not_negative"), (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
 
@@ -811,7 +811,7 @@ def q_rule_score_constant(spark, sf_dir):
 def q_corr_gram(spark, sf_dir):
     """The correlation matrix from one matrix of moments, with nulls (all customers) and a constant column."""
     rows = all_customers(spark, sf_dir).withColumn("flat", F.lit(1.0))
-    return rounded(pr.corr_long(rows, [*BASE_FEATURES, "flat"]), "corr")
+    return rounded(pr.corr_long(rows, [*BASE_FEATURES, "flat"], "gram"), "corr")
 
 
 @query("clip_truncate")

@@ -137,7 +137,11 @@ def test_correlations_of_a_wide_table_with_nulls(spark):
     assert np.allclose(wide, pdf.corr().to_numpy(), atol=1e-9)
     # one value in common: no correlation
     few = spark.createDataFrame([(1.0, None), (2.0, 3.0), (None, 4.0)], "a double, b double")
-    assert {r["corr"] for r in profile.corr_long(few, ["a", "b"]).collect()} == {1.0, None}
+    for method in ("pairs", "gram"):
+        assert {r["corr"] for r in profile.corr_long(few, ["a", "b"], method).collect()} == {1.0, None}
+    some = df.columns[:6]
+    pairs, gram = (profile.corr_long(df.select(some), some, m).orderBy("col_a", "col_b").toPandas()["corr"] for m in ("pairs", "gram"))
+    assert np.allclose(pairs, gram, atol=1e-9)
 
 
 def test_expressions(spark):
