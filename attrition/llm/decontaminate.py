@@ -3,11 +3,13 @@
 Size-partitioned MinHash containment search.  An item is the set of its
 ``N``-word shingles (ASCII letters lower-cased; an item of fewer words is one
 shingle, its whole word sequence, looked for as that many words in a row).
-Items fall into partitions by set size (powers of two).  The sketch of an item
-is its bottom-k MinHash values, all under one 64-bit hash, with one k for each
-partition: ``floor((1 - t) * largest size) + 1``.  A document that holds at
-least ``t`` of an item's shingles misses fewer than k of them, so it holds at
-least one sketch value: the candidate search loses nothing, however long the
+Items fall into partitions by shingle length and set size (powers of two), each with an index of its
+own: the sketches of its items, that is their bottom-k MinHash values, all under one 64-bit hash, with one k
+for the partition, ``missing + SPARE``, where ``missing`` is the most shingles that a match may lack
+at its largest size.  A document that holds at
+least ``t`` of an item's shingles lacks at most ``size - ceil(t * size)`` of its sketch, so it holds at
+least the rest of it, ``SPARE`` values or more (all but the lacking ones of a smaller set): that is
+the item's threshold.  The candidate search loses nothing, however long the
 document is, and a document is never sketched itself.  Each candidate is then
 verified on the words themselves: the exact share of the item's distinct
 shingles that the document holds must reach ``t``.
@@ -37,7 +39,8 @@ from attrition.llm.textbatch import LOWER, Texts, chunks, shingles
 
 N = 5
 CONTAINMENT = 0.8
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20  # about 26 times that in a worker
+SPARE = 3  # sketch values that a match holds at least
 
 SCHEMA = "doc_id long, item_id long, n_shared long, n_shingles long, containment double"
 
@@ -55,29 +58,46 @@ def needed(size: int, t: float) -> int:
     return max(1, int(np.ceil(t * size - 1e-9)))
 
 
+@dataclass
+class Partition:
+    """Sketches of the items of one shingle length and size class."""
+
+    length: int
+    values: np.ndarray  # sorted sketch values
+    items: np.ndarray  # the item of each value
+    least: np.ndarray  # sketch values that a match of each item holds (by item of the block)
+
+    def candidates(self, h: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """(document, item) rows whose document holds enough of the item's sketch; ``h``: its shingles' hashes."""
+        lo = np.searchsorted(self.values, h, "left")
+        hit = np.flatnonzero(self.values[np.minimum(lo, len(self.values) - 1)] == h)
+        if not len(hit):
+            return np.zeros((0, 2), np.int64)
+        once = np.unique(np.stack([doc[hit], lo[hit]], axis=1), axis=0)  # a repeated shingle counts once
+        doc, lo = once[:, 0], once[:, 1]
+        count = np.searchsorted(self.values, self.values[lo], "right") - lo
+        at = np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        pairs, shared = np.unique(np.stack([np.repeat(doc, count), self.items[at]], axis=1), axis=0, return_counts=True)
+        return pairs[shared >= self.least[pairs[:, 1]]]
+
+
 @dataclass
 class ItemIndex:
-    """Sketch values of a block of items, by shingle length, and their exact shingle sets."""
+    """The partitions of a block of items, and the items' exact shingle sets."""
 
     ids: list[int] = field(default_factory=list)
     sets: list[set] = field(default_factory=list)
     length: list[int] = field(default_factory=list)
-    values: dict[int, np.ndarray] = field(default_factory=dict)  # shingle length -> sorted sketch values
-    items: dict[int, np.ndarray] = field(default_factory=dict)  # the item of each value
+    partitions: list[Partition] = field(default_factory=list)
     threshold: float = CONTAINMENT
 
     def match(self, p: Parsed) -> Iterator[tuple[int, int, int]]:
         """(document of the chunk, item, shared shingles) of every verified match."""
-        found = []
-        for n, values in self.values.items():
-            h, doc = shingles(p.wh, p.bounds, n)
-            lo = np.searchsorted(values, h, "left")
-            hit = np.flatnonzero(values[np.minimum(lo, len(values) - 1)] == h)
-            if not len(hit):
-                continue
-            count = np.searchsorted(values, h[hit], "right") - lo[hit]
-            at = np.repeat(lo[hit], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            found.append(np.unique(np.stack([np.repeat(doc[hit], count), self.items[n][at]], axis=1), axis=0))
+        found, hashes = [], {}
+        for part in self.partitions:
+            if part.length not in hashes:
+                hashes[part.length] = shingles(p.wh, p.bounds, part.length)
+            found.append(part.candidates(*hashes[part.length]))
         pairs = sorted({(int(d), int(i)) for part in found for d, i in part})
         last, sets = -1, {}
         for d, i in pairs:
@@ -94,8 +114,7 @@ class ItemIndex:
 def build_index(rows: list[tuple[int, str | None]], threshold: float = CONTAINMENT) -> ItemIndex:
     """Index of a bounded block of items (item_id, text)."""
     index = ItemIndex(threshold=threshold)
-    values: dict[int, list[np.ndarray]] = {}
-    owners: dict[int, list[int]] = {}
+    groups: dict[tuple[int, int], list[tuple[int, np.ndarray]]] = {}
     for item_id, text in rows:
         data = (text or "").encode("utf-8", "replace")
         n_words = len(data.split())
@@ -105,18 +124,21 @@ def build_index(rows: list[tuple[int, str | None]], threshold: float = CONTAINME
         raw = np.frombuffer(data, dtype=np.uint8)
         p = parse(Texts(raw, np.array([0]), np.array([len(raw)]), 0).lower())
         h = np.unique(shingles(p.wh, p.bounds, n)[0])
-        largest = (1 << len(h).bit_length()) - 1  # of its size partition
-        k = min(len(h), int((1 - threshold) * largest + 1e-9) + 1)
+        groups.setdefault((n, len(h).bit_length()), []).append((len(index.ids), h))
         index.ids.append(item_id)
         index.sets.append(word_shingles(data, n))
         index.length.append(n)
-        values.setdefault(n, []).append(h[:k])
-        owners.setdefault(n, []).append(len(index.ids) - 1)
-    for n, parts in values.items():
-        flat = np.concatenate(parts)
+    for (n, bits), members in groups.items():
+        largest = (1 << bits) - 1
+        k = largest - needed(largest, threshold) + SPARE
+        sketches = [h[:k] for _, h in members]
+        least = np.zeros(len(index.ids), dtype=np.int64)
+        for (i, h), low in zip(members, sketches, strict=True):
+            least[i] = max(len(low) - (len(h) - needed(len(h), threshold)), 1)
+        flat = np.concatenate(sketches)
         order = np.argsort(flat, kind="stable")
-        index.values[n] = flat[order]
-        index.items[n] = np.repeat(owners[n], [len(x) for x in parts])[order]
+        owners = np.repeat([i for i, _ in members], [len(x) for x in sketches])[order]
+        index.partitions.append(Partition(n, flat[order], owners, least))
     return index
 
 

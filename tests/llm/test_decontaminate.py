@@ -1,8 +1,12 @@
 import random
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from attrition.llm import decontaminate as d
+from attrition.llm.docstats import parse
+from attrition.llm.textbatch import chunks
 
 SF = "/root/testdata/sf0.001"
 
@@ -65,3 +69,32 @@ def test_empty_tables(spark, odd_docs):
     assert d.matches(odd_docs, items.limit(0)).collect() == []
     assert len(d.matches(odd_docs, items).collect()) == 3
     assert d.drop_contaminated(odd_docs, items).count() == odd_docs.count() - 3
+
+
+def test_partitions_have_their_own_sketch_and_threshold():
+    rng = random.Random(7)
+    items = [(k, " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))) for k, n in enumerate([1, 3, 5, 6, 9, 20, 40, 90, 300])]
+    index = d.build_index(items)
+    size = {i: len(s) for i, s in enumerate(index.sets)}
+    seen = set()
+    for part in index.partitions:
+        held = Counter(part.items.tolist())
+        for i, k in held.items():
+            seen.add(i)
+            lacking = size[i] - d.needed(size[i], index.threshold)
+            assert part.length == index.length[i] and part.least[i] == max(k - lacking, 1)
+            assert k == size[i] or part.least[i] >= d.SPARE  # a match holds several sketch values
+    assert seen == set(size) and len(index.partitions) > 3
+
+
+def test_a_match_that_lacks_as_many_shingles_as_it_may_is_found():
+    rng = random.Random(8)
+    for n in (9, 17, 33, 64, 100, 250):
+        words = [f"v{rng.randrange(10**6)}" for _ in range(n)]
+        index = d.build_index([(1, " ".join(words))])
+        total = n - d.N + 1
+        lacking = total - d.needed(total, index.threshold)
+        for cut in (lacking, lacking + 1):  # the first words are missing
+            text = " ".join(words[cut:]) + " end"
+            t = next(iter(chunks(pa.array([text]))))
+            assert bool(list(index.match(parse(t.lower())))) == (cut == lacking)
