@@ -24,12 +24,17 @@ by content instead:
    meet by window hash instead, pre-aggregated to the smallest id, so a passage
    in a third of all documents is one row for each chunk.
 
+Anchors are dealt out in buckets of about ``BUCKET_BYTES`` of text (at least ``BUCKETS_PER_PARTITION`` for each
+shuffle partition), each a task's work, so a task does not grow with the input.  Windows that meet by
+hash are told apart by 64 bits.
+
 The documents are packed once into chunks of ``CHUNK_BYTES``, a table bucketed
 by chunk in the shared folder; the results come back to the texts by joins on
 the chunk in which only the results are shuffled.
 
 Defined results: null texts are empty; a null id counts as the largest; rows of
-one id never remove each other's bytes; an empty table gives no rows.
+one id (repeated rows, too) never remove each other's bytes; texts of any length are taken whole; an empty table gives no
+rows.  :func:`repeats` reads no other column; :func:`drop_repeats` keeps them all under their names.
 """
 
 from __future__ import annotations
@@ -53,6 +58,8 @@ GRAM = 24
 HOT = 20_000
 CHUNK_BYTES = 8 << 20
 BUCKETS_PER_PARTITION = 2
+BUCKET_BYTES = 16 << 20  # of text for each bucket of anchors
+PLACE_BITS = np.uint64(31)  # low bits of an anchor's key that hold its place; the other 33 its hash
 LAST = np.iinfo(np.int64).max  # stands for a null id
 
 ALONE, SEVERAL, FREQUENT = 0, 1, 2
@@ -67,7 +74,9 @@ def runs(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), empty, empty, empty
     at = np.arange(n - GRAM + 1)
     h = span_hashes(hash_prefix(t.data), at, at + GRAM)
-    bits = np.uint64(int(n).bit_length())
+    if n >= 1 << int(PLACE_BITS):
+        raise ValueError(f"a text of {n} bytes is beyond the {1 << int(PLACE_BITS)} bytes that anchors tell apart")
+    bits = PLACE_BITS  # one for all chunks: near ties are broken alike everywhere
     low = ((h >> bits) << bits) | at.astype(np.uint64)  # order by hash, then leftmost
     width, span = 1, LENGTH - GRAM + 1
     while 2 * width <= span:
@@ -218,7 +227,7 @@ def anchor_flags(packed: DataFrame, n: int, id_at: int, text_at: int) -> DataFra
         return pd.DataFrame({"cid": block["cid"], "bucket": block["bucket"], "flags": [x.tobytes() for x in np.split(flag, cut)]})
 
     rows = packed.mapInArrow(keys, "bucket int, cid long, keys binary")
-    flags = rows.groupBy("bucket").applyInPandas(count, "cid long, bucket int, flags binary")
+    flags = rows.repartition(n, "bucket").groupBy("bucket").applyInPandas(count, "cid long, bucket int, flags binary")
     return materialize(flags.groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("bucket", "flags"))).alias("flags")), "anchor-flags")
 
 
@@ -403,14 +412,15 @@ def _spans(flags: np.ndarray) -> np.ndarray:
 def _answered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
     """``cid, rows, flags, answers`` of every chunk, and the number of buckets."""
     spark = docs.sparkSession
-    n = BUCKETS_PER_PARTITION * shuffle_partitions(spark)
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    n = max(BUCKETS_PER_PARTITION * shuffle_partitions(spark), -(-size // BUCKET_BYTES))
     id_at, text_at = docs.columns.index(id_col), docs.columns.index(text_col)
     packed = pack(docs, id_col, text_col)
     flags = anchor_flags(packed, n, id_at, text_at)
     flagged = packed.join(flags.hint("shuffle_hash"), "cid", "left").select("cid", "rows", "flags")
     found = contexts(flagged, n, id_at, text_at)
     schema = "cid long, bucket int, kind int, ids binary, masks binary"
-    answers = found.groupBy("bucket", "kind").applyInPandas(_settle, schema)
+    answers = found.repartition(n, "bucket").groupBy("bucket", "kind").applyInPandas(_settle, schema)
     answers = answers.groupBy("cid").agg(F.collect_list(F.struct("bucket", "kind", "ids", "masks")).alias("answers"))
     results = materialize(flags.join(answers, "cid", "left"), "answers")
     return packed.join(results.hint("shuffle_hash"), "cid", "left").select("cid", "rows", "flags", "answers"), n

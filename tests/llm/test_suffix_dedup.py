@@ -107,3 +107,27 @@ def test_previous_smaller_and_factors():
                 same = texts[i] == texts[j]
                 best = max(best, s.LENGTH if same.all() else int(same.argmin()))
         assert got[i] == best
+
+
+def test_equal_windows_have_equal_anchors_in_chunks_of_any_length():
+    """A passage has the same anchors whether it stands in a short or a very long chunk."""
+    import pyarrow as pa
+
+    from attrition.llm import suffix_dedup as sd
+    from attrition.llm.textbatch import chunks
+
+    rng = np.random.default_rng(4)
+    passage = bytes(rng.integers(97, 100, 400, dtype=np.uint8)).decode()
+    short, long_ = passage, "z" * 300_000 + passage
+    found = []
+    for text in (short, long_):
+        t = next(iter(chunks(pa.array([text]), size=1 << 20)))
+        key, anchor, first, last = sd.runs(t)
+        at = len(text) - len(passage)
+        windows = {}
+        for k, a, f, e in zip(key, anchor, first, last, strict=True):
+            for w in range(int(f), int(e) + 1):
+                if w >= at:
+                    windows[w - at] = (int(k), int(a) - at)
+        found.append(windows)
+    assert found[0] == found[1]
