@@ -22,7 +22,8 @@ or more; a component is a set of documents that links join.
 4. *Rest.*  Two members of a hub's lists may be linked though they are not
    joined through the hub.  Members outside the hub's largest component are
    compared with all its members in other components, in blocks of bounded
-   size: shared sketch values, union sketches, then the full sets.  Only links leave a block.  A pair is looked at under its smallest
+   size: shared sketch values, union sketches, then the full sets; what a link joins is one component from
+   there on, so a group of near copies takes a few comparisons of each.  Only links leave a block.  A pair is looked at under its smallest
    common hub alone.  No pair that may be a link between different components
    is left out, and no pair within a component needs a look.
 
@@ -217,19 +218,33 @@ def _compare_block(block: pd.DataFrame) -> pd.DataFrame:
             if h < hub:
                 of_hub.setdefault(int(h), []).append(i)
     earlier = {h: np.array(rows) for h, rows in of_hub.items()}
+    # components that links of this block join are one from then on, and not compared again
+    asked = block.loc[block["query"], ["member", "component", "hubs", "set"]]
+    names = np.unique(np.concatenate([comp, asked["component"].to_numpy()]))
+    now = np.arange(len(names))
+    mine = np.searchsorted(names, comp)
     found = []
-    for x, c, hubs, raw in block.loc[block["query"], ["member", "component", "hubs", "set"]].itertuples(index=False):
+    for x, c, hubs, raw in asked.itertuples(index=False):
         a = np.frombuffer(raw, dtype=np.int64)
         lo, hi = np.searchsorted(values, a[:K], "left"), np.searchsorted(values, a[:K], "right")
         count = hi - lo
         at = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(count.sum())
         shared = np.bincount(owner[at], minlength=len(ids))
-        near = (comp != c) & (shared >= SHARE * np.minimum(width, min(len(a), K))) & (shared > 0)
+        me = int(np.searchsorted(names, c))
+        near = (now[mine] != now[me]) & (shared >= SHARE * np.minimum(width, min(len(a), K))) & (shared > 0)
         near &= 100 * np.minimum(size, len(a)) >= PERCENT * np.maximum(size, len(a))
         for h in hubs:
             if int(h) in earlier:
                 near[earlier[int(h)]] = False  # looked at under that hub
-        found += [(max(x, ids[j]), min(x, ids[j])) for j in np.flatnonzero(near) if similar(a, full[j])]
+        left = np.flatnonzero(near)
+        left = left[np.argsort(-shared[left], kind="stable")]
+        while len(left):
+            j = left[0]
+            left = left[1:]
+            if similar(a, full[j]):
+                found.append((max(x, ids[j]), min(x, ids[j])))
+                now[now == now[mine[j]]] = now[me]
+                left = left[now[mine[left]] != now[me]]
     return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
 
 
