@@ -28,7 +28,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attrition.operators import metrics as me
@@ -115,6 +115,18 @@ def make_pipeline(clf, cols: list[str], scale: bool = True) -> Pipeline:
     return Pipeline(stages=[*stages, clf])
 
 
+def without_summary(pm: PipelineModel) -> PipelineModel:
+    """Let go of a fitted classifier's training summary.
+
+    It holds the training frame and the session, which Spark would send along with the model to
+    every task that scores (and cannot send any more once the session has observed a write).
+    """
+    model = pm.stages[-1]._java_obj
+    if getattr(pm.stages[-1], "hasSummary", False):
+        model.setSummary(SparkSession.active().sparkContext._jvm.scala.Option.empty())
+    return pm
+
+
 def fit(df: DataFrame, kind: str, params: dict | None, cols: list[str], label: str = LABEL,
         scale: bool | None = None, spread_rows: bool = True) -> PipelineModel:
     """Fit one candidate.  Linear models are scaled; trees are not (scale-free).
@@ -128,7 +140,7 @@ def fit(df: DataFrame, kind: str, params: dict | None, cols: list[str], label: s
     n = train.count() if kind == "lr" else None
     scale = (kind == "lr") if scale is None else scale
     small = estimated_bytes(train) <= WINDOW_MAX_BYTES
-    return make_pipeline(classifier(kind, params, n, small), cols, scale).fit(train)
+    return without_summary(make_pipeline(classifier(kind, params, n, small), cols, scale).fit(train))
 
 
 def predict(pm: PipelineModel, df: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -202,15 +214,14 @@ def out_of_fold(df: DataFrame, specs: list[Spec], cols: list[str], k: int = 5, l
     spark = df.sparkSession
     path = path or f"{ensure_checkpoint_dir(spark)}/folds-{uuid.uuid4().hex}"
     data = spread(with_label(add_fold(df, k, label=label), label)).persist()
-    sizes = {r["fold"]: r["count"] for r in data.groupBy("fold").count().collect()}
-    n = sum(sizes.values())
+    n = data.count()
 
     def one(job: tuple[int, int]) -> None:
         i, f = job
         tr, te = data.where(F.col("fold") != f), data.where(F.col("fold") == f)
         kind = specs[i].kind
-        clf = classifier(kind, specs[i].params, n - sizes.get(f, 0) if kind == "lr" else None, estimated_bytes(tr) <= WINDOW_MAX_BYTES)
-        scored = make_pipeline(clf, cols, kind == "lr").fit(tr).transform(te)
+        clf = classifier(kind, specs[i].params, n - te.count() if kind == "lr" else None, estimated_bytes(tr) <= WINDOW_MAX_BYTES)
+        scored = without_summary(make_pipeline(clf, cols, kind == "lr").fit(tr)).transform(te)
         scored.select(
             F.col(ID), F.col("label").cast("long").alias("actual"), vector_to_array(F.col("probability"))[1].alias("churn_probability"),
             F.col("prediction").cast("long").alias("predicted"),
@@ -218,7 +229,7 @@ def out_of_fold(df: DataFrame, specs: list[Spec], cols: list[str], k: int = 5, l
 
     try:
         with cf.ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            list(pool.map(one, [(i, f) for i in range(len(specs)) for f in sorted(sizes)]))
+            list(pool.map(one, [(i, f) for i in range(len(specs)) for f in range(k)]))
     finally:
         data.unpersist()
     schema = f"{ID} long, actual long, churn_probability double, predicted long, setting_id long, fold long"

@@ -168,3 +168,11 @@ def test_checkpoint_folder_is_required_on_a_cluster(monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+def test_models_score_after_an_observed_write(spark, scratch):
+    """A fitted model does not carry its training session to the tasks."""
+    df = samples.sample_customers(spark, 200)
+    files.write_predictions(scoring.score(scoring.rule_score(df)), os.path.join(scratch, "p"), fmt="parquet")
+    for kind, params in (("lr", {}), ("rf", {"n_estimators": 2}), ("gbt", {"n_estimators": 2})):
+        assert ml.score_frame(ml.fit(df, kind, params, ["age", "frequency"]), df).count() == 200
