@@ -20,7 +20,9 @@ then spread inside the blocks, so a text of any length takes few numpy steps.
 
 Defined results: ``und`` with score 0 where a text is null or has no letter, or
 where no labelled row exists; null ids and repeated rows are kept; rows with a
-null language are not learned from; an empty table gives no rows.
+null language are not learned from; an empty table gives no rows.  Of languages with equal
+marginals the first by name is predicted; texts of any length are taken whole; other columns are not read, so their
+names cannot clash.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ The test items are the stated query set.  They are taken in blocks of about
 scanned once for each block, without any shuffle.
 
 Defined results: null and empty texts, and items without a word, match nothing;
-repeated rows repeat their matches; null ids are kept; empty tables give no
+repeated rows repeat their matches, repeated items match once; texts of any length are taken whole; a
+share equal to the threshold matches; null ids are kept; empty tables give no
 matches; other columns are not read by :func:`matches` and pass unchanged
 through :func:`drop_contaminated`.
 """

@@ -41,7 +41,8 @@ C tokens and V distinct words.  So the probabilities of all known words and
 
 Defined results: null and empty texts have the end as their only token; null
 ids and repeated rows are kept; without training rows every count is 0 and the
-model is uniform; an empty table gives no rows; other columns are not read.
+model is uniform; an empty table gives no rows; other columns are not read.  Texts of any
+length are taken whole; words of equal frequency rank by their hash.
 """
 
 from __future__ import annotations

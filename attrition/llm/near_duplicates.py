@@ -32,7 +32,9 @@ with their ids; as these grow with the input, no side of it is ever broadcast.
 
 Defined results: rows that share an id are one node; a null id is a row whose
 component is that of the documents with the same set (null if there are none);
-repeated rows are kept; an empty table gives no rows.
+repeated rows are kept; an empty table gives no rows.  Texts of any length are taken whole.  A
+similarity equal to the threshold links.  Other columns are not read, so their names cannot clash;
+:func:`keep_one` keeps them.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ looks up the weight of every n-gram of an Arrow batch and sums it by document.
 Defined results: null and empty texts have 0 in every count and fail the base
 rules; null ids and repeated rows are kept; without labelled rows of both
 classes the model gives 1.0 (or 0.0, if all labelled rows are bad); an empty
-table gives no rows; other columns are not read.
+table gives no rows; other columns are not read by :func:`score` and stay as they are in
+:func:`keep_good`.  Texts of any length are taken whole; a probability equal to ``KEEP_AT`` keeps.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ indexing and no per-row code.
 Defined results: null and empty texts have all-zero statistics and get the
 model's score for those; without labelled rows of both classes the score is the
 smoothed share of label 1 (0.5 without any row); null ids and repeated rows are
-kept; an empty table gives no rows; other columns are not read.
+kept; an empty table gives no rows; other columns are not read.  Texts of any length are
+taken whole; of cuts with equal gain the first is taken.
 """
 
 from __future__ import annotations

@@ -21,7 +21,9 @@ Characters outside the vocabulary become byte pieces, or the unknown piece.
 Defined results: null and empty texts have no pieces and decode to an empty
 text; a mark character in the input decodes to a space, as in the library; null
 ids and repeated rows are kept; an empty table gives no rows; other columns are
-not read by :func:`encode` and pass unchanged through :func:`with_pieces`.
+not read by :func:`encode` and pass unchanged through :func:`with_pieces`.  Of paths
+with equal scores the one with the longest last piece is taken; texts of any length are taken whole, and a
+word of n characters takes n steps (n log n if it begins with several marks).
 """
 
 from __future__ import annotations

@@ -22,7 +22,8 @@ a newer Unicode version) is handed to the library whole.
 
 Defined results: null and empty texts have 0 bytes and 0 tokens; a null id is
 kept; repeated rows give repeated rows; an empty table gives no rows; columns
-other than the two that are named are not read.
+other than the two that are named are not read.  Texts of any length are taken whole; words
+of equal frequency enter the broadcast table by their order, which changes no count.
 """
 
 from __future__ import annotations
