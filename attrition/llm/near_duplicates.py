@@ -16,14 +16,14 @@ or more; a component is a set of documents that links join.
    documents share are then not listed, unless they make up the document.
 3. *Hubs.*  Each list links its members to its smallest id, the hub, so a list
    of any length gives as many pairs as members.  Pairs pass a size filter, then
-   the union sketch (the K smallest values of both) estimates their similarity: with
+   for larger sets the union sketch (the K smallest values of both) estimates their similarity: with
    fewer than ``SHARE`` of its values in common, a pair is no link (at similarity 0.8 the
    chance of that is the one stated above).  The exact Jaccard similarity of the full sets decides.
 4. *Rest.*  Two members of a hub's lists may be linked though they are not
    joined through the hub.  Members outside the hub's largest component are
    compared with all its members in other components, in blocks of bounded
-   size: shared sketch values, union sketches, then the full sets; what a link joins is one component from
-   there on, so a group of near copies takes a few comparisons of each.  Only links leave a block.  A pair is looked at under its smallest
+   size: shared sketch values first, then the lists of all shingles of the block give the exact overlap of a query
+   with every member at once; what a link joins is one component from there on.  Only links leave a block.  A pair is looked at under its smallest
    common hub alone.  No pair that may be a link between different components
    is left out, and no pair within a component needs a look.
 
@@ -115,8 +115,8 @@ def estimate(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two full sets (sorted arrays) reach the threshold; the estimate rules most others out."""
-    if estimate(a, b) < SHARE:
+    """Whether two full sets (sorted arrays) reach the threshold; of larger sets the estimate rules most others out."""
+    if min(len(a), len(b)) > 16 * K and estimate(a, b) < SHARE:
         return False
     both = len(np.intersect1d(a, b, assume_unique=True))
     return both > 0 and 100 * both >= PERCENT * (len(a) + len(b) - both)
@@ -214,6 +214,10 @@ def _compare_block(block: pd.DataFrame) -> pd.DataFrame:
     owner = np.repeat(np.arange(len(ids)), width)
     order = np.argsort(values, kind="stable")
     values, owner = values[order], owner[order]
+    every = np.concatenate(full) if full else np.zeros(0, np.int64)
+    holder = np.repeat(np.arange(len(ids)), size)
+    order = np.argsort(every, kind="stable")
+    every, holder = every[order], holder[order]
     of_hub: dict[int, list[int]] = {}
     for i, hubs in enumerate(right["hubs"]):
         for h in hubs:
@@ -238,15 +242,17 @@ def _compare_block(block: pd.DataFrame) -> pd.DataFrame:
         for h in hubs:
             if int(h) in earlier:
                 near[earlier[int(h)]] = False  # looked at under that hub
-        left = np.flatnonzero(near)
-        left = left[np.argsort(-shared[left], kind="stable")]
-        while len(left):
-            j = left[0]
-            left = left[1:]
-            if similar(a, full[j]):
+        if not near.any():
+            continue
+        lo, hi = np.searchsorted(every, a, "left"), np.searchsorted(every, a, "right")
+        count = hi - lo
+        at = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        both = np.bincount(holder[at], minlength=len(ids))  # shingles shared with every member
+        near &= 100 * both >= PERCENT * (len(a) + size - both)
+        for j in np.flatnonzero(near):
+            if now[mine[j]] != now[me]:
                 found.append((max(x, ids[j]), min(x, ids[j])))
                 now[now == now[mine[j]]] = now[me]
-                left = left[now[mine[left]] != now[me]]
     return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
 
 
