@@ -79,6 +79,28 @@ def test_ids_of_a_value_that_holds_most_rows(spark, monkeypatch):
     assert _bins(rfm.qcut_by_rank(df, "x", 5, out="b", method="cuts")) == _bins(rfm.qcut_by_rank(df, "x", 5, out="b", method="window"))
 
 
+def test_ids_of_many_tied_rows_are_searched_for(spark, monkeypatch):
+    monkeypatch.setattr(selection, "TIED_ROWS", 10)
+    df = spark.range(3000).select((F.col("id") * 7 % 3001).alias("customer_id"), (F.col("id") % 3).cast("double").alias("x"))
+    assert _bins(rfm.qcut_by_rank(df, "x", 5, out="b", method="cuts")) == _bins(rfm.qcut_by_rank(df, "x", 5, out="b", method="window"))
+
+
+@pytest.mark.parametrize("band", [1_000_000, 50])
+def test_selection_sorts_no_rows_to_count_them(spark, band, monkeypatch):
+    monkeypatch.setattr(selection, "BAND_ROWS", band)
+    plans, kept = [], selection._kept
+
+    def seen(state):
+        plans.append(state._jdf.queryExecution().executedPlan().toString())
+        return kept(state)
+
+    monkeypatch.setattr(selection, "_kept", seen)
+    df = spark.range(20_000).select(F.col("id").alias("customer_id"), F.pmod(F.col("id") * 7919, F.lit(5000)).cast("double").alias("x"))
+    found = selection.select_ranks(df, ["x"], lambda n: selection.cut_ranks_expr(n, 5), id_col="customer_id").orderBy("k").collect()
+    assert [r["value"] for r in found] == [999.0, 1999.0, 2999.0, 3999.0]
+    assert len(plans) >= 4 and not any("SortAggregate" in p for p in plans)
+
+
 def test_a_missed_bracket_is_searched_again(spark, monkeypatch):
     monkeypatch.setattr(selection, "MARGIN", 1e-9)
     monkeypatch.setattr(selection, "SKETCH_K", 8)  # far too coarse
