@@ -176,3 +176,24 @@ def test_models_score_after_an_observed_write(spark, scratch):
     files.write_predictions(scoring.score(scoring.rule_score(df)), os.path.join(scratch, "p"), fmt="parquet")
     for kind, params in (("lr", {}), ("rf", {"n_estimators": 2}), ("gbt", {"n_estimators": 2})):
         assert ml.score_frame(ml.fit(df, kind, params, ["age", "frequency"]), df).count() == 200
+
+
+def test_large_training_frames_have_few_large_partitions(spark):
+    rows = spark.range(250_000).withColumnRenamed("id", "customer_id")
+    assert ml.spread(rows).rdd.getNumPartitions() == ml.TRAIN_FEW_PARTS
+    assert ml.spread(rows, few=ml.SIDE_PARTS).rdd.getNumPartitions() == 3  # 100,000 rows each
+    assert ml.spread(rows.limit(12_000)).rdd.getNumPartitions() == 3
+    assert ml.spread(rows.limit(12_000), few=ml.SIDE_PARTS).rdd.getNumPartitions() == 2
+
+
+def test_large_folds_are_fitted_one_after_another(spark, monkeypatch):
+    asked = []
+    pool = ml.cf.ThreadPoolExecutor
+    monkeypatch.setattr(ml.cf, "ThreadPoolExecutor", lambda max_workers: asked.append(max_workers) or pool(max_workers=max_workers))
+    df = samples.sample_customers(spark, 200)
+    cols = ["recency_days", "frequency"]
+    for most in (4_000_000, 200):
+        monkeypatch.setattr(ml, "SIDE_ROWS", most)
+        rows = ml.out_of_fold(df, [ml.Spec("rf", {"n_estimators": 2, "max_depth": 2})], cols, 2, parallelism=2)
+        assert rows.count() == 200 and rows.select("fold").distinct().count() == 2
+    assert asked == [2, 1]
