@@ -330,3 +330,37 @@ def test_a_cell_takes_few_bytes(spark, monkeypatch):
     cells = len({p for _, text in texts for p in zip(["", *text.split()], [*text.split(), ""], strict=True)})
     assert cells > 150_000
     assert kept["lm-cells"] < 8 * cells and kept["lm-seated"] < 8 * cells
+
+
+def test_contexts_of_any_share_are_opened_and_sampled(spark):
+    """Of 12,000 tokens, a context of two: it is in the model of symbols, with the symbol that follows it."""
+    texts = [("the of " * 200,)] * 30 + [("cxyz oneqq",)] * 2 + [("of onews",)] * 2
+    counts = lm.count_training(spark.createDataFrame(texts, "text string"), no_tier())
+    cells = lm.opened_cells(counts).collect()
+    want = Counter()
+    import pyarrow as pa
+
+    for t in chunks(pa.array([t for (t,) in texts])):
+        p = parse(t.lower())
+        want.update(lm.pairs(p, 1 + lm.word_classes(p))[0].tolist())
+    assert sorted(tuple(r) for r in cells) == sorted((1, g, n) for g, n in want.items())
+    model = lm.fit_model(counts)
+    yz, qq, ws = (int(1 + lm.word_classes(parse(next(iter(chunks(pa.array([w]))))))[0]) for w in ("yz", "qq", "ws"))
+    after, other = model.probability(np.array([yz << 16 | qq, yz << 16 | ws], np.uint64))
+    assert after > 0.3 > 0.05 > other
+
+
+def test_chains_split_by_context_agree_with_one_process(spark):
+    rng = np.random.default_rng(3)
+    texts = [(" ".join(f"w{int(i)}" for i in np.minimum(rng.zipf(1.3, 60), 400)),) for _ in range(60)]
+    counts = lm.count_training(spark.createDataFrame(texts, "text string"), no_tier())
+    rows = lm.opened_cells(counts).toPandas()
+    levels = py.build_levels(*(rows[c].to_numpy() for c in ("level", "cell", "n")))
+    mean = [np.mean(x, axis=0) for x in zip(*(py.run_chain(levels, lm.SYMBOLS, seed) for seed in range(40)), strict=True)]
+    want, got = py.build_model(levels, lm.SYMBOLS, mean), lm.fit_model(counts)
+    cell = levels[1].cell
+    assert np.allclose(got.probability(cell), want.probability(cell), rtol=0.1, atol=0.01)
+    for context in {*levels[1].context.tolist(), 5, 2500}:
+        g = (np.uint64(context) << np.uint64(16)) + np.arange(lm.SYMBOLS, dtype=np.uint64)
+        assert got.probability(g).sum() == pytest.approx(1, abs=1e-5)
+        assert np.abs(got.probability(g) - want.probability(g)).sum() < 0.1
